@@ -82,8 +82,13 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit_nnpu(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 1500, rate: float = 0.03, decay: float = 1e-4) -> dict:
-    """Full-batch Adam on the non-negative PU risk of a linear logistic model."""
+def fit_nnpu(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 1500, rate: float = 0.03, decay: float | None = None) -> dict:
+    """Full-batch Adam on the non-negative PU risk of a linear logistic model.
+
+    The risk is estimated from differences of means, so its noise falls with the
+    sample; the weight decay follows it.
+    """
+    decay = 2 / len(p) if decay is None else decay
     both = np.concatenate([p, u])
     mean, scale = both.mean(axis=0), both.std(axis=0)
     scale = np.where(scale > 1e-9, scale, 1)
