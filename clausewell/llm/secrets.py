@@ -61,15 +61,31 @@ def blob_of(text_col: str) -> F.Column:
     return F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
 
 
+def _first_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose blob (first column) this task has not had before."""
+    had: set[bytes] = set()
+    for batch in batches:
+        kept = []
+        for i, blob in enumerate(batch.column(0).to_pylist()):
+            if blob not in had:
+                had.add(blob)
+                kept.append(i)
+        yield batch if len(kept) == len(batch) else batch.take(pa.array(kept, pa.int64()))
+
+
 def scan_unseen(versions: DataFrame, ledger: DataFrame | None = None, text_col: str = "text", rule_version: str = RULE_VERSION) -> DataFrame:
-    """New ledger rows (blob, rule_version, spans), written to the shared folder."""
+    """New ledger rows (blob, rule_version, spans), written to the shared folder.
+
+    Copies of a blob are dropped by the task that reads them, then where the blob's
+    rows meet: a blob of a million paths sends one row from each reading task.
+    """
     blobs = versions.select(blob_of(text_col).alias("blob"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     if ledger is not None:
         blobs = blobs.join(ledger.where(F.col("rule_version") == rule_version).select("blob"), "blob", "left_anti")
-    blobs = blobs.dropDuplicates(["blob"])
+    blobs = blobs.mapInArrow(_first_of_task, "blob binary, text string").repartition("blob")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _first_of_task(batches):
             spans = [scan_text(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(_SPAN))], names=["blob", "spans"])
 
@@ -77,9 +93,15 @@ def scan_unseen(versions: DataFrame, ledger: DataFrame | None = None, text_col:
     return materialize(found.select("blob", F.lit(rule_version).alias("rule_version"), "spans"), "secret-ledger")
 
 
+def _with_findings(ledger: DataFrame, rule_version: str) -> DataFrame:
+    """The ledger's rows with findings, to be hashed where rows of texts stream by."""
+    hit = ledger.where((F.col("rule_version") == rule_version) & (F.size("spans") > 0)).select("blob", "spans")
+    return hit.dropDuplicates(["blob"]).hint("shuffle_hash")
+
+
 def findings(versions: DataFrame, ledger: DataFrame, key_cols: list[str], text_col: str = "text", rule_version: str = RULE_VERSION) -> DataFrame:
     """key_cols and spans (empty if none) of every row of ``versions``."""
-    hit = ledger.where((F.col("rule_version") == rule_version) & (F.size("spans") > 0)).select("blob", "spans").dropDuplicates(["blob"])
+    hit = _with_findings(ledger, rule_version)
     rows = versions.select(*key_cols, blob_of(text_col).alias("blob"))
     return rows.join(hit, "blob", "left").select(*key_cols, F.coalesce("spans", F.expr(f"cast(array() as {SPANS})")).alias("spans"))
 
@@ -97,7 +119,7 @@ def base_spans(spans: F.Column) -> F.Column:
 def redact(docs: DataFrame, ledger: DataFrame, text_col: str = "text", mark: str = "[REDACTED]") -> DataFrame:
     """``docs`` with every finding in the text replaced by ``mark``; the rows without
     findings, and all other columns, stay as they are."""
-    hit = ledger.where((F.col("rule_version") == RULE_VERSION) & (F.size("spans") > 0)).select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans")).dropDuplicates(["_blob"])
+    hit = _with_findings(ledger, RULE_VERSION).select(F.col("blob").alias("__cw_blob"), F.col("spans").alias("__cw_spans")).hint("shuffle_hash")
 
     @F.pandas_udf("string")
     def cover(texts, spans):  # noqa: ANN001, ANN202
@@ -115,5 +137,5 @@ def redact(docs: DataFrame, ledger: DataFrame, text_col: str = "text", mark: str
             out.append(text)
         return pd.Series(out, dtype=object)
 
-    joined = docs.withColumn("_blob", blob_of(text_col)).join(hit, "_blob", "left")
-    return joined.withColumn(text_col, cover(F.col(text_col), F.col("_spans"))).select(*docs.columns)
+    joined = docs.withColumn("__cw_blob", blob_of(text_col)).join(hit, "__cw_blob", "left")
+    return joined.withColumn(text_col, cover(F.col(text_col), F.col("__cw_spans"))).select(*docs.columns)
