@@ -124,3 +124,27 @@ def magic_kind(hex_head: Column) -> Column:
     """Container kind from the first bytes in hex."""
     head = F.upper(hex_head)
     return F.when(head.startswith("D0CF11E0A1B11AE1"), "ole2").when(head.startswith("504B0304"), "zip").otherwise("other")
+
+
+def part_name(file: Column, part_no: Column) -> Column:
+    """A part's suffix from its file name (``..._s05.docx`` -> ``s05``), else part<i>."""
+    suffix = F.regexp_extract(file, r"(?i)_([a-z0-9]+(?:-[a-z0-9]+)?)\.docx?\z", 1)
+    return F.coalesce(F.nullif(F.lower(suffix), F.lit("")), F.concat(F.lit("part"), part_no.cast("string")))
+
+
+def drawn_as_svg(name: Column) -> Column:
+    """A vector image's name after conversion."""
+    return F.regexp_replace(name, r"(?i)\.(wmf|emf)\z", ".svg")
+
+
+def image_names(html: Column, spec: Column) -> Column:
+    """Names for a page's images in order: ``<spec>-image-<n>.<ext>`` by media type."""
+    types = F.regexp_extract_all(html, F.lit(r"""(?i)<img\b[^>]*src=["']data:([^;"']+);"""), F.lit(1))
+    return F.transform(types, lambda t, i: F.concat(spec, F.lit("-image-"), (i + 1).cast("string"), F.lit("."), extension_of(t)))
+
+
+def snippet(text: Column, term: Column, around: int = 40) -> Column:
+    """Text around the first occurrence of a lower-case term; null without one."""
+    at = F.instr(F.lower(text), term)
+    start = F.greatest(F.lit(1), at - around)
+    return F.when(at > 0, F.substring(text, start, at - start + F.length(term) + around))

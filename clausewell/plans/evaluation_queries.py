@@ -145,3 +145,11 @@ def merge_hard(spark: SparkSession, folder: str) -> DataFrame:
     """Known queries, and new ones whose id is unseen."""
     rows = table(spark, folder, "customer").select(F.col("c_custkey").alias("qid"), F.col("c_name").alias("query"))
     return E.unseen(rows.where("qid % 2 = 0").withColumn("query", F.upper("query")), rows.where("qid % 3 = 0"), "qid")
+
+
+@query("""WITH r AS (SELECT o_custkey AS "row", o_orderkey AS variant, CASE WHEN l_linenumber % 7 = 6 THEN 0 ELSE CAST(l_quantity AS BIGINT) % 6 + 1 END AS rank FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+v AS (SELECT "row", variant, bool_and(rank BETWEEN 1 AND 5) AS passed FROM r GROUP BY ALL) SELECT "row", bool_and(passed) AS passed FROM v GROUP BY 1""")
+def all_refs_gate(spark: SparkSession, folder: str) -> DataFrame:
+    lines = table(spark, folder, "orders").join(table(spark, folder, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    rank = F.when(F.col("l_linenumber") % 7 == 6, 0).otherwise(F.col("l_quantity").cast("bigint") % 6 + 1)
+    return E.all_refs_gate(lines.select(F.col("o_custkey").alias("row"), F.col("o_orderkey").alias("variant"), rank.alias("rank")))

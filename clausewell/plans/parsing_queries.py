@@ -239,10 +239,10 @@ def first_wins_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.first_wins(rows.select("doc_id", "source", "text_md5"), "text_md5", F.col("doc_id"))
 
 
-@query("SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 49 AND l_suppkey IS NOT NULL)")
+@query("SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 49 AND l_linenumber = 1 AND l_suppkey IS NOT NULL)")
 def orphan_media(spark: SparkSession, folder: str) -> DataFrame:
     """Rows that nothing refers to."""
-    used = table(spark, folder, "lineitem").where("l_returnflag = 'R' and l_quantity > 49").select(F.col("l_suppkey").alias("s_suppkey"))
+    used = table(spark, folder, "lineitem").where("l_returnflag = 'R' and l_quantity > 49 and l_linenumber = 1").select(F.col("l_suppkey").alias("s_suppkey"))
     return table(spark, folder, "supplier").select("s_suppkey", "s_name").join(used, "s_suppkey", "left_anti")
 
 
@@ -356,3 +356,26 @@ def embed_batch(spark: SparkSession, folder: str) -> DataFrame:
     """Embeddings of all clauses by signed token hashing."""
     rows = vectors.hashed_embeddings(table(spark, folder, "documents"), "doc_id", F.coalesce("text", F.lit("")))
     return rows.select("doc_id", F.size("vec").cast("bigint").alias("dim"), F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x), 3).alias("norm"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'part' || p_size ELSE 's0' || p_size END AS part, CASE WHEN p_partkey % 2 = 0 THEN 'fig.svg' ELSE 'fig.png' END AS image FROM part""")
+def part_names(spark: SparkSession, folder: str) -> DataFrame:
+    file = F.when(F.col("p_partkey") % 3 == 0, "38101.docx").otherwise(F.concat(F.lit("38101-h70_S0"), F.col("p_size").cast("string"), F.lit(".docx")))
+    image = F.when(F.col("p_partkey") % 2 == 0, "fig.EMF").otherwise("fig.png")
+    return table(spark, folder, "part").select("p_partkey", markup.part_name(file, F.col("p_size")).alias("part"), markup.drawn_as_svg(image).alias("image"))
+
+
+@query("""WITH p AS (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS html FROM conversations GROUP BY 1) SELECT conv_id, md5(html) AS html_md5 FROM p""")
+def joined_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents in several parts as one, in the order of the parts."""
+    parts = F.array_sort(F.collect_list(F.struct("turn", "text")))
+    rows = table(spark, folder, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(parts, lambda p: p["text"]), "\n").alias("html"))
+    return rows.select("conv_id", F.md5("html").alias("html_md5"))
+
+
+@query("""WITH q AS (SELECT doc_id, text, lower(split_part(text, ' ', 3)) AS term FROM documents), a AS (SELECT *, strpos(lower(text), term) AS p FROM q WHERE term <> '')
+SELECT doc_id, substr(text, CAST(greatest(1, p - 40) AS INT), CAST(p - greatest(1, p - 40) + length(term) + 40 AS INT)) AS snippet FROM a""")
+def snippets(spark: SparkSession, folder: str) -> DataFrame:
+    """The surroundings of a term's first occurrence."""
+    term = F.lower(F.split_part("text", F.lit(" "), F.lit(3)))
+    return table(spark, folder, "documents").where(term != "").select("doc_id", markup.snippet(F.col("text"), term).alias("snippet"))

@@ -46,3 +46,26 @@ def latest(files: DataFrame, key: str, name: Column, stem: Column, letter: str =
 def media(spark: SparkSession, folder: str) -> DataFrame:
     """(path, bytes, content) of the files below a folder."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", F.col("length").alias("bytes"), "content")
+
+
+def archive_entries(files: DataFrame) -> DataFrame:
+    """(path, entry, content): the documents inside ZIP archives, cover pages left out,
+    by name; ``files`` as from ``media``.  Archives that can't be read give no row."""
+    import io
+    import zipfile
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                if content is None or not zipfile.is_zipfile(io.BytesIO(content)):
+                    continue
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    names = sorted(n for n in archive.namelist() if n.lower().endswith((".doc", ".docx")) and "_cover" not in n.lower())
+                    rows += [(path, n, archive.read(n)) for n in names]
+            yield pd.DataFrame(rows, columns=["path", "entry", "content"])
+
+    return files.select("path", "content").mapInPandas(run, "path string, entry string, content binary")
