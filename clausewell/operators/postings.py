@@ -28,7 +28,8 @@ class Index:
 
     def __init__(self, docs: DataFrame, key: str, weights: dict[str, float], tokenizer: Callable[[Column], Column] = words.tokens):
         self.key, self.weights = key, weights
-        self.docs = docs.select(key, *[tokenizer(F.coalesce(F.col(c), F.lit(""))).alias(c) for c in weights])
+        empty = {c: F.lit("") if kind == "string" else F.array().cast(kind) for c, kind in docs.dtypes}
+        self.docs = docs.select(key, *[tokenizer(F.coalesce(F.col(c), empty[c])).alias(c) for c in weights])
         length = sum((F.size(c) for c in weights), F.lit(0)).cast("bigint")
         self.lengths = self.docs.select(key, length.alias("dl"))
         row = self.lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
