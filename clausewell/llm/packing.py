@@ -10,8 +10,8 @@ bit.  When too many bins are open, the fullest closes first.
 Tokens are cached by space-delimited chunk: between two characters that are no
 white space, a single space always begins a new pre-token of a byte-level BPE, so
 ids of the chunks are the ids of the text.  Texts where that doesn't hold (double
-spaces, white space beside a space, the end token's own string) are encoded whole.
-The cache is bounded.
+spaces, white space beside a space, a special token's own string) are encoded whole.
+Caches are bounded and live as long as the worker.
 
 Edge cases: null reads as empty; an empty text is the end token alone; repeated
 rows are packed each; an empty table gives no rows.
@@ -19,8 +19,11 @@ rows are packed each; an empty table gives no rows.
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,45 +33,103 @@ from pyspark.sql import DataFrame, functions as F
 from .common import materialize
 
 CAPACITY = 1024
-#: Chunks that a worker's cache holds before it starts anew.
-CACHE = 400_000
+#: Chunks of each generation of a worker's cache.
+CACHE = 600_000
+#: Texts whose chunks are held at once.
+TEXTS_AT_ONCE = 2000
+#: Marks that end a pre-token of letters whatever follows.
+MARKS = ".,|!*%$&#;:?"
 
 
-class ChunkIds(dict):
-    """Space-delimited chunk -> ids as little-endian uint32 bytes; None marks a chunk
-    whose text must be encoded whole."""
+class Cache(dict):
+    """Chunk -> ids as little-endian uint32 bytes, for chunks led by one prefix.
+
+    Two generations: a full one becomes the old one, whose entries that are asked for
+    again move to the new one; so memory is bounded and frequent chunks stay.
+    """
 
     def __init__(self, tokenizer, prefix: str):  # noqa: ANN001
         super().__init__()
-        self.tokenizer, self.prefix = tokenizer, prefix
+        self.tokenizer, self.prefix, self.old, self.marks = tokenizer, prefix, {}, Marks(tokenizer)
 
     def __missing__(self, chunk: str) -> bytes:
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+        ids = self.old.get(chunk)
+        if ids is None:  # prepare() has encoded all chunks that may be cached
             raise LookupError
+        self[chunk] = ids
+        return ids
+
+    def prepare(self, chunks: set[str]) -> None:
+        """Encode what is missing in one call.
+
+        Marks that close a chunk after a letter are a pre-token of their own, so a word
+        is encoded once and its forms are put together.  Chunks with white space at an
+        end can't be taken by themselves and stay missing.
+        """
         if len(self) >= CACHE:
+            self.old = dict(self)
             self.clear()
-        ids = self.tokenizer.encode(self.prefix + chunk, add_special_tokens=False).ids
-        out = self[chunk] = np.array(ids, dtype="<u4").tobytes()
-        return out
+        new = [c for c in chunks - self.keys() - self.old.keys() if c and c.strip() == c]
+        words = [w if (w := c.rstrip(MARKS)) and w[-1].isalpha() else c for c in new]
+        self.encode(set(words) - self.keys())
+        for chunk, word in zip(new, words, strict=True):
+            if len(word) != len(chunk):
+                self[chunk] = self[word] + self.marks[chunk[len(word) :]]
+
+    def encode(self, chunks: set[str]) -> None:
+        some = list(chunks)
+        found = self.tokenizer.encode_batch_fast([self.prefix + c for c in some], add_special_tokens=False)
+        self.update(zip(some, [array("I", x.ids).tobytes() for x in found], strict=True))
+
+
+class Marks(dict):
+    """Closing marks -> ids; combinations are few."""
+
+    def __init__(self, tokenizer):  # noqa: ANN001
+        super().__init__()
+        self.tokenizer = tokenizer
+
+    def __missing__(self, marks: str) -> bytes:
+        ids = array("I", self.tokenizer.encode(marks, add_special_tokens=False).ids).tobytes()
+        if len(self) < 100_000:
+            self[marks] = ids
+        return ids
 
 
 class Encoder:
+    """Ids of whole texts by a byte-level BPE, through caches of their chunks."""
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.first, self.rest = ChunkIds(self.tokenizer, ""), ChunkIds(self.tokenizer, " ")
+        self.first, self.rest = Cache(self.tokenizer, ""), Cache(self.tokenizer, " ")
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each whole text, as little-endian uint32."""
+        cut = [t.split(" ") for t in texts]
+        self.first.prepare({c[0] for c in cut})
+        self.rest.prepare(set(chain.from_iterable(c[1:] for c in cut)))
+        for text, chunks in zip(texts, cut, strict=True):
+            if not any(s in text for s in self.special):
+                try:
+                    yield self.first[chunks[0]] + b"".join(map(self.rest.__getitem__, chunks[1:]))
+                    continue
+                except LookupError:
+                    pass
+            yield array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
 
-    def ids(self, text: str) -> bytes:
-        """The ids of a whole text, as little-endian uint32."""
-        if not any(s in text for s in self.special):
-            head, *tail = text.split(" ")
-            try:
-                return self.first[head] + b"".join(map(self.rest.__getitem__, tail))
-            except LookupError:
-                pass
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+def encoder_of(path: str) -> Encoder:
+    """The worker's encoder, kept from task to task."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
@@ -77,11 +138,13 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         for batch in batches:
             at, piece, start, length, crc = [], [], [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                ids = (encoder.ids(text) if text else b"") + end
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            some = chain.from_iterable(encoder.ids(texts[k : k + TEXTS_AT_ONCE]) for k in range(0, len(texts), TEXTS_AT_ONCE))
+            for i, ids in enumerate(some):
+                ids += end
                 n = len(ids) // 4
                 begin, no = 0, 0
                 stop = n - (n - 1) // capacity * capacity

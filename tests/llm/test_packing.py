@@ -23,8 +23,9 @@ def test_cached_chunks_encode_as_whole_texts(tokenizer):
     encoder = packing.Encoder(tokenizer_path())
     r = random.Random(1)
     mixed = ["".join(r.choice(TEXTS + [" ", "\n", "word", " and"]) for _ in range(12)) for _ in range(400)]
-    for text in TEXTS + mixed + [prose(1, 300)]:
-        assert list(np.frombuffer(encoder.ids(text), "<u4")) == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    texts = [*TEXTS, "", *mixed, prose(1, 300)]
+    for text, ids in zip(texts, encoder.ids(texts), strict=True):
+        assert list(np.frombuffer(ids, "<u4")) == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 def test_packing_round_trip(spark, tokenizer):
