@@ -93,7 +93,7 @@ def cluster(x: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.nda
     return c, np.full(len(c), np.quantile(cosine.max(axis=1), 0.001))
 
 
-def fit(docs: DataFrame, centroids: int = 4, sample: int = 1000, slack: float = 0.25) -> dict:
+def fit(docs: DataFrame, centroids: int = 4, sample: int = 1000, slack: float = 0.1) -> dict:
     """Train on columns doc_id, text, lang (rows with a null lang or text don't count).
 
     The floor of a language is ``slack`` times the 0.1 % quantile of its sample's
