@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, functions as F
 
 DENSE, SIGNED = 16, 96
 GRAM = 16
+#: Ranges of ids at most; their bounds are part of the plan.  Beyond it ranges grow.
+MOST_RANGES = 10_000
 
 
 def _grams(data: bytes) -> np.ndarray:
@@ -103,11 +105,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     stats = rows.agg(F.count("*").alias("n"), F.min("doc_id").alias("low")).first()
-    tasks = max(1, -(-stats["n"] // rows_per_task))
+    tasks = min(MOST_RANGES, max(1, -(-stats["n"] // rows_per_task)))
     bounds: list[int] = []
     if tasks > 1 and stats["low"] is not None:
         shares = [i / tasks for i in range(1, tasks)]
-        bounds = sorted({b for b in rows.agg(F.percentile_approx("doc_id", shares, 100 * tasks)).first()[0] if b > stats["low"]})
+        bounds = sorted({b for b in rows.agg(F.percentile_approx("doc_id", shares, min(1_000_000, 100 * tasks))).first()[0] if b > stats["low"]})
     if bounds:
         splits = [float("-inf"), *map(float, bounds), float("inf")]
         rows = rows.withColumn("at", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))))
