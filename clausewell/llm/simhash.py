@@ -11,8 +11,9 @@
    is one grid, its equal counts a cell.  Pairs that meet in no cell are
    farther apart than the radius, for certain.
 4. Pairs of a cell within the Manhattan radius are verified by exact Hamming
-   distance.  A cell gives out a spanning forest of its links, never all pairs,
-   so a large group of near copies costs rows in proportion to its size.
+   distance.  A cell gives out one link a row, to the least row of its component,
+   never all pairs: a large group of near copies costs rows in proportion to its
+   size.
 5. Links are closed into components by distributed star contraction.
 
 Edge cases: null and empty texts have fingerprint zero and link like any other;
@@ -147,12 +148,10 @@ class Forest:
             x = above
         return root
 
-    def join(self, a: int, b: int) -> bool:
+    def join(self, a: int, b: int) -> None:
         a, b = self.find(a), self.find(b)
-        if a == b:
-            return False
-        self.up[max(a, b)] = min(a, b)
-        return True
+        if a != b:
+            self.up[max(a, b)] = min(a, b)
 
 
 def near(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
@@ -163,7 +162,9 @@ def near(a: np.ndarray, b: np.ndarray, radius: int) -> np.ndarray:
 
 
 def cell_links(key: np.ndarray, fp: np.ndarray, node: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
-    """A spanning forest of the links among rows of equal key (keys sorted)."""
+    """The linked components of each run of equal keys (keys sorted), every row as a
+    link to its component's least row: grids that find the same group give the same
+    links."""
     change = np.flatnonzero(np.diff(key)) + 1
     first = np.concatenate([[0], change])
     size = np.diff(np.concatenate([first, [len(key)]]))
@@ -195,13 +196,11 @@ def cell_links(key: np.ndarray, fp: np.ndarray, node: np.ndarray, radius: int) -
                     right.append(nodes[reached])
                     queue += reached.tolist()
     forest = Forest()
-    out_a, out_b = [], []
     if left:
         for a, b in zip(np.concatenate(left).tolist(), np.concatenate(right).tolist(), strict=True):
-            if forest.join(a, b):
-                out_a.append(max(a, b))
-                out_b.append(min(a, b))
-    return out_a, out_b
+            forest.join(a, b)
+    out = [(x, root) for x in list(forest.up) if (root := forest.find(x)) != x]
+    return [x for x, _ in out], [root for _, root in out]
 
 
 def hamming_links(points: DataFrame, radius: int, n: int) -> DataFrame:
@@ -214,8 +213,8 @@ def hamming_links(points: DataFrame, radius: int, n: int) -> DataFrame:
 
 def grid_links(points: DataFrame, fp_cols: list[str], grids: list[list[int]], radius: int) -> DataFrame:
     """(src, dst) links of points that share a cell of some grid and are within
-    ``radius`` of each other.  Links within a cell are given as a spanning forest,
-    so their closure is exact while their number stays in proportion to the cells.
+    ``radius`` of each other.  The components of a cell are given as stars, so their
+    closure is exact while their number stays in proportion to the cells.
 
     A grid is a mask of the unary code for each of ``fp_cols``.
     """
