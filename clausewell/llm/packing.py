@@ -11,7 +11,7 @@ Tokens are cached by space-delimited chunk: between two characters that are no
 white space, a single space always begins a new pre-token of a byte-level BPE, so
 ids of the chunks are the ids of the text.  Texts where that doesn't hold (double
 spaces, white space beside a space, a special token's own string) are encoded whole.
-Caches are bounded and live as long as the worker.
+Caches are bounded and live as long as their task.
 
 Edge cases: null reads as empty; an empty text is the end token alone; repeated
 rows are packed each; an empty table gives no rows.
@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame, functions as F
 from .common import materialize
 
 CAPACITY = 1024
-#: Chunks of each generation of a worker's cache.
-CACHE = 600_000
+#: Chunks of each generation of a task's cache, and of one call of the tokenizer.
+CACHE, AT_ONCE = 300_000, 10_000
 #: Texts whose chunks are held at once.
 TEXTS_AT_ONCE = 2000
 #: Marks that end a pre-token of letters whatever follows.
@@ -78,8 +78,10 @@ class Cache(dict):
 
     def encode(self, chunks: set[str]) -> None:
         some = list(chunks)
-        found = self.tokenizer.encode_batch_fast([self.prefix + c for c in some], add_special_tokens=False)
-        self.update(zip(some, [array("I", x.ids).tobytes() for x in found], strict=True))
+        for k in range(0, len(some), AT_ONCE):
+            part = some[k : k + AT_ONCE]
+            found = self.tokenizer.encode_batch_fast([self.prefix + c for c in part], add_special_tokens=False)
+            self.update(zip(part, [array("I", x.ids).tobytes() for x in found], strict=True))
 
 
 class Marks(dict):
@@ -121,24 +123,14 @@ class Encoder:
             yield array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder_of(path: str) -> Encoder:
-    """The worker's encoder, kept from task to task."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
-
-
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every document's pieces."""
     id_type = docs.schema[id_col].dataType.simpleString()
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(tokenizer_path)
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        encoder = Encoder(tokenizer_path)
         for batch in batches:
             at, piece, start, length, crc = [], [], [], [], []
             texts = [t or "" for t in batch.column(1).to_pylist()]
