@@ -3,9 +3,9 @@
 The candidates come from the SimHash grid join of ``simhash``: 128-bit fingerprints
 of the distinct shingles, embedded by segment bit counts, meeting in grids and held
 to a Hamming radius well beyond what a similarity of 0.8 gives.  At such a radius no
-grid can be both exhaustive and selective, so the number of grids is set for a
-chance of about 98 % that a pair just at the threshold shares a cell (pairs more
-alike: nearly surely).  Every candidate group is then verified by exact Jaccard
+grid can be both exhaustive and selective, so the number of grids is set, at every
+size of the corpus, for a chance of 98 % that a pair just at the threshold shares a
+cell, averaged over the spread of distances (pairs more alike: more surely).  Every candidate group is then verified by exact Jaccard
 similarity of the shingle sets, and groups are the components of verified links.
 
 Texts with equal shingle sets are one point from the start, so copies by the
@@ -20,6 +20,7 @@ that repeat an id stay or go together; an empty table stays empty.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,10 @@ SHINGLE = 5
 THRESHOLD = 0.8
 #: Of 128 bits: a similarity of 0.8 differs in 19 on average, spread 4.
 RADIUS = 32
+#: Chance that a segment counts the same in two texts at the threshold.
+EQUAL = 0.734
+#: Chance that such a pair meets in a grid.
+RECALL = 0.98
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -90,13 +95,21 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 def grids_for(n: int) -> list[list[int]]:
     """Masks of the grids for about ``n`` points: the more points, the more segments
-    a cell fixes and the more grids it takes to meet."""
+    a cell fixes and the more grids it takes to meet.  The equal segments of a pair
+    are binomial; unlike pairs weigh most, so a mean distance would promise too much."""
     segments = 2 * BITS // SEGMENT
     fixed = int(np.clip(np.ceil((np.log2(max(n, 2)) - 6) / 1.5), 4, 20))
-    meet = np.prod([(0.734 * segments - i) / (segments - i) for i in range(fixed)])
+    chance = np.array([comb(segments, k) * EQUAL**k * (1 - EQUAL) ** (segments - k) for k in range(segments + 1)])
+    miss = 1 - np.array([comb(k, fixed) / comb(segments, fixed) for k in range(segments + 1)])
+    few, many = 0, 1
+    while 1 - chance @ miss**many < RECALL:
+        few, many = many, 2 * many
+    while many - few > 1:
+        half = (few + many) // 2
+        few, many = (half, many) if 1 - chance @ miss**half < RECALL else (few, half)
     random = np.random.default_rng(20260101)
     out = []
-    for _ in range(int(np.ceil(4 / meet))):
+    for _ in range(many):
         mask = sum(0b11 << (SEGMENT * int(s)) for s in random.choice(segments, fixed, replace=False))
         out.append([mask >> BITS, mask & ((1 << BITS) - 1)])
     return out

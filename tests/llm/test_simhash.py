@@ -108,3 +108,22 @@ def test_near_duplicates_are_groups_of_similar_texts(spark):
     kept = {r["doc_id"] for r in neardup.drop_near_duplicates(documents(spark, texts)).collect()}
     assert kept == {i for i in ids if want[i] == i}
     assert neardup.drop_near_duplicates(documents(spark, [])).count() == 0
+
+
+def test_pairs_at_the_threshold_meet_at_every_size():
+    r = np.random.default_rng(7)
+    pairs, shared, own = 1500, 400, 50
+    prints = []
+    for seed in (1, 2):
+        sets = r.integers(0, 2**63, (pairs, shared + 2 * own), dtype=np.uint64) * np.uint64(2) + np.uint64(seed - 1)
+        for at in (slice(0, shared + own), [*range(shared), *range(shared + own, shared + 2 * own)]):
+            h = sets[:, at]
+            prints.append(simhash.majority(h.astype(">u8").tobytes(), np.repeat(np.arange(pairs), h.shape[1]), np.full(pairs, h.shape[1])))
+    codes = [simhash.unary_counts_np(x) for x in prints]
+    hi, lo = codes[0] ^ codes[1], codes[2] ^ codes[3]
+    for n in (1e3, 1e4, 1.5e5, 1e6, 1e7, 3e7):
+        met = np.zeros(pairs, dtype=bool)
+        for a, b in neardup.grids_for(int(n)):
+            met |= ((hi & np.uint64(a)) == 0) & ((lo & np.uint64(b)) == 0)
+        print(int(n), len(neardup.grids_for(int(n))), met.mean())
+        assert met.mean() > 0.97, n
