@@ -10,7 +10,9 @@ similarity of the shingle sets, and groups are the components of verified links.
 
 Texts with equal shingle sets are one point from the start, so copies by the
 thousand cost a row each in one aggregation.  Groups of over ``group_rows`` distinct
-texts are dealt to several tasks, then the representatives of their parts meet.
+texts are dealt to several tasks.  What a part leaves unlinked to the largest tree of
+its group then meets all other texts of the group, not representatives only, so that
+every pair of a group is either tested or joined already.
 
 Edge cases: null and empty texts have no shingles and count as copies of each other;
 texts under five words are one shingle; rows without an id are never removed; rows
@@ -126,12 +128,11 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def group_links(nodes: list[int], sets: list[np.ndarray], threshold: float = THRESHOLD) -> tuple[list[tuple[int, int]], list[int]]:
-    """Spanning forest of the verified links of a group, and a root of each tree."""
-    links, roots, todo = [], [], list(range(len(nodes)))
+def group_links(nodes: list[int], sets: list[np.ndarray], threshold: float = THRESHOLD) -> list[tuple[int, int]]:
+    """Spanning forest of the verified links of a group."""
+    links, todo = [], list(range(len(nodes)))
     while todo:
         root, *todo = todo
-        roots.append(nodes[root])
         queue = [root]
         while queue and todo:
             x = queue.pop()
@@ -143,43 +144,86 @@ def group_links(nodes: list[int], sets: list[np.ndarray], threshold: float = THR
                 else:
                     rest.append(y)
             todo = rest
-    return links, roots
+    return links
+
+
+def cross_links(left: list[int], nodes: list[int], trees: list[int], sets: list[np.ndarray], threshold: float = THRESHOLD) -> list[tuple[int, int]]:
+    """Verified links that join trees, of the texts at ``left`` with all texts."""
+    size = np.array([len(x) for x in sets])
+    hashes, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(hashes, kind="stable")
+    hashes, row = hashes[order], row[order]
+    label = np.array(trees)
+    links = []
+    for x in left:
+        first, last = np.searchsorted(hashes, sets[x]), np.searchsorted(hashes, sets[x], side="right")
+        holders = [row[a:b] for a, b in zip(first.tolist(), last.tolist(), strict=True) if b - a > 1]
+        if not holders:
+            continue
+        both = np.bincount(np.concatenate(holders), minlength=len(sets))
+        for y in np.flatnonzero((both >= threshold * (size[x] + size - both)) & (label != label[x])).tolist():
+            if label[y] != label[x] and jaccard(sets[x], sets[y]) >= threshold:
+                links.append((nodes[y], nodes[x]))
+                label[label == label[y]] = label[x]
+    return links
+
+
+def _sets(texts: list[str | None]) -> list[np.ndarray]:
+    sets: list[np.ndarray] = []
+    for _, raw, offsets in slices(pa.array(texts, pa.string())):
+        row, h = shingle_sets(raw, offsets)
+        sets += np.split(h, np.searchsorted(row, np.arange(1, len(offsets) - 1)))
+    return sets
 
 
 def _verified(rows: DataFrame, threshold: float) -> DataFrame:
-    """rows (grp, part, node, text) -> (src, dst, node, grp, text): links, and the
-    representatives of the parts of divided groups with their texts."""
-    schema = "src bigint, dst bigint, node bigint, grp bigint, text string"
+    """rows (grp, x, y, side, node, tree, text) -> (src, dst): the links within each
+    (grp, x, y), or if sides are given, those from side x to side y."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, nodes, texts = None, [], []
+        key, kept = None, []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            sets: list[np.ndarray] = []
-            for _, raw, offsets in slices(pa.array(texts, pa.string())):
-                row, h = shingle_sets(raw, offsets)
-                sets += np.split(h, np.searchsorted(row, np.arange(1, len(offsets) - 1)))
-            links, roots = group_links(nodes, sets, threshold)
-            by = dict(zip(nodes, texts, strict=True))
-            out = [(a, b, None, None, None) for a, b in links]
-            out += [(None, None, r, key[0], by[r]) for r in roots] if key[1] >= 0 else []
-            if out:
-                types = [pa.int64()] * 4 + [pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=["src", "dst", "node", "grp", "text"])
+            sides, nodes, trees, texts = zip(*kept, strict=True)
+            if sides[0] is None:
+                links = group_links(list(nodes), _sets(list(texts)), threshold)
+            else:
+                left = [i for i, side in enumerate(sides) if side == key[1]]
+                links = cross_links(left, list(nodes), list(trees), _sets(list(texts)), threshold)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], names=["src", "dst"])
 
         for batch in batches:
-            for grp, part, node, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (grp, part) != key:
-                    if nodes:
+            for grp, x, y, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (grp, x, y) != key:
+                    if kept:
                         yield from flush()
-                    key, nodes, texts = (grp, part), [], []
-                nodes.append(node)
-                texts.append(text)
-        if nodes:
+                    key, kept = (grp, x, y), []
+                kept.append(rest)
+        if kept:
             yield from flush()
 
-    dealt = rows.select("grp", "part", "node", "text").repartition("grp", "part").sortWithinPartitions("grp", "part", "node")
-    return dealt.mapInArrow(run, schema)
+    dealt = rows.select("grp", "x", "y", "side", "node", "tree", "text").repartition("grp", "x", "y").sortWithinPartitions("grp", "x", "y", "node")
+    return dealt.mapInArrow(run, "src bigint, dst bigint")
+
+
+def meetings(divided: DataFrame, links: DataFrame, part_rows: int) -> DataFrame:
+    """divided (node, grp), links within parts -> (node, grp, tree, x, y, side): the
+    tasks in which every text outside the largest tree of its group meets all texts of
+    the group.  Parts of the rest are numbered first, then those of the largest tree."""
+    trees = connected_components(links, "neardup-trees")
+    of = materialize(divided.join(trees, "node", "left").select("node", "grp", F.coalesce("component", "node").alias("tree")), "neardup-trees")
+    sizes = of.groupBy("grp", "tree").agg(F.count("*").alias("n"))
+    groups = sizes.groupBy("grp").agg(F.max(F.struct("n", "tree")).alias("main"), F.sum("n").alias("n")).where("n > main.n")
+    count = lambda n: F.ceil(n / part_rows).cast("int")
+    groups = groups.select("grp", F.col("main.tree").alias("main"), count(F.col("n") - F.col("main.n")).alias("rest"), count(F.col("main.n")).alias("more"))
+    inside = F.col("tree") == F.col("main")
+    deal = lambda n: F.pmod(F.xxhash64("node", F.lit(1)), n).cast("int")
+    side = F.when(inside, F.col("rest") + deal(F.col("more"))).otherwise(deal(F.col("rest")))
+    rows = of.join(F.broadcast(groups), "grp").withColumn("side", side)  # one row for each divided group
+    other = F.explode(F.sequence(F.lit(0), F.when(inside, F.col("rest") - 1).otherwise(F.col("rest") + F.col("more") - 1)))
+    rows = rows.withColumn("other", other)
+    return rows.select("node", "grp", "tree", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side")
 
 
 def duplicate_groups(docs: DataFrame, threshold: float = THRESHOLD, group_rows: int = 4000) -> DataFrame:
@@ -192,11 +236,15 @@ def duplicate_groups(docs: DataFrame, threshold: float = THRESHOLD, group_rows:
     sizes = roots.groupBy("component").agg(F.count("*").alias("n"))
     parts = F.ceil(F.col("n") / group_rows)
     part = F.when(parts > 1, F.pmod(F.xxhash64("node"), parts)).otherwise(F.lit(-1))  # -1: the group is whole
-    asked = materialize(roots.join(sizes, "component").select("node", F.col("component").alias("grp"), part.cast("int").alias("part")), "neardup-asked")
+    asked = materialize(roots.join(sizes, "component").select("node", F.col("component").alias("grp"), part.cast("int").alias("x")), "neardup-asked")
     texts = rows.join(asked, F.col("doc_id") == F.col("node")).dropDuplicates(["node"])
-    first = materialize(_verified(texts, threshold), "neardup-verified")
-    again = first.where("node is not null").withColumn("part", F.lit(-1))
-    links = first.where("src is not null").select("src", "dst").union(_verified(again, threshold).where("src is not null").select("src", "dst"))
+    none = F.lit(None)
+    links = materialize(_verified(texts.select("*", F.col("x").alias("y"), none.cast("int").alias("side"), none.cast("bigint").alias("tree")), threshold), "neardup-verified")
+    divided = asked.where("x >= 0").select("node", "grp")
+    if not divided.isEmpty():
+        due = materialize(meetings(divided, links, max(1, group_rows // 2)), "neardup-meetings")
+        held = rows.join(due.select("node").distinct(), F.col("doc_id") == F.col("node"), "left_semi").dropDuplicates(["doc_id"])
+        links = links.union(_verified(due.join(held, F.col("doc_id") == F.col("node")), threshold))
     groups = connected_components(links, "neardup-groups")
     of = points.join(groups, "node", "left").select("hi", "lo", "content", F.coalesce("component", "node").alias("group_id"))
     return marked.join(of, ["hi", "lo", "content"]).select("doc_id", "group_id")

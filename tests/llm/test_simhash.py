@@ -110,6 +110,25 @@ def test_near_duplicates_are_groups_of_similar_texts(spark):
     assert neardup.drop_near_duplicates(documents(spark, [])).count() == 0
 
 
+def test_a_star_of_unlike_copies_is_one_group_when_divided(spark):
+    hub = prose(51, 300).split()
+    copies = []
+    for i in range(60):
+        w = list(hub)
+        for j in range(5):
+            w[(7 * i + 59 * j) % 290 + 4] = f"own{i}x{j}"
+        copies.append((1000 + i, " ".join(w)))
+    texts = [*copies, (5000, " ".join(hub))]
+    sets = {i: shingles(t) for i, t in texts}
+    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    ids = list(sets)
+    want = brute_components([(a, b) for a in ids for b in ids if a < b and alike(a, b)], ids)
+    assert sum(alike(a, b) for a in ids[:60] for b in ids[:60] if a < b) < 60 and set(want.values()) == {1000}
+    for group_rows in (10, 1000):
+        got = neardup.duplicate_groups(documents(spark, texts), group_rows=group_rows).collect()
+        assert {r["doc_id"]: r["group_id"] for r in got} == want
+
+
 def test_pairs_at_the_threshold_meet_at_every_size():
     r = np.random.default_rng(7)
     pairs, shared, own = 1500, 400, 50
