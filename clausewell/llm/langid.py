@@ -4,7 +4,9 @@ Texts become TF-IDF vectors of hashed byte trigrams (letters only, lower case),
 scaled to length one.  Each language is described by a few centroids, found by
 spherical k-means on a bounded sample of its labelled texts; a text takes the
 language of the centroid with the largest cosine.  Every centroid has a floor, the
-lowest cosine that still counts as near: below it the text is rejected.
+lowest cosine that still counts as near: below it the text is rejected.  So is a text
+whose trigrams noise explains better than any learnt language does, noise being a
+random choice of hashed trigrams: texts in unlearned languages and gibberish go.
 
 Document frequencies cover all training rows.  The k-means sample is bounded:
 ``sample`` texts a language, chosen by hash of the id.
@@ -93,6 +95,12 @@ def cluster(x: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.nda
     return c, np.full(len(c), np.quantile(cosine.max(axis=1), 0.001))
 
 
+def evidence(counts: np.ndarray) -> np.ndarray:
+    """Of each hashed trigram, for the language of these summed counts and against noise:
+    the logarithm of how many times as frequent it is there as in a random choice."""
+    return np.log((counts + 1) / (counts.sum() + DIM) * DIM).astype(np.float32)
+
+
 def fit(docs: DataFrame, centroids: int = 4, sample: int = 1000, slack: float = 0.1) -> dict:
     """Train on columns doc_id, text, lang (rows with a null lang or text don't count).
 
@@ -108,17 +116,22 @@ def fit(docs: DataFrame, centroids: int = 4, sample: int = 1000, slack: float =
     shared = spark.sparkContext.broadcast(idf)
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [unit_vectors(gram_counts(raw, offsets), shared.value) for _, raw, offsets in slices(pa.array(pdf["text"].tolist()), rows=ROWS)]
+        parts, seen = [], np.zeros(DIM)
+        for _, raw, offsets in slices(pa.array(pdf["text"].tolist()), rows=ROWS):
+            counts = gram_counts(raw, offsets)
+            seen += np.log1p(counts).sum(axis=0)
+            parts.append(unit_vectors(counts, shared.value))
         x = np.concatenate(parts)
         x = x[np.abs(x).sum(axis=1) > 0]
         if not len(x):
-            return pd.DataFrame({"lang": [], "centroid": [], "floor": []})
+            return pd.DataFrame({"lang": [], "centroid": [], "floor": [], "evidence": []})
         c, floors = cluster(x, centroids)
-        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centroid": list(c.astype(np.float32)), "floor": floors})
+        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centroid": list(c.astype(np.float32)), "floor": floors, "evidence": [evidence(seen)] * len(c)})
 
-    found = rows.join(chosen, ["doc_id", "lang"], "left_semi").groupBy("lang").applyInPandas(learn, "lang string, centroid array<float>, floor double").collect()
+    found = rows.join(chosen, ["doc_id", "lang"], "left_semi").groupBy("lang").applyInPandas(learn, "lang string, centroid array<float>, floor double, evidence array<float>").collect()
     found.sort(key=lambda r: (r["lang"], list(r["centroid"])))
-    return {"idf": idf, "langs": [r["lang"] for r in found], "centroids": np.array([r["centroid"] for r in found], dtype=np.float32).reshape(-1, DIM), "floors": slack * np.array([r["floor"] for r in found])}
+    by_lang = {r["lang"]: r["evidence"] for r in found}
+    return {"idf": idf, "evidence": np.array(list(by_lang.values()), dtype=np.float32).reshape(-1, DIM), "langs": [r["lang"] for r in found], "centroids": np.array([r["centroid"] for r in found], dtype=np.float32).reshape(-1, DIM), "floors": slack * np.array([r["floor"] for r in found])}
 
 
 def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -142,13 +155,15 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
                     some[i] = any(c.isalpha() for c in raw[offsets[i] : offsets[i + 1]].tobytes().decode())
                 if not len(m["langs"]):
                     continue
-                cosine = unit_vectors(gram_counts(raw, offsets), m["idf"]) @ m["centroids"].T
+                counts = gram_counts(raw, offsets)
+                cosine = unit_vectors(counts, m["idf"]) @ m["centroids"].T
+                noise = (np.log1p(counts) @ m["evidence"].T).max(axis=1) < 0
                 near = np.argmax(cosine, axis=1)
                 top = cosine[np.arange(rows), near]
                 at = slice(first, first + rows)
                 best[at] = np.where(some, near, len(langs) - 1)
                 score[at] = np.where(some, np.clip(top, 0, 1), 0)
-                rejected[at] = ~some | (top < m["floors"][near])
+                rejected[at] = ~some | noise | (top < m["floors"][near])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs[best].tolist(), pa.string()), pa.array(score), pa.array(rejected)], names=["doc_id", "lang_pred", "score", "rejected"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {id_type}, lang_pred string, score double, rejected boolean")

@@ -1,5 +1,6 @@
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -33,6 +34,26 @@ def test_languages_are_told_apart(spark):
     assert langid.predict(docs.where("false"), model).count() == 0
 
 
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01").exists(), reason="no test tables here")
+def test_unlearned_languages_and_gibberish_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    r = random.Random(1)
+    strange = [
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        "Minden emberi lény szabadon születik és egyenlő méltósága és joga van.",
+        "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
+        "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+        "يولد جميع الناس أحراراً متساوين في الكرامة والحقوق. وقد وهبوا عقلاً وضميراً",
+        "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(400)),
+        " ".join("".join(r.choice("bcdfghjklmnpqrstvwxz") for _ in range(r.randint(3, 9))) for _ in range(80)),
+    ]
+    model = langid.fit(docs.where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1))
+    assert all(r["rejected"] for r in langid.predict(documents(spark, list(enumerate(strange))), model).collect())
+    clean = docs.where("lang is not null and length(text) >= 200")
+    assert langid.predict(clean, model).where("rejected").count() <= 0.002 * clean.count()
+
+
 def test_positive_unlabelled_learning_finds_junk(spark):
     junk = lambda i: " ".join(w.upper() + "!!" for w in prose(i, 60).split()) if i % 2 else " ".join([f"w{i}"] * 50)
     texts = [(i, junk(i) if i % 5 == 0 else prose(i, 60)) for i in range(1000, 1600)]
