@@ -134,6 +134,33 @@ def fit(docs: DataFrame, centroids: int = 4, sample: int = 1000, slack: float =
     return {"idf": idf, "evidence": np.array(list(by_lang.values()), dtype=np.float32).reshape(-1, DIM), "langs": [r["lang"] for r in found], "centroids": np.array([r["centroid"] for r in found], dtype=np.float32).reshape(-1, DIM), "floors": slack * np.array([r["floor"] for r in found])}
 
 
+def judged(texts: pa.Array, m: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the nearest centroid (their count: none), score, rejected of each text."""
+    none = len(m["langs"])
+    best, score = np.full(len(texts), none), np.zeros(len(texts))
+    rejected = np.ones(len(texts), dtype=bool)
+    if not none:
+        return best, score, rejected
+    for first, raw, offsets in slices(texts, rows=ROWS):
+        rows = len(offsets) - 1
+        # Without a letter among ASCII and no other byte there is none at all.
+        letters = np.add.reduceat(np.append(_LETTERS[raw] != 32, False), offsets[:-1]) * (np.diff(offsets) > 0)
+        plain = np.add.reduceat(np.append((_LETTERS[raw] != 32) & (raw < 128), False), offsets[:-1]) * (np.diff(offsets) > 0)
+        some = letters > 0
+        for i in np.flatnonzero(some & (plain == 0)):
+            some[i] = any(c.isalpha() for c in raw[offsets[i] : offsets[i + 1]].tobytes().decode())
+        counts = gram_counts(raw, offsets)
+        cosine = unit_vectors(counts, m["idf"]) @ m["centroids"].T
+        noise = (np.log1p(counts) @ m["evidence"].T).max(axis=1) < 0
+        near = np.argmax(cosine, axis=1)
+        top = cosine[np.arange(rows), near]
+        at = slice(first, first + rows)
+        best[at] = np.where(some, near, none)
+        score[at] = np.where(some, np.clip(top, 0, 1), 0)
+        rejected[at] = ~some | noise | (top < m["floors"][near])
+    return best, score, rejected
+
+
 def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, rejected) of every row; texts are the only input."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -143,27 +170,19 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
         m = shared.value
         langs = np.array([*m["langs"], "und"], dtype=object)
         for batch in batches:
-            best, score = np.full(len(batch), len(langs) - 1), np.zeros(len(batch))
-            rejected = np.ones(len(batch), dtype=bool)
-            for first, raw, offsets in slices(batch.column(1), rows=ROWS):
-                rows = len(offsets) - 1
-                # Without a letter among ASCII and no other byte there is none at all.
-                letters = np.add.reduceat(np.append(_LETTERS[raw] != 32, False), offsets[:-1]) * (np.diff(offsets) > 0)
-                plain = np.add.reduceat(np.append((_LETTERS[raw] != 32) & (raw < 128), False), offsets[:-1]) * (np.diff(offsets) > 0)
-                some = letters > 0
-                for i in np.flatnonzero(some & (plain == 0)):
-                    some[i] = any(c.isalpha() for c in raw[offsets[i] : offsets[i + 1]].tobytes().decode())
-                if not len(m["langs"]):
-                    continue
-                counts = gram_counts(raw, offsets)
-                cosine = unit_vectors(counts, m["idf"]) @ m["centroids"].T
-                noise = (np.log1p(counts) @ m["evidence"].T).max(axis=1) < 0
-                near = np.argmax(cosine, axis=1)
-                top = cosine[np.arange(rows), near]
-                at = slice(first, first + rows)
-                best[at] = np.where(some, near, len(langs) - 1)
-                score[at] = np.where(some, np.clip(top, 0, 1), 0)
-                rejected[at] = ~some | noise | (top < m["floors"][near])
+            best, score, rejected = judged(batch.column(1), m)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs[best].tolist(), pa.string()), pa.array(score), pa.array(rejected)], names=["doc_id", "lang_pred", "score", "rejected"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {id_type}, lang_pred string, score double, rejected boolean")
+
+
+def keep_near(docs: DataFrame, model: dict) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, each judged where it stands."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    text = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(~judged(batch.column(text), shared.value)[2]))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -15,8 +15,10 @@ its group then meets all other texts of the group, not representatives only, so
 every pair of a group is either tested or joined already.
 
 Edge cases: null and empty texts have no shingles and count as copies of each other;
-texts under five words are one shingle; rows without an id are never removed; rows
-that repeat an id stay or go together; an empty table stays empty.
+texts under five words are one shingle; ``drop_near_duplicates`` decides on rows, so
+rows without an id or with a repeated one are copies like any other (of a group, the
+row of the least id stays, one without an id only if no other is there); an empty
+table stays empty.  ``duplicate_groups`` leaves out rows without an id.
 """
 
 from __future__ import annotations
@@ -251,6 +253,11 @@ def duplicate_groups(docs: DataFrame, threshold: float = THRESHOLD, group_rows:
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with the row of the least id of each group."""
-    extra = materialize(duplicate_groups(docs, threshold).where("doc_id <> group_id").select(F.col("doc_id").alias("__cw_gone")).distinct(), "neardup-gone")
-    return docs.join(extra, F.col("doc_id").cast("bigint") == F.col("__cw_gone"), "left_anti").select(*docs.columns)
+    """``docs`` with one row of each group, that of the least id."""
+    rows = materialize(docs.withColumn("__cw_row", F.monotonically_increasing_id()), "neardup-rows")
+    groups = duplicate_groups(rows.select(F.col("__cw_row").alias("doc_id"), "text"), threshold)
+    ids = rows.select("__cw_row", F.col("doc_id").cast("bigint").alias("id"))
+    grouped = materialize(groups.withColumnRenamed("doc_id", "__cw_row").join(ids, "__cw_row"), "neardup-rows-grouped")
+    first = grouped.groupBy("group_id").agg(F.count("*").alias("n"), F.min(F.struct(F.col("id").isNull(), "id", "__cw_row")).alias("first")).where("n > 1")
+    gone = grouped.join(first, "group_id").where(F.col("__cw_row") != F.col("first.__cw_row")).select(F.col("__cw_row").alias("__cw_gone"))
+    return rows.join(materialize(gone, "neardup-gone"), F.col("__cw_row") == F.col("__cw_gone"), "left_anti").select(*docs.columns)

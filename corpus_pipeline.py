@@ -19,9 +19,7 @@ from clausewell.llm.queries import language_model, tokenizer_path
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is near a language's centroid stay."""
-    out = langid.predict(docs.where("doc_id is not null"), language_model(docs))
-    gone = materialize(out.where("rejected").select(F.col("doc_id").alias("__cw_gone")).distinct(), "rejected")
-    return docs.join(gone, F.col("doc_id") == F.col("__cw_gone"), "left_anti").select(*docs.columns)
+    return langid.keep_near(docs, language_model(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,10 +28,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a copy of a benchmark item go."""
-    found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that hold a copy of a benchmark item go, known by their texts: a row
+    needs no id, and one that shares its id with another is judged by itself."""
+    found = decontam.contaminated(docs.select(F.md5("text").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
     gone = materialize(found.select(F.col("doc_id").alias("__cw_gone")).distinct(), "contaminated")
-    return docs.join(gone, F.col("doc_id") == F.col("__cw_gone"), "left_anti").select(*docs.columns)
+    return docs.join(gone, F.md5("text") == F.col("__cw_gone"), "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

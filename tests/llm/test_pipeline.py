@@ -88,3 +88,21 @@ def test_an_empty_corpus_stays_empty(spark, folder, tmp_path):
     spark.read.parquet(f"{path}/documents.parquet").where("false").write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{path}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_rows_without_an_id_or_with_a_repeated_one_are_judged_by_themselves(spark, folder, tmp_path):
+    path, texts, items = folder
+    passage = texts[400]
+    more = [(None, "12345 !!"), (None, texts[3]), (None, passage), (None, tongue("xx", 4000, 90)), (700, "123 !!"), (700, tongue("yy", 4001, 90)), (701, passage + " ka"), (701, tongue("xx", 4002, 90))]
+    docs = spark.read.parquet(f"{path}/documents.parquet").union(spark.createDataFrame([(i, t, None, "s", len(t), "z") for i, t in more], SCHEMA))
+    stages = dict(corpus_pipeline.STAGES)
+    known = stages["language_id"](spark, docs, path)
+    got = [(r["doc_id"], r["text"]) for r in known.collect()]
+    assert (None, "12345 !!") not in got and (700, "123 !!") not in got
+    assert (700, more[5][1]) in got and (None, more[3][1]) in got
+    single = [(r["doc_id"], r["text"]) for r in stages["near_dedup"](spark, known, path).collect()]
+    assert (None, texts[3]) not in single and (3, texts[3]) in single and (None, passage) not in single
+    assert {(None, more[3][1]), (700, more[5][1]), (701, more[7][1])} <= set(single)
+    clean = [(r["doc_id"], r["text"]) for r in stages["decontamination"](spark, known, path).collect()]
+    assert not [x for x in clean if passage in x[1]]
+    assert {(None, more[3][1]), (701, more[7][1])} <= set(clean)
