@@ -7,11 +7,12 @@ bins, one bit of a bitset for each amount of free space that some open bin has;
 piece goes into the bin that it fills best, found by a shift and the lowest set
 bit.  When too many bins are open, the fullest closes first.
 
-Tokens are cached by space-delimited chunk: between two characters that are no
-white space, a single space always begins a new pre-token of a byte-level BPE, so
-ids of the chunks are the ids of the text.  Texts where that doesn't hold (double
-spaces, white space beside a space, a special token's own string) are encoded whole.
-Caches are bounded and live as long as their task.
+Texts are cut at spaces in Arrow, and each distinct chunk of a slice is encoded once:
+between two characters that are no white space, a single space always begins a new
+pre-token of a byte-level BPE, so ids of the chunks are the ids of the text.  Texts
+where that doesn't hold (double spaces, white space beside a space, a special token's
+own string) are encoded whole.  ``Encoder`` reads from the tokenizer's file whether it
+is such a BPE; any other tokenizer encodes all texts whole.
 
 Edge cases: null reads as empty; an empty text is the end token alone; repeated
 rows are packed each; an empty table gives no rows.
@@ -19,135 +20,201 @@ rows are packed each; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
-from array import array
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .common import materialize
 
 CAPACITY = 1024
-#: Chunks of each generation of a task's cache, and of one call of the tokenizer.
-CACHE, AT_ONCE = 300_000, 10_000
-#: Texts whose chunks are held at once.
-TEXTS_AT_ONCE = 2000
-#: Marks that end a pre-token of letters whatever follows.
-MARKS = ".,|!*%$&#;:?"
-
-
-class Cache(dict):
-    """Chunk -> ids as little-endian uint32 bytes, for chunks led by one prefix.
-
-    Two generations: a full one becomes the old one, whose entries that are asked for
-    again move to the new one; so memory is bounded and frequent chunks stay.
-    """
-
-    def __init__(self, tokenizer, prefix: str):  # noqa: ANN001
-        super().__init__()
-        self.tokenizer, self.prefix, self.old, self.marks = tokenizer, prefix, {}, Marks(tokenizer)
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.old.get(chunk)
-        if ids is None:  # prepare() has encoded all chunks that may be cached
-            raise LookupError
-        self[chunk] = ids
-        return ids
-
-    def prepare(self, chunks: set[str]) -> None:
-        """Encode what is missing in one call.
-
-        Marks that close a chunk after a letter are a pre-token of their own, so a word
-        is encoded once and its forms are put together.  Chunks with white space at an
-        end can't be taken by themselves and stay missing.
-        """
-        if len(self) >= CACHE:
-            self.old = dict(self)
-            self.clear()
-        new = [c for c in chunks - self.keys() - self.old.keys() if c and c.strip() == c]
-        words = [w if (w := c.rstrip(MARKS)) and w[-1].isalpha() else c for c in new]
-        self.encode(set(words) - self.keys())
-        for chunk, word in zip(new, words, strict=True):
-            if len(word) != len(chunk):
-                self[chunk] = self[word] + self.marks[chunk[len(word) :]]
-
-    def encode(self, chunks: set[str]) -> None:
-        some = list(chunks)
-        for k in range(0, len(some), AT_ONCE):
-            part = some[k : k + AT_ONCE]
-            found = self.tokenizer.encode_batch_fast([self.prefix + c for c in part], add_special_tokens=False)
-            self.update(zip(part, [array("I", x.ids).tobytes() for x in found], strict=True))
-
-
-class Marks(dict):
-    """Closing marks -> ids; combinations are few."""
-
-    def __init__(self, tokenizer):  # noqa: ANN001
-        super().__init__()
-        self.tokenizer = tokenizer
-
-    def __missing__(self, marks: str) -> bytes:
-        ids = array("I", self.tokenizer.encode(marks, add_special_tokens=False).ids).tobytes()
-        if len(self) < 100_000:
-            self[marks] = ids
-        return ids
+#: Bytes of text whose chunks are held at once (more only for a single longer text).
+SLICE_BYTES = 16 << 20
+#: Characters of the distinct chunks that go to the tokenizer in one string.
+AT_ONCE = 1 << 16
+#: Fixed value: how byte-level BPE cuts text into pre-tokens.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Up to here the classes of characters are the same in every version of Unicode, so
+#: that two libraries cut alike.
+SETTLED = "^[\\x{1}-\\x{24F}]*$"
+
+
+def byte_symbols() -> dict[str, int]:
+    """The printable character that stands for each byte in a byte-level vocabulary:
+    printable Latin-1 for itself, the others from U+0100 on in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def ranks_of(path: str) -> dict[bytes, int] | None:
+    """Bytes -> id of a plain byte-level BPE whose ids follow its merges; else None."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    if not plain or spec.get("normalizer") or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or cut.get("use_regex") is False:
+        return None
+    special = {t["content"] for t in spec.get("added_tokens", [])}
+    symbols, vocab = byte_symbols(), model["vocab"]
+    merged = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in model["merges"]]
+    if any(b <= a for a, b in zip(merged, merged[1:], strict=False)) or any(c not in symbols for t in vocab if t not in special for c in t):
+        return None
+    return {bytes(symbols[c] for c in t): i for t, i in vocab.items() if t not in special}
 
 
 class Encoder:
-    """Ids of whole texts by a byte-level BPE, through caches of their chunks."""
+    """Ids of whole texts, the same as the tokenizer's own."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.first, self.rest = Cache(self.tokenizer, ""), Cache(self.tokenizer, " ")
-
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each whole text, as little-endian uint32."""
-        cut = [t.split(" ") for t in texts]
-        self.first.prepare({c[0] for c in cut})
-        self.rest.prepare(set(chain.from_iterable(c[1:] for c in cut)))
-        for text, chunks in zip(texts, cut, strict=True):
-            if not any(s in text for s in self.special):
-                try:
-                    yield self.first[chunks[0]] + b"".join(map(self.rest.__getitem__, chunks[1:]))
-                    continue
-                except LookupError:
-                    pass
-            yield array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        ranks = ranks_of(path)
+        self.fast = None
+        if ranks:
+            import tiktoken
+
+            self.fast = tiktoken.Encoding("from-file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            #: Of each id: does it begin with a space?
+            self.led = np.zeros(max(ranks.values()) + 1, dtype=bool)
+            self.led[[i for t, i in ranks.items() if t[:1] == b" "]] = True
+
+    def one(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def settled(self, texts: pa.Array) -> np.ndarray:
+        fine = pc.match_substring_regex(texts, SETTLED)
+        for s in self.special:
+            fine = pc.and_not(fine, pc.match_substring(texts, s))
+        return fine.to_numpy(zero_copy_only=False)
+
+    def whole(self, texts: pa.Array) -> list[list[int]]:
+        fine = self.settled(texts) if self.fast else np.zeros(len(texts), dtype=bool)
+        return [self.fast.encode_ordinary(t) if ok else self.one(t) for t, ok in zip(texts.to_pylist(), fine, strict=True)]
+
+    def chunks(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, size) of distinct chunks, a space before each; none holds a space
+        or has white space at an end, so in a string of many each is told by its space."""
+        fine = self.settled(distinct)
+        at, words = np.flatnonzero(fine), distinct.filter(pa.array(fine)).to_pylist()
+        till = np.cumsum([len(w) for w in words])
+        cuts = np.searchsorted(till, np.arange(0, till[-1] if len(till) else 0, AT_ONCE)).tolist() + [len(words)]
+        coded = [self.fast.encode_to_numpy(" " + " ".join(words[low:high])) for low, high in zip(cuts, cuts[1:], strict=False) if high > low]
+        rest = np.flatnonzero(~fine)
+        odd = [self.one(" " + w) for w in distinct.take(pa.array(rest)).to_pylist()]
+        pool = np.concatenate([np.zeros(0, np.uint32), *coded])
+        start = np.empty(len(distinct), dtype=np.int64)
+        size = np.empty(len(distinct), dtype=np.int64)
+        start[at] = np.flatnonzero(self.led[pool])
+        size[at] = np.diff(start[at], append=len(pool))
+        more, ends = _pooled(odd)
+        start[rest], size[rest] = len(pool) + ends[:-1], np.diff(ends)
+        return np.concatenate([pool, more]), start, size
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, offsets, row) of a slice's texts, in an order of their own."""
+        if not self.fast:
+            return *_pooled(self.whole(texts)), np.arange(len(texts))
+        cut = pc.split_pattern(texts, " ")
+        where = cut.offsets.to_numpy()
+        own = cut.flatten()
+        sound = pc.and_(pc.equal(own, pc.utf8_trim_whitespace(own)), pc.greater(pc.binary_length(own), 0)).to_numpy(zero_copy_only=False)
+        odd = np.zeros(len(texts), dtype=bool)
+        for s in self.special:
+            odd |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        odd |= np.add.reduceat(~sound, where[:-1]) > 0
+        good = np.flatnonzero(~odd)
+        bad = np.flatnonzero(odd)
+        led = np.ones(len(own), dtype=bool)
+        led[where[:-1]] = False
+        row = np.repeat(np.arange(len(texts)), np.diff(where))
+        used = np.flatnonzero(led & ~odd[row])
+        coded = own.take(pa.array(used)).dictionary_encode()
+        pool, start, size = self.chunks(coded.dictionary)
+        first, at = _pooled(self.whole(own.take(pa.array(where[:-1][good]))))
+        start, size = np.concatenate([start, len(pool) + at[:-1]]), np.concatenate([size, np.diff(at)])
+        pool = np.concatenate([pool, first])
+        which = np.empty(len(own), dtype=np.int64)
+        which[used] = coded.indices.to_numpy()
+        which[where[:-1][good]] = len(coded.dictionary) + np.arange(len(good))
+        which = which[~odd[row]]
+        start, size = start[which], size[which]
+        ends = np.cumsum(size)
+        ids = pool[np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(np.diff(where)[good])])]
+        more, at = _pooled(self.whole(texts.take(pa.array(bad))))
+        return np.concatenate([ids, more]), np.concatenate([offsets, offsets[-1] + at[1:]]), np.concatenate([good, bad])
+
+
+def _pooled(parts: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of ids as one array and the bounds of each."""
+    ends = np.zeros(len(parts) + 1, dtype=np.int64)
+    np.cumsum([len(p) for p in parts], out=ends[1:])
+    return np.fromiter(chain.from_iterable(parts), np.uint32, ends[-1]), ends
+
+
+def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, texts) of consecutive rows of about ``limit`` bytes; null is empty."""
+    column = pc.fill_null(column.cast(pa.string()), "")
+    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+    first = 0
+    while first < len(column):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + limit, side="right")))
+        yield first, column.slice(first, last - first)
+        first = last
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder of a file: read once, not for every task."""
+    if path not in _ENCODERS:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
+def cut_pieces(ids: np.ndarray, offsets: np.ndarray, end_id: int, capacity: int) -> tuple[np.ndarray, ...]:
+    """(text, piece, start, length, crc32) of texts' ids, each closed by the end id."""
+    texts = len(offsets) - 1
+    closed = np.full(len(ids) + texts, end_id, dtype="<u4")
+    closed[np.arange(len(ids)) + np.repeat(np.arange(texts), np.diff(offsets))] = ids
+    n = np.diff(offsets) + 1
+    count = (n + capacity - 1) // capacity
+    first = np.cumsum(count) - count
+    text = np.repeat(np.arange(texts), count)
+    piece = np.arange(len(text)) - first[text]
+    head = n - (count - 1) * capacity
+    start = np.where(piece == 0, 0, head[text] + (piece - 1) * capacity)
+    length = np.where(piece == 0, head[text], capacity)
+    begin = (offsets[:-1] + np.arange(texts))[text] + start
+    data = memoryview(closed.tobytes())
+    crc = np.array([zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(begin.tolist(), (begin + length).tolist(), strict=True)], dtype=np.int64)
+    return text, piece, start, length, crc
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every document's pieces."""
     id_type = docs.schema[id_col].dataType.simpleString()
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        encoder = Encoder(tokenizer_path)
+        coder = encoder(tokenizer_path)
         for batch in batches:
-            at, piece, start, length, crc = [], [], [], [], []
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            some = chain.from_iterable(encoder.ids(texts[k : k + TEXTS_AT_ONCE]) for k in range(0, len(texts), TEXTS_AT_ONCE))
-            for i, ids in enumerate(some):
-                ids += end
-                n = len(ids) // 4
-                begin, no = 0, 0
-                stop = n - (n - 1) // capacity * capacity
-                while begin < n:
-                    at.append(i)
-                    piece.append(no)
-                    start.append(begin)
-                    length.append(stop - begin)
-                    crc.append(zlib.crc32(ids[4 * begin : 4 * stop]))
-                    begin, stop, no = stop, stop + capacity, no + 1
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            for first, texts in text_slices(batch.column(1)):
+                ids, offsets, row = coder.ids(texts)
+                text, piece, start, length, crc = cut_pieces(ids, offsets, end_id, capacity)
+                own = batch.column(0).take(pa.array(first + row[text]))
+                yield pa.RecordBatch.from_arrays([own, pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint")
 

@@ -3,6 +3,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import awkward, documents, prose
 
@@ -19,13 +20,41 @@ def tokenizer():
     return Tokenizer.from_file(tokenizer_path())
 
 
-def test_cached_chunks_encode_as_whole_texts(tokenizer):
+def same(tokenizer, encoder, texts):
+    ids, offsets, row = encoder.ids(pa.array(texts, pa.string()))
+    assert sorted(row.tolist()) == list(range(len(texts)))
+    for i, a, b in zip(row.tolist(), offsets.tolist(), offsets[1:].tolist(), strict=False):
+        assert ids[a:b].tolist() == tokenizer.encode(texts[i], add_special_tokens=False).ids, repr(texts[i])
+
+
+def test_chunks_encode_as_whole_texts(tokenizer, monkeypatch):
     encoder = packing.Encoder(tokenizer_path())
+    assert encoder.fast
     r = random.Random(1)
     mixed = ["".join(r.choice(TEXTS + [" ", "\n", "word", " and"]) for _ in range(12)) for _ in range(400)]
-    texts = [*TEXTS, "", *mixed, prose(1, 300)]
-    for text, ids in zip(texts, encoder.ids(texts), strict=True):
-        assert list(np.frombuffer(ids, "<u4")) == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    some = [chr(c) for c in [*range(1, 0x250), 0x3B1, 0x4E00, 0x1F600, 0x2009, 0x2028, 0x3000]]
+    rare = ["".join(r.choice([*some, " ", " ", "a"]) for _ in range(40)) for _ in range(1500)]
+    same(tokenizer, encoder, [*TEXTS, "", *mixed, prose(1, 300)])
+    monkeypatch.setattr(packing, "AT_ONCE", 50)
+    same(tokenizer, encoder, rare)
+    same(tokenizer, encoder, [""])
+    same(tokenizer, encoder, ["only  odd"])
+
+
+def test_other_tokenizers_encode_whole_texts():
+    from tokenizers import Tokenizer
+
+    other = tokenizer_path("word_bpe_49k.json")
+    encoder = packing.Encoder(other)
+    assert encoder.fast is None
+    same(Tokenizer.from_file(other), encoder, [*TEXTS, "Two words"])
+
+
+def test_slices_of_texts():
+    texts = pa.array(["aa", None, "b" * 50, "", "c", "dd"])
+    parts = [(first, part.to_pylist()) for first, part in packing.text_slices(texts, 10)]
+    assert parts == [(0, ["aa", ""]), (2, ["b" * 50]), (3, ["", "c", "dd"])]
+    assert [x for _, part in packing.text_slices(texts.slice(2, 3), 3) for x in part.to_pylist()] == ["b" * 50, "", "c"]
 
 
 def test_packing_round_trip(spark, tokenizer):
