@@ -3,16 +3,17 @@
 A document is the multiset of its paragraphs (lines).  Every paragraph is hashed to
 a wide vector, a document's state is the sum of its paragraphs' vectors: 16 lanes
 modulo 2**32 from a 512-bit digest of the whole paragraph, which decide equality,
-and 96 signed lanes modulo 2**16 to which each 16-byte shingle of the paragraph adds
-one, which measure likeness.  Sums don't depend on the order, and a paragraph is
+and 96 lanes modulo 2**32, read as signed, to which each 16-byte shingle of the
+paragraph adds one or minus one, which measure likeness.  Sums don't depend on the order, and a paragraph is
 inserted or deleted by adding or subtracting its vector -- so the fingerprint of an
 edited text is found from the paragraphs that the edit touched.
 
 Likeness of two states: 1 if equal, else the cosine of the signed lanes, not below 0.
 
 Edge cases: null reads as empty; empty texts share the all-zero state (likeness 1);
-repeated rows follow each other; a null id sorts before all others; the successor of
-the last row is the first one (of a single row: itself).
+rows that share an id follow each other in the order of a hash of their texts; null ids
+come before all others; the successor of the last row is the first one (of a single
+row: itself).
 """
 
 from __future__ import annotations
@@ -22,13 +23,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 DENSE, SIGNED = 16, 96
 GRAM = 16
-#: Ranges of ids at most; their bounds are part of the plan.  Beyond it ranges grow.
-MOST_RANGES = 10_000
+#: Ranges at most (beyond it they grow), and keys drawn for each to find the bounds.
+MOST_RANGES, DRAWN = 50_000, 20
+#: What rows are ordered by: is there an id, the id, the hash of the text.
+_KEY = np.dtype([("some", "i1"), ("id", "<i8"), ("h", "<i8")])
 
 
 def _grams(data: bytes) -> np.ndarray:
@@ -57,14 +60,14 @@ class State:
 
     def __init__(self, dense: np.ndarray | None = None, signed: np.ndarray | None = None):
         self.dense = np.zeros(DENSE, dtype=np.uint32) if dense is None else dense
-        self.signed = np.zeros(SIGNED, dtype=np.int16) if signed is None else signed
+        self.signed = np.zeros(SIGNED, dtype=np.int32) if signed is None else signed
 
     @staticmethod
     def of(paragraphs: bytes) -> State:
         """The state of newline-separated paragraphs; empty ones don't count."""
         digests = b"".join([hashlib.blake2b(p, digest_size=64).digest() for p in paragraphs.split(b"\n") if p])
         dense = np.frombuffer(digests, "<u4").reshape(-1, DENSE).sum(axis=0, dtype=np.uint32)
-        return State(dense, _grams(paragraphs).astype(np.int16))
+        return State(dense, _grams(paragraphs).astype(np.int32))
 
     def add(self, other: State) -> State:
         return State(self.dense + other.dense, self.signed + other.signed)
@@ -73,7 +76,7 @@ class State:
         return State(self.dense - other.dense, self.signed - other.signed)
 
     def hex(self) -> str:
-        return self.dense.astype("<u4").tobytes().hex() + self.signed.astype("<i2").tobytes().hex()
+        return self.dense.astype("<u4").tobytes().hex() + self.signed.astype("<i4").tobytes().hex()
 
     def likeness(self, other: State) -> float:
         if np.array_equal(self.dense, other.dense):
@@ -96,62 +99,90 @@ def edited_state(text: str, whole: State, new: str, kept: int) -> State:
     return whole.remove(State.of(text[at:].encode())).add(State.of(new[at:].encode()))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_task: int = 10_000) -> DataFrame:
+def _keys(ids: pa.Array, hashes: pa.Array) -> np.ndarray:
+    out = np.zeros(len(ids), dtype=_KEY)
+    out["some"] = pc.is_valid(ids).to_numpy(zero_copy_only=False)
+    out["id"] = pc.fill_null(ids, 0).to_numpy()
+    out["h"] = hashes.to_numpy()
+    return out
+
+
+def range_bounds(keys: DataFrame, n: int, tasks: int) -> np.ndarray:
+    """Keys of ``keys`` (doc_id, h) that cut it into about ``tasks`` ranges.  Which keys
+    are drawn decides the sizes of the ranges only."""
+    space = 1 << 40
+    share = int(space * min(1.0, DRAWN * tasks / max(1, n)))
+    drawn = keys.where(F.pmod(F.xxhash64("doc_id", "h"), F.lit(space)) < share).distinct().toArrow()
+    found = np.sort(_keys(drawn.column(0).combine_chunks(), drawn.column(1).combine_chunks()))
+    return found[np.unique(np.linspace(0, len(found), tasks + 1, dtype=np.int64)[1:-1])] if len(found) > 1 else found[:0]
+
+
+def dealt_ranges(rows: DataFrame, bounds: np.ndarray, least: np.ndarray) -> DataFrame:
+    """rows (doc_id, h, text) with the range that each belongs to.  The first row of a
+    range goes to the range before it too, marked as ahead, and the least row of all
+    to the last range, so that a task finds the successor of its last row.  Bounds are
+    keys of rows, so the first row of a range is the one whose key is the bound."""
+    shared = rows.sparkSession.sparkContext.broadcast((bounds, least))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds, least = shared.value
+        for batch in batches:
+            keys = _keys(batch.column(0), batch.column(1))
+            own = np.searchsorted(bounds, keys, side="right")
+            first = np.flatnonzero((own > 0) & (bounds[own - 1] == keys)) if len(bounds) else np.zeros(0, np.int64)
+            lowest = np.flatnonzero(keys == least)
+            ahead = pa.RecordBatch.from_arrays([c.take(pa.array(np.concatenate([first, lowest]))) for c in batch.columns], names=batch.schema.names)
+            to = np.concatenate([own[first] - 1, np.full(len(lowest), len(bounds))])
+            for part, at, is_ahead in ((batch, own, False), (ahead, to, True)):
+                if len(part):
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(at, pa.int32()), pa.array(np.full(len(part), is_ahead))], names=[*batch.schema.names, "range", "ahead"])
+
+    marked = rows.mapInArrow(run, "doc_id bigint, h bigint, text string, range int, ahead boolean")
+    return marked.repartitionById(len(bounds) + 1, "range").sortWithinPartitions("ahead", "doc_id", "h", "text")
+
+
+_OUT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
+
+
+_SQL = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_task: int = 10_000, bytes_per_task: int = 32 << 20) -> DataFrame:
     """Every row's fingerprint, its edited text's, and their likenesses.
 
-    Rows are dealt by ranges of the id with bounds that are ids themselves: the
-    first row of every range is known by its id and sent to the range before it
-    too, so that a task finds the successor of its last row.  One shuffle.
+    Rows are dealt by ranges of (id, hash of the text) in one shuffle.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    stats = rows.agg(F.count("*").alias("n"), F.min("doc_id").alias("low")).first()
-    tasks = min(MOST_RANGES, max(1, -(-stats["n"] // rows_per_task)))
-    bounds: list[int] = []
-    if tasks > 1 and stats["low"] is not None:
-        shares = [i / tasks for i in range(1, tasks)]
-        bounds = sorted({b for b in rows.agg(F.percentile_approx("doc_id", shares, min(1_000_000, 100 * tasks))).first()[0] if b > stats["low"]})
-    if bounds:
-        splits = [float("-inf"), *map(float, bounds), float("inf")]
-        rows = rows.withColumn("at", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))))
-        rows = Bucketizer(splits=splits, inputCol="at", outputCol="range").transform(rows).withColumn("range", F.col("range").cast("int")).drop("at")
-    else:
-        rows = rows.withColumn("range", F.lit(0))
-    last = len(bounds)
-    # The least row of all follows the last one; nulls come first if there are any.
-    has_null = rows.where("doc_id is null").limit(1).count() > 0 if stats["n"] else False
-    least = F.col("doc_id").isNull() if has_null else F.col("doc_id") == F.lit(stats["low"])
-    bound = F.element_at(F.array(*[F.lit(b) for b in bounds]), F.greatest("range", F.lit(1))) if bounds else F.lit(None).cast("long")
-    first_of_range = (F.col("range") > 0) & (F.col("doc_id") == bound)
-    own = F.struct("range", F.lit(False).alias("ahead"))
-    before = F.struct((F.col("range") - 1).alias("range"), F.lit(True).alias("ahead"))
-    to_last = F.struct(F.lit(last).alias("range"), F.lit(True).alias("ahead"))
-    dealt = rows.withColumn("to", F.explode(F.when(least, F.array(own, to_last)).when(first_of_range, F.array(own, before)).otherwise(F.array(own))))
-    dealt = dealt.select("doc_id", "text", F.col("to.range").alias("range"), F.col("to.ahead").alias("ahead"))
-    dealt = dealt.repartitionById(last + 1, "range").sortWithinPartitions("ahead", "doc_id", "text")
-    schema = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
+    key = F.struct(F.col("doc_id").isNotNull().alias("some"), F.coalesce("doc_id", F.lit(0)).alias("id"), "h")
+    stats = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size"), F.min(key).alias("least")).first()
+    tasks = min(MOST_RANGES, max(1, -(-stats["n"] // rows_per_task), -(-(stats["size"] or 0) // bytes_per_task)))
+    bounds = range_bounds(rows.select("doc_id", "h"), stats["n"], tasks) if tasks > 1 else np.zeros(0, dtype=_KEY)
+    least = np.array(tuple(stats["least"]) if stats["least"] else (0, 0, 0), dtype=_KEY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_row: tuple[int | None, str, State] | None = None
         over = False
         for batch in batches:
+            if over:
+                continue
             out: list[tuple] = []
-            for i in range(len(batch)):
+            for at in range(0, len(batch), 1000):
+                part = batch.slice(at, 1000)
+                for doc_id, text, ahead in zip(*(part.column(i).to_pylist() for i in (0, 2, 4)), strict=True):
+                    state = State.of(text.encode())
+                    if open_row:
+                        an_id, before, its = open_row
+                        new, kept = edited(before, text)
+                        new_state = edited_state(before, its, new, kept)
+                        out.append((an_id, len(before), hashlib.sha256(new.encode()).hexdigest(), its.hex(), new_state.hex(), its.likeness(new_state), its.likeness(state)))
+                    open_row = None if ahead else (doc_id, text, state)
+                    over = ahead
+                    if over:
+                        break
                 if over:
                     break
-                ahead = batch.column(3)[i].as_py()
-                doc_id, text = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                state = State.of(text.encode())
-                if open_row:
-                    an_id, before, its = open_row
-                    new, kept = edited(before, text)
-                    new_state = edited_state(before, its, new, kept)
-                    out.append((an_id, len(before), hashlib.sha256(new.encode()).hexdigest(), its.hex(), new_state.hex(), its.likeness(new_state), its.likeness(state)))
-                open_row = None if ahead else (doc_id, text, state)
-                over = ahead
             if out:
-                names = [c.split()[0] for c in schema.split(", ")]
-                kinds = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64()}
-                arrays = [pa.array(x, kinds[c.split()[1]]) for x, c in zip(zip(*out, strict=True), schema.split(", "), strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), _OUT, strict=True)], schema=_OUT)
 
-    return dealt.mapInArrow(run, schema)
+    return dealt_ranges(rows, bounds, least).mapInArrow(run, _SQL)
