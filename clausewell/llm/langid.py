@@ -3,13 +3,16 @@
 Texts become TF-IDF vectors of hashed byte trigrams (letters only, lower case),
 scaled to length one.  Each language is described by a few centroids, found by
 spherical k-means on a bounded sample of its labelled texts; a text takes the
-language of the centroid with the largest cosine.  Every centroid has a floor, the
-lowest cosine that still counts as near: below it the text is rejected.  So is a text
-whose trigrams noise explains better than any learnt language does, noise being a
-random choice of hashed trigrams: texts in unlearned languages and gibberish go.
+language of the centroid with the largest cosine.
 
-Document frequencies cover all training rows.  The k-means sample is bounded:
-``sample`` texts a language, chosen by hash of the id.
+A text is rejected if that cosine is below its language's floor.  Short texts lie
+farther from every centroid, so there is a floor for each order of magnitude of the
+number of distinct trigrams, set on texts, and pieces of them, that were held out from
+k-means in turn.  A text is also rejected if noise, a random choice of hashed
+trigrams, explains its trigrams better than any learnt language does.
+
+Document frequencies cover all training rows.  The k-means sample is bounded: about
+``sample`` texts a language, chosen by hash of the text; copies count once.
 
 Edge cases: null texts and texts without a letter get ``und``, score 0, rejected;
 without any training row every text does.  Repeated rows each get a row.
@@ -22,11 +25,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .textbits import slices
 
 DIM = 4096
+#: Floors are kept by the binary logarithm of the number of distinct trigrams.
+CLASSES = 13
+#: Parts of the sample that are held out in turn.
+FOLDS = 5
+#: Languages of a model at most.
+MOST_LANGUAGES = 1000
+#: Characters of the pieces of held-out texts that floors are set on.
+PIECES = [1 << k for k in range(5, 13)]
 #: Rows of a dense block of counts.
 ROWS = 512
 #: Letters in lower case; all other ASCII bytes become a space.
@@ -79,8 +90,8 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return out, n
 
 
-def cluster(x: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means from farthest-first seeds; centroids and cosine floors."""
+def cluster(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
+    """Centroids by spherical k-means from farthest-first seeds."""
     seeds = [x.mean(axis=0)]
     while len(seeds) < min(k, len(x)) + 1:
         closest = np.max(x @ np.array(seeds).T, axis=1)
@@ -91,8 +102,28 @@ def cluster(x: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.nda
         c = np.array([x[own == j].mean(axis=0) if (own == j).any() else c[j] for j in range(len(c))])
         norm = np.linalg.norm(c, axis=1)
         c /= np.where(norm > 0, norm, 1)[:, None]
-    cosine = x @ c.T
-    return c, np.full(len(c), np.quantile(cosine.max(axis=1), 0.001))
+    return c
+
+
+def size_class(counts: np.ndarray) -> np.ndarray:
+    return np.log2(np.maximum((counts > 0).sum(axis=1), 1)).astype(np.int64)
+
+
+def floors_of(classes: np.ndarray, cosines: np.ndarray, low: float, slack: float, least: int = 20) -> np.ndarray:
+    """A floor for each size class: ``slack`` times the ``low`` quantile of the cosines
+    seen there; none below the classes that were seen, and never one above a larger
+    class's."""
+    floors = np.full(CLASSES, np.nan)
+    for k in range(CLASSES):
+        if (classes == k).sum() >= least:
+            floors[k] = slack * np.quantile(cosines[classes == k], low)
+    known = np.flatnonzero(~np.isnan(floors))
+    if not len(known):
+        return np.zeros(CLASSES)
+    floors[: known[0]] = 0
+    for k in range(known[0], CLASSES):
+        floors[k] = floors[k] if not np.isnan(floors[k]) else floors[k - 1]
+    return np.minimum.accumulate(floors[::-1])[::-1]
 
 
 def evidence(counts: np.ndarray) -> np.ndarray:
@@ -101,37 +132,64 @@ def evidence(counts: np.ndarray) -> np.ndarray:
     return np.log((counts + 1) / (counts.sum() + DIM) * DIM).astype(np.float32)
 
 
-def fit(docs: DataFrame, centroids: int = 4, sample: int = 1000, slack: float = 0.1) -> dict:
-    """Train on columns doc_id, text, lang (rows with a null lang or text don't count).
+def learn_language(texts: list[str], idf: np.ndarray, centroids: int, low: float, slack: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(centroids, floors, evidence) of one language's sample.  For the floors, the texts
+    of each fold in turn are held out from k-means."""
 
-    The floor of a language is ``slack`` times the 0.1 % quantile of its sample's
-    cosines: low, as rejecting a good text costs more than keeping a strange one.
+    def vectors(some: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        x, classes, seen = [], [], np.zeros(DIM)
+        for _, raw, offsets in slices(pa.array(some, pa.string()), rows=ROWS):
+            counts = gram_counts(raw, offsets)
+            seen += np.log1p(counts).sum(axis=0)
+            x.append(unit_vectors(counts, idf))
+            classes.append(size_class(counts))
+        return np.concatenate(x), np.concatenate(classes), seen
+
+    x, _, seen = vectors(texts)
+    some = np.flatnonzero(np.abs(x).sum(axis=1) > 0)
+    if not len(some):
+        return np.zeros((0, DIM)), np.zeros(CLASSES), evidence(seen)
+    c = cluster(x[some], centroids)
+    if len(some) < 2 * FOLDS:
+        return c, np.zeros(CLASSES), evidence(seen)
+    found = []
+    for fold in range(FOLDS):
+        own = [texts[i] for i in some[fold::FOLDS]]
+        y, classes, _ = vectors(own + [t[:n] for t in own for n in PIECES if len(t) > n])
+        others = cluster(x[np.delete(some, np.s_[fold::FOLDS])], centroids)
+        found.append((classes, (y @ others.T).max(axis=1)))
+    classes, cosines = (np.concatenate(v) for v in zip(*found, strict=True))
+    return c, floors_of(classes, cosines, low, slack), evidence(seen)
+
+
+def fit(docs: DataFrame, centroids: int = 4, sample: int = 1000, low: float = 0.01, slack: float = 0.5) -> dict:
+    """Train on columns text, lang (rows with a null lang or text don't count).
+
+    The floors are ``slack`` times the ``low`` quantile of held-out cosines: rejecting a
+    good text costs more than keeping a strange one.
     """
     spark = docs.sparkSession
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
     seen, n = document_frequencies(rows)
     idf = (np.log((1 + n) / (1 + seen)) + 0.05).astype(np.float32)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample).select("doc_id", "lang").distinct()
     shared = spark.sparkContext.broadcast(idf)
+    space = 1 << 40
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"over {MOST_LANGUAGES} languages: the model would be too large to broadcast")
+    shares = spark.createDataFrame([(r["lang"], int(space * min(1.0, sample / r["n"]))) for r in sizes], "lang string, share bigint")
+    picked = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(shares), "lang").where(F.pmod("h", F.lit(space)) < F.col("share"))
+    chosen = picked.select("lang", "h", "text").dropDuplicates(["lang", "h"])
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts, seen = [], np.zeros(DIM)
-        for _, raw, offsets in slices(pa.array(pdf["text"].tolist()), rows=ROWS):
-            counts = gram_counts(raw, offsets)
-            seen += np.log1p(counts).sum(axis=0)
-            parts.append(unit_vectors(counts, shared.value))
-        x = np.concatenate(parts)
-        x = x[np.abs(x).sum(axis=1) > 0]
-        if not len(x):
-            return pd.DataFrame({"lang": [], "centroid": [], "floor": [], "evidence": []})
-        c, floors = cluster(x, centroids)
-        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centroid": list(c.astype(np.float32)), "floor": floors, "evidence": [evidence(seen)] * len(c)})
-
-    found = rows.join(chosen, ["doc_id", "lang"], "left_semi").groupBy("lang").applyInPandas(learn, "lang string, centroid array<float>, floor double, evidence array<float>").collect()
+        c, floors, noise = learn_language(pdf.sort_values("h")["text"].tolist(), shared.value, centroids, low, slack)
+        return pd.DataFrame({"lang": [pdf["lang"].iloc[0]] * len(c), "centroid": list(c.astype(np.float32)), "floors": [floors] * len(c), "evidence": [noise] * len(c)})
+
+    found = chosen.groupBy("lang").applyInPandas(learn, "lang string, centroid array<float>, floors array<double>, evidence array<float>").collect()
     found.sort(key=lambda r: (r["lang"], list(r["centroid"])))
     by_lang = {r["lang"]: r["evidence"] for r in found}
-    return {"idf": idf, "evidence": np.array(list(by_lang.values()), dtype=np.float32).reshape(-1, DIM), "langs": [r["lang"] for r in found], "centroids": np.array([r["centroid"] for r in found], dtype=np.float32).reshape(-1, DIM), "floors": slack * np.array([r["floor"] for r in found])}
+    as_rows = lambda x, width: np.array(list(x), dtype=np.float32).reshape(-1, width)
+    return {"idf": idf, "evidence": as_rows(by_lang.values(), DIM), "langs": [r["lang"] for r in found], "centroids": as_rows((r["centroid"] for r in found), DIM), "floors": as_rows((r["floors"] for r in found), CLASSES)}
 
 
 def judged(texts: pa.Array, m: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,7 +215,7 @@ def judged(texts: pa.Array, m: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray
         at = slice(first, first + rows)
         best[at] = np.where(some, near, none)
         score[at] = np.where(some, np.clip(top, 0, 1), 0)
-        rejected[at] = ~some | noise | (top < m["floors"][near])
+        rejected[at] = ~some | noise | (top < m["floors"][near, size_class(counts)])
     return best, score, rejected
 
 

@@ -1,8 +1,10 @@
 import random
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import awkward, documents, prose
 from pyspark.sql import functions as F
@@ -45,13 +47,56 @@ def test_unlearned_languages_and_gibberish_are_rejected(spark):
         "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
         "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
         "يولد جميع الناس أحراراً متساوين في الكرامة والحقوق. وقد وهبوا عقلاً وضميراً",
+        "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza e devono agire gli uni verso gli altri in spirito di fratellanza.",
+        "Alle mensen worden vrij en gelijk in waardigheid en rechten geboren. Zij zijn begiftigd met verstand en geweten, en behoren zich jegens elkander in een geest van broederschap te gedragen.",
+        "Watu wote wamezaliwa huru, hadhi na haki zao ni sawa. Wote wamejaliwa akili na dhamiri, hivyo yapasa watendeane kindugu.",
         "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(400)),
         " ".join("".join(r.choice("bcdfghjklmnpqrstvwxz") for _ in range(r.randint(3, 9))) for _ in range(80)),
+        "deadbeef0123456789abcdefdeadbeef00ff11ee22dd33cc44bb55aa",
     ]
-    model = langid.fit(docs.where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1))
-    assert all(r["rejected"] for r in langid.predict(documents(spark, list(enumerate(strange))), model).collect())
-    clean = docs.where("lang is not null and length(text) >= 200")
-    assert langid.predict(clean, model).where("rejected").count() <= 0.002 * clean.count()
+    learnt = F.crc32(F.col("doc_id").cast("string")) % 3 != 1
+    model = langid.fit(docs.where(learnt))
+    judged = langid.judged(pa.array(strange), model)
+    assert judged[2].all()
+    # The distance rejects by itself, without the test against noise.
+    calm = {**model, "evidence": np.ones_like(model["evidence"])}
+    assert langid.judged(pa.array(strange), calm)[2].sum() >= len(strange) - 1
+    clean = docs.where("lang is not null and length(text) >= 200").where(~learnt)
+    out = langid.predict(clean, model)
+    assert out.where("rejected").count() <= 0.01 * clean.count()
+    right = out.join(clean.select("doc_id", "lang"), "doc_id").where("lang = lang_pred").count()
+    assert right >= 0.99 * clean.count()
+
+
+def test_prediction_against_a_plain_version():
+    """Trigrams, TF-IDF and cosine by dictionaries."""
+    r = np.random.default_rng(1)
+    model = {"idf": r.random(langid.DIM).astype(np.float32), "langs": ["a", "b"], "centroids": r.random((2, langid.DIM)).astype(np.float32), "floors": np.zeros((2, langid.CLASSES), np.float32), "evidence": np.ones((2, langid.DIM), np.float32)}
+    model["centroids"] /= np.linalg.norm(model["centroids"], axis=1)[:, None]
+    texts = ["Ein Haus, 12 Häuser!", "a", "", "ça va?", tongue("xx", 1)]
+    best, score, _ = langid.judged(pa.array(texts), model)
+    for i, t in enumerate(texts):
+        letters = [b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in t.encode()]
+        slots = Counter()
+        for k in range(len(letters) - 2):
+            single = langid.gram_counts(np.array(letters[k : k + 3], dtype=np.uint8), np.array([0, 3]))[0]
+            slots.update(np.flatnonzero(single).tolist())
+        x = {s: np.log1p(n) * model["idf"][s] for s, n in slots.items()}
+        norm = np.sqrt(sum(v * v for v in x.values())) or 1.0
+        cosines = [sum(v * c[s] for s, v in x.items()) / norm for c in model["centroids"]]
+        if any(c.isalpha() for c in t):
+            assert best[i] == int(np.argmax(cosines)) or max(cosines) == 0
+            assert abs(score[i] - min(1, max(cosines))) < 1e-4
+        else:
+            assert best[i] == 2 and score[i] == 0
+
+
+def test_floors_rise_with_size():
+    classes = np.repeat([3, 5, 7], 50)
+    cosines = np.concatenate([np.linspace(0.1, 0.2, 50), np.linspace(0.3, 0.5, 50), np.linspace(0.2, 0.9, 50)])
+    floors = langid.floors_of(classes, cosines, 0.0, 1.0)
+    assert floors[:3].tolist() == [0, 0, 0] and np.allclose(floors[3:5], 0.1) and np.allclose(floors[5:], 0.2)
+    assert not langid.floors_of(np.zeros(0, int), np.zeros(0), 0.1, 1.0).any()
 
 
 def test_positive_unlabelled_learning_finds_junk(spark):
