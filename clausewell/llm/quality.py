@@ -6,13 +6,16 @@ word and line statistics) minimises the non-negative unbiased PU risk
     prior * E_P[l(+)] + max(0, E_U[l(-)] - prior * E_P[l(-)])
 
 with the logistic loss, from trusted positives P, unlabelled texts U and a class
-prior estimated as the share of positives among the labelled training rows.
+prior.  The prior is estimated from P and U alone, no negative label is read: a
+classifier of P against U ranks texts it was not fitted on, and the prior is the
+least ratio, over all thresholds, of the shares of U and of P above it -- above the
+best threshold U holds positives only.
 
-The model is fitted on a bounded sample (``sample`` rows each of P and U, by hash
-of the id); the prior counts all labelled training rows.
+The model is fitted on a bounded sample (about ``sample`` rows each of P and U, by
+hash of id and text).
 
 Edge cases: null reads as empty; empty texts are scored from their (zero)
-features; without positives or unlabelled rows every score is the prior.
+features; without positives or unlabelled rows every score is 0.5.
 """
 
 from __future__ import annotations
@@ -82,44 +85,84 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _descend(gradient, width: int, steps: int, rate: float) -> np.ndarray:  # noqa: ANN001
+    """Full-batch Adam from zero."""
+    w, m, v = np.zeros(width), np.zeros(width), np.zeros(width)
+    for t in range(1, steps + 1):
+        g = gradient(w)
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    return w
+
+
+def _scaled(p: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    both = np.concatenate([p, u])
+    scale = both.std(axis=0)
+    return both.mean(axis=0), np.where(scale > 1e-9, scale, 1)
+
+
+def _with_bias(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
+
+
+def least_ratio(sp: np.ndarray, su: np.ndarray, delta: float = 0.1) -> float:
+    """The class prior from scores of positives and of unlabelled rows: the ratio of
+    their shares above the threshold whose upper confidence bound is least."""
+    at = np.unique(sp)
+    qp = 1 - np.searchsorted(np.sort(sp), at) / len(sp)
+    qu = 1 - np.searchsorted(np.sort(su), at) / len(su)
+    slack = np.sqrt(np.log(4 / delta) / 2) * (1 / np.sqrt(len(sp)) + 1 / np.sqrt(len(su)))
+    best = int(np.argmin((qu + slack) / qp))
+    return float(np.clip(qu[best] / qp[best], 0.01, 0.99))
+
+
+def estimate_prior(p: np.ndarray, u: np.ndarray, steps: int = 400, rate: float = 0.03) -> float:
+    """Class prior of u by two-fold held-out scores of a logistic model of p against u."""
+    mean, scale = _scaled(p, u)
+    p, u = _with_bias(p, mean, scale), _with_bias(u, mean, scale)
+    sp, su = np.zeros(len(p)), np.zeros(len(u))
+    for fold in (0, 1):
+        a, b = p[1 - fold :: 2], u[1 - fold :: 2]
+        if not len(a) or not len(b):
+            return 0.5
+        w = _descend(lambda w: b.T @ _sigmoid(b @ w) / len(b) - a.T @ (1 - _sigmoid(a @ w)) / len(a) + w / len(a), p.shape[1], steps, rate)  # noqa: B023
+        sp[fold::2], su[fold::2] = p[fold::2] @ w, u[fold::2] @ w
+    return least_ratio(sp, su)
+
+
 def fit_nnpu(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 1500, rate: float = 0.03, decay: float | None = None) -> dict:
-    """Full-batch Adam on the non-negative PU risk of a linear logistic model.
+    """Minimise the non-negative PU risk of a linear logistic model.
 
     The risk is estimated from differences of means, so its noise falls with the
     sample; the weight decay follows it.
     """
     decay = 2 / len(p) if decay is None else decay
-    both = np.concatenate([p, u])
-    mean, scale = both.mean(axis=0), both.std(axis=0)
-    scale = np.where(scale > 1e-9, scale, 1)
-    p, u = ((np.hstack([(x - mean) / scale, np.ones((len(x), 1))])) for x in (p, u))
-    w, m, v = np.zeros(p.shape[1]), np.zeros(p.shape[1]), np.zeros(p.shape[1])
-    for t in range(1, steps + 1):
+    mean, scale = _scaled(p, u)
+    p, u = _with_bias(p, mean, scale), _with_bias(u, mean, scale)
+
+    def gradient(w: np.ndarray) -> np.ndarray:
         sp, su = _sigmoid(p @ w), _sigmoid(u @ w)
         gain = -prior * (p.T @ (1 - sp)) / len(p)
         rest = (u.T @ su) / len(u) - prior * (p.T @ sp) / len(p)
         risk = np.mean(-np.log(1 - su + 1e-12)) - prior * np.mean(-np.log(1 - sp + 1e-12))
         # Below zero the negative part has over-fitted: walk it back.
-        g = (gain + rest if risk >= 0 else -rest) + decay * w
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return {"mean": mean, "scale": scale, "w": w}
+        return (gain + rest if risk >= 0 else -rest) + decay * w
+
+    return {"mean": mean, "scale": scale, "w": _descend(gradient, p.shape[1], steps, rate)}
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 10_000) -> dict:
     """Train on docs(doc_id, text) -- the unlabelled texts -- and labels(doc_id,
     quality); both hold training rows only."""
-    known = labels.where(F.col("quality").isNotNull())
-    counts = known.agg(F.count("*").alias("n"), F.coalesce(F.sum("quality"), F.lit(0)).alias("good")).first()
-    total = docs.count()
-    prior = counts["good"] / counts["n"] if counts["n"] else 0.5
-    if not counts["good"] or not total:
-        return {"prior": prior}
-    space = 1 << 20
-    cut = lambda n, seed: F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(space)) < int(space * min(1, sample / n))
+    good = labels.where("quality = 1").select("doc_id")
+    n_good, total = good.count(), docs.count()
+    if not n_good or not total:
+        return {"prior": 0.5}
+    space = 1 << 40
+    cut = lambda n, *by: F.pmod(F.xxhash64(*by), F.lit(space)) < int(space * min(1, sample / n))
     # About `sample` rows, by the filter: the side that is broadcast is bounded.
-    trusted = known.where((F.col("quality") == 1) & cut(counts["good"], 1)).select("doc_id").distinct().withColumn("trusted", F.lit(True))
-    rows = docs.select("doc_id", "text").join(F.broadcast(trusted), "doc_id", "left").withColumns({"trusted": F.coalesce("trusted", F.lit(False)), "open": cut(total, 2)}).where("trusted or open")
+    trusted = good.where(cut(n_good, "doc_id")).distinct().withColumn("trusted", F.lit(True))
+    rows = docs.select("doc_id", "text").join(F.broadcast(trusted), "doc_id", "left").withColumns({"trusted": F.coalesce("trusted", F.lit(False)), "open": cut(total, "text", "doc_id")}).where("trusted or open")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,9 +174,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 10_000) -> dict:
     x = np.array(found["x"].tolist()).reshape(-1, N_FEATURES)
     p, u = x[found["trusted"].to_numpy()], x[found["open"].to_numpy()]
     if not len(p) or not len(u):
-        return {"prior": prior}
-    order = lambda x: x[np.lexsort(x.T)]  # noqa: E731  the sums don't depend on the order of arrival
-    return {"prior": prior} | fit_nnpu(order(p), order(u), prior)
+        return {"prior": 0.5}
+    # In an order of their own, so that nothing depends on the order of arrival.
+    p, u = (x[np.lexsort(x.T)] for x in (p, u))
+    prior = estimate_prior(p, u)
+    return {"prior": prior} | fit_nnpu(p, u, prior)
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -106,12 +106,36 @@ def test_positive_unlabelled_learning_finds_junk(spark):
     labels = spark.createDataFrame([(i, int(i % 5 != 0)) for i, _ in texts if i % 3 == 0], "doc_id bigint, quality int")
     model = quality.fit(docs, labels)
     assert 0.7 < model["prior"] < 0.9
+    # Which negatives are labelled, and how many, changes nothing.
+    assert quality.fit(docs, labels.where("quality = 1"))["prior"] == model["prior"]
     rows = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
     right = np.mean([(rows[i] >= 0.3) == (i % 5 != 0) for i, _ in texts])
     assert right > 0.95
     assert all(0 <= s <= 1 for s in rows.values())
     none = quality.fit(docs, labels.where("false"))
-    assert {r["score"] for r in quality.score(docs, none).collect()} == {none["prior"]}
+    assert {r["score"] for r in quality.score(docs, none).collect()} == {0.5}
+    assert quality.score(docs.where("false"), model).count() == 0 and quality.fit(docs.where("false"), labels) == {"prior": 0.5}
+
+
+@pytest.mark.parametrize("prior", [0.2, 0.5, 0.8])
+def test_the_prior_is_read_from_the_mixture(prior):
+    r = np.random.default_rng(int(prior * 10))
+    p = r.normal(1.5, 1, (3000, 4))
+    n = int(4000 * prior)
+    u = r.permutation(np.concatenate([r.normal(1.5, 1, (n, 4)), r.normal(-1.5, 1, (4000 - n, 4))]))
+    assert abs(quality.estimate_prior(p, u) - prior) < 0.05
+
+
+def test_quality_scores_against_plain_sums():
+    """The linear score of a text from its features, one at a time."""
+    text = "One two two.\nOne two two.\n"
+    x = quality.features(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))[0]
+    words = text.split()
+    assert x[0] == pytest.approx(np.sqrt(text.count(" ") / len(text)))
+    assert x[quality.N_CLASSES] == pytest.approx(np.log1p(len(words)))
+    assert x[quality.N_CLASSES + 1] == pytest.approx(np.mean([len(w) for w in words]))
+    assert x[quality.N_CLASSES + 6] == pytest.approx((len(words) - len({w.lower() for w in words})) / len(words))
+    assert x[quality.N_CLASSES + 7] == pytest.approx(0.5)
 
 
 def test_the_non_negative_risk_needs_no_negatives():
@@ -134,3 +158,4 @@ def test_toxic_words_are_learnt_and_weights_are_sparse(spark):
     assert np.mean([(rows[i] >= 0.5) == (i % 4 == 0) for i, _ in texts if i % 3 == 0]) > 0.97
     assert rows[0] == rows[1] == pytest.approx(1 / (1 + np.exp(-model["bias"])))
     assert {r["score"] for r in toxicity.score(docs, toxicity.fit(docs, labels.where("false"))).collect()} == {0.5}
+    assert toxicity.score(docs.where("false"), model).count() == 0
