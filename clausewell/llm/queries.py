@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import decontam, fingerprint, langid, packing, quality, secrets, simhash, toxicity, urlfilter, warc
-from .common import table
+from .common import fresh_path, table
 
 TOKENIZER = "byte_bpe_50k.json"
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -44,9 +44,10 @@ def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
 
 
-def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op4_secrets(spark: SparkSession, sf_dir: str, ledger: str | None = None) -> DataFrame:
+    """``ledger``: a path to keep the ledger under; without one, a fresh one."""
     docs = table(spark, sf_dir, "documents")
-    found = secrets.findings(docs, secrets.scan_unseen(docs), ["doc_id"])
+    found = secrets.findings(docs, secrets.update(docs, ledger or fresh_path(spark, "secret-ledger")), ["doc_id"])
     spans = F.col("spans")
     kinds = F.transform(spans, lambda s: s["kind"])
     counts = {f"n_{kind}": (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("bigint") for kind in secrets.BASE_KINDS}

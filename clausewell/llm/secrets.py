@@ -2,10 +2,12 @@
 
 Every version of every file is content-addressed: a blob is the SHA-256 of its
 text.  The ledger holds a row for each (blob, rule version) ever scanned, with its
-findings.  A run scans only the pairs that the ledger lacks, each once, however
-many paths or versions share the blob, and joins findings back to all of them.
+findings.  A run scans only the pairs that the ledger lacks and joins findings back to
+all paths and versions that share a blob.  ``update`` keeps a ledger under a path and
+adds to it what a run finds; one writer at a time.
 
-Offsets are code points, ends exclusive.  Edge cases: null reads as empty; paths
+Texts are scanned where they are read, copies once a task, and only findings are
+shuffled.  Offsets are code points, ends exclusive.  Edge cases: null reads as empty; paths
 that share a blob share its findings; repeated rows each get a row; an empty table
 adds nothing to the ledger.
 """
@@ -16,7 +18,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import materialize
 
@@ -57,46 +59,70 @@ def scan_text(text: str) -> list[dict]:
     return out
 
 
-def blob_of(text_col: str) -> F.Column:
+def blob_of(text_col: str) -> Column:
     return F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
 
 
-def _first_of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose blob (first column) this task has not had before."""
+LEDGER = f"blob binary, rule_version string, spans {SPANS}"
+#: Blobs that a scanning task remembers; beyond it a copy may be scanned again.
+REMEMBERED = 500_000
+
+
+def _scan_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(blob, text) -> (blob, spans), copies of a blob once."""
     had: set[bytes] = set()
     for batch in batches:
-        kept = []
-        for i, blob in enumerate(batch.column(0).to_pylist()):
-            if blob not in had:
-                had.add(blob)
-                kept.append(i)
-        yield batch if len(kept) == len(batch) else batch.take(pa.array(kept, pa.int64()))
+        kept, spans = [], []
+        for at in range(0, len(batch), 1000):
+            part = batch.slice(at, 1000)
+            for blob, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                if blob not in had:
+                    had.add(blob)
+                    kept.append(blob)
+                    spans.append(scan_text(text))
+        if len(had) > REMEMBERED:
+            had.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(kept, pa.binary()), pa.array(spans, pa.list_(_SPAN))], names=["blob", "spans"])
+
+
+def unseen(versions: DataFrame, ledger: DataFrame, text_col: str = "text", rule_version: str = RULE_VERSION) -> DataFrame:
+    """The rows of ``versions`` whose blob the ledger lacks under these rules.  Blobs
+    are told apart by their hashes alone; the few new ones then meet the texts."""
+    known = ledger.where(F.col("rule_version") == rule_version).select("blob")
+    new = versions.select(blob_of(text_col).alias("__cw_blob")).join(known, F.col("__cw_blob") == F.col("blob"), "left_anti").distinct()
+    new = materialize(new.select("__cw_blob"), "secret-unseen")
+    return versions.join(new, blob_of(text_col) == F.col("__cw_blob"), "left_semi")
 
 
 def scan_unseen(versions: DataFrame, ledger: DataFrame | None = None, text_col: str = "text", rule_version: str = RULE_VERSION) -> DataFrame:
-    """New ledger rows (blob, rule_version, spans), written to the shared folder.
+    """New ledger rows (blob, rule_version, spans), written to the shared folder."""
+    rows = versions if ledger is None else unseen(versions, ledger, text_col, rule_version)
+    blobs = rows.select(blob_of(text_col).alias("blob"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    found = blobs.mapInArrow(_scan_task, f"blob binary, spans {SPANS}").dropDuplicates(["blob"])
+    return materialize(found.select("blob", F.lit(rule_version).alias("rule_version"), "spans"), "secret-ledger")
 
-    Copies of a blob are dropped by the task that reads them, then where the blob's
-    rows meet: a blob of a million paths sends one row from each reading task.
-    """
-    blobs = versions.select(blob_of(text_col).alias("blob"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    if ledger is not None:
-        blobs = blobs.join(ledger.where(F.col("rule_version") == rule_version).select("blob"), "blob", "left_anti")
-    blobs = blobs.mapInArrow(_first_of_task, "blob binary, text string").repartition("blob")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _first_of_task(batches):
-            spans = [scan_text(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(_SPAN))], names=["blob", "spans"])
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger under ``path``; without one, an empty one."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.read.schema(LEDGER).parquet(path)
+    return spark.createDataFrame([], LEDGER)
 
-    found = blobs.mapInArrow(run, f"blob binary, spans {SPANS}")
-    return materialize(found.select("blob", F.lit(rule_version).alias("rule_version"), "spans"), "secret-ledger")
+
+def update(versions: DataFrame, path: str, text_col: str = "text", rule_version: str = RULE_VERSION) -> DataFrame:
+    """Scan what the ledger under ``path`` lacks, add it there; the whole ledger."""
+    spark = versions.sparkSession
+    known = stored(spark, path)
+    new = scan_unseen(versions, None if known.isEmpty() else known, text_col, rule_version)
+    new.write.mode("append").parquet(path)
+    return stored(spark, path)
 
 
 def _with_findings(ledger: DataFrame, rule_version: str) -> DataFrame:
-    """The ledger's rows with findings, to be hashed where rows of texts stream by."""
+    """The ledger's rows with findings, written out so that joins know their size."""
     hit = ledger.where((F.col("rule_version") == rule_version) & (F.size("spans") > 0)).select("blob", "spans")
-    return hit.dropDuplicates(["blob"]).hint("shuffle_hash")
+    return materialize(hit.dropDuplicates(["blob"]), "secret-findings")
 
 
 def findings(versions: DataFrame, ledger: DataFrame, key_cols: list[str], text_col: str = "text", rule_version: str = RULE_VERSION) -> DataFrame:
@@ -106,36 +132,32 @@ def findings(versions: DataFrame, ledger: DataFrame, key_cols: list[str], text_c
     return rows.join(hit, "blob", "left").select(*key_cols, F.coalesce("spans", F.expr(f"cast(array() as {SPANS})")).alias("spans"))
 
 
-def spans_text(spans: F.Column) -> F.Column:
+def spans_text(spans: Column) -> Column:
     """Findings as kind:start:end, comma-joined."""
     one = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
     return F.array_join(F.transform(spans, one), ",")
 
 
-def base_spans(spans: F.Column) -> F.Column:
+def base_spans(spans: Column) -> Column:
     return F.filter(spans, lambda s: s["kind_no"] < len(BASE_RULES))
 
 
+def covered(text: Column, spans: Column, mark: str) -> Column:
+    """The text with every span replaced by the mark; overlapping spans are one."""
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+
+    def step(done: Column, s: Column) -> Column:
+        between = F.substring(text, (done["at"] + 1).cast("int"), (s["start"] - done["at"]).cast("int"))
+        out = F.when(s["start"] >= done["at"], F.concat(done["out"], between, F.lit(mark))).otherwise(done["out"])
+        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), out.alias("out"))
+
+    return F.aggregate(spans, start, step, lambda done: F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text))))
+
+
 def redact(docs: DataFrame, ledger: DataFrame, text_col: str = "text", mark: str = "[REDACTED]") -> DataFrame:
     """``docs`` with every finding in the text replaced by ``mark``; the rows without
     findings, and all other columns, stay as they are."""
-    hit = _with_findings(ledger, RULE_VERSION).select(F.col("blob").alias("__cw_blob"), F.col("spans").alias("__cw_spans")).hint("shuffle_hash")
-
-    @F.pandas_udf("string")
-    def cover(texts, spans):  # noqa: ANN001, ANN202
-        import pandas as pd
-
-        out = []
-        for text, own in zip(texts, spans, strict=True):
-            if own is not None and len(own):
-                parts, at = [], 0
-                for s in own:
-                    if s["start"] >= at:
-                        parts += [text[at : s["start"]], mark]
-                    at = max(at, s["end"])
-                text = "".join([*parts, text[at:]])
-            out.append(text)
-        return pd.Series(out, dtype=object)
-
-    joined = docs.withColumn("__cw_blob", blob_of(text_col)).join(hit, "__cw_blob", "left")
-    return joined.withColumn(text_col, cover(F.col(text_col), F.col("__cw_spans"))).select(*docs.columns)
+    hit = _with_findings(ledger, RULE_VERSION).select(F.col("blob").alias("__cw_blob"), F.col("spans").alias("__cw_spans"))
+    joined = docs.join(hit, blob_of(text_col) == F.col("__cw_blob"), "left")
+    text, spans = F.col(text_col), F.col("__cw_spans")
+    return joined.withColumn(text_col, F.when(spans.isNotNull(), covered(text, spans, mark)).otherwise(text)).select(*docs.columns)

@@ -1,8 +1,9 @@
+import hashlib
 import re
 
 from fixtures import awkward, documents, prose
 
-from clausewell.llm import secrets
+from clausewell.llm import queries, secrets
 
 SECRETS = [
     'x token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" y',
@@ -66,3 +67,28 @@ def test_redaction_covers_spans_and_nothing_else(spark):
         want.append((str(i), new + (t or "")[at:], t is None))
     assert got == sorted(want)
     assert not any(brute(t) for _, t, _ in got)
+
+
+def test_the_query_and_its_stored_ledger(spark, tmp_path):
+    texts = [x for x in rows(spark) if x[0] is not None]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    ledger = f"{tmp_path}/ledger"
+    first = sorted(map(str, queries.op4_secrets(spark, str(tmp_path), ledger).collect()))
+    size = spark.read.parquet(ledger).count()
+    assert size == len({t or "" for _, t in texts})
+    got = queries.op4_secrets(spark, str(tmp_path), ledger).collect()
+    assert sorted(map(str, got)) == first and spark.read.parquet(ledger).count() == size  # nothing was scanned again
+    assert len(got) == len(texts)
+    by_id = dict(texts)
+    for r in got:
+        want = brute(by_id[r["doc_id"]])
+        said = ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in want)
+        assert r["base_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+        assert (r["n_assign"], r["n_access"], r["n_hex"]) == tuple(sum(w[3] == k for w in want) for k in ("assign", "access", "hex"))
+        assert [x for x in r["spans"].split(",") if x and x.split(":")[0] in ("assign", "access", "hex")] == said.split(",") * bool(said)
+    assert queries.op4_secrets(spark, _empty(spark, tmp_path)).count() == 0
+
+
+def _empty(spark, tmp_path):
+    documents(spark, []).write.parquet(f"{tmp_path}/none/documents.parquet")
+    return f"{tmp_path}/none"
