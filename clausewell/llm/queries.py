@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import decontam, fingerprint, langid, packing, quality, secrets, simhash, toxicity, urlfilter, warc
+from . import decontam, fingerprint, langid, oracles, packing, quality, secrets, simhash, toxicity, urlfilter, warc
 from .common import fresh_path, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -86,4 +86,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_language, op2_quality, op3_fingerprint, op4_secrets, op5_toxicity, op6_simhash, op7_decontamination, op8_warc, op9_urlfilter, op10_packing)}
 #: Equivalent DuckDB SQL, where there is one.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_warc": oracles.WARC, "op9_urlfilter": oracles.url_filter(URL_RULES)}

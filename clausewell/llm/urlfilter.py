@@ -6,9 +6,11 @@ edges are closed into components, and a blocked member blocks every alias that h
 no rule of its own and whose page is not allowed by a rule.  So an explicit allow
 always wins for the page it names.
 
-A page is known by its url without scheme, fragment, trailing slash and tracking
-parameters.  Edges come from ``<link rel=canonical>``, ``<meta http-equiv=refresh>``
-and, if given, a table of redirects.
+A page is known by its url without the fragment, scheme and host in lower case; two
+urls are aliases only where an edge says so.  Edges come from ``<link rel=canonical>``,
+``<meta http-equiv=refresh>`` and, if given, a table of redirects.  Their ends are
+judged by the rules whether or not they are pages, so a block spreads over urls that
+were never fetched.
 
 Edge cases: a null url or one without ``://`` has empty host and path, no rule, and
 is allowed; repeated rows each get a row; rules that tie in length: allow wins.
@@ -16,8 +18,11 @@ is allowed; repeated rows each get a row; rules that tie in length: allow wins.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import materialize
 from .graph import connected_components
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -45,12 +50,14 @@ def path_of(url: Column) -> Column:
 
 def page_key(url: Column) -> Column:
     """The url as redirects see it; null if it has no host."""
-    rest = after_scheme(url)
-    query = F.regexp_extract(rest, r"^[^?#]*\?([^#]*)", 1)
-    own = F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(r"^(utm_[a-z]+|ref|fbclid|gclid)="))
-    tail = F.array_join(F.array_sort(own), "&")
-    key = F.concat(host_of(url), F.regexp_replace(path_of(url), r"/+\z", ""), F.when(tail != "", F.concat(F.lit("?"), tail)).otherwise(F.lit("")))
-    return F.when(host_of(url) != "", key)
+    scheme = ascii_lower(F.regexp_extract(url, r"^(.*?)://", 1))
+    query = F.regexp_extract(after_scheme(url), r"^[^?#]*(\?[^#]*)", 1)
+    return F.when(host_of(url) != "", F.concat(scheme, F.lit("://"), host_of(url), path_of(url), query))
+
+
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), where f uses the value many times and it is a long expression."""
+    return F.element_at(F.transform(F.array(value), f), 1)
 
 
 def resolve(link: Column, url: Column) -> Column:
@@ -77,7 +84,8 @@ def alias_links(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     refresh = F.regexp_extract(F.regexp_extract(html, r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>""", 0), r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""", 1)
     link = F.explode(F.filter(F.array(canonical, F.regexp_replace(refresh, "&amp;", "&")), lambda x: x != ""))
     found = pages.select(F.col(url_col).alias("url"), link.alias("link"))
-    return found.select(page_key(F.col("url")).alias("src"), page_key(resolve(F.col("link"), F.col("url"))).alias("dst")).where("src is not null and dst is not null and src <> dst")
+    ends = found.select(page_key(F.col("url")).alias("src"), bound(resolve(F.col("link"), F.col("url")), page_key).alias("dst"))
+    return ends.where("src is not null and dst is not null and src <> dst")
 
 
 def match_rules(pages: DataFrame, rules: list[tuple[str, str, str]], host: str = "host", path: str = "path") -> DataFrame:
@@ -114,12 +122,15 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], redirects: DataFr
     rows = match_rules(rows.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), page_key(url).alias("node")), rules)
     links = alias_links(pages, url_col, html_col)
     if redirects is not None:
-        links = links.union(redirects.select(page_key(F.col("source_url")), page_key(F.col("target_url"))).where("source_url is not null and target_url is not null"))
+        ends = redirects.select(page_key(F.col("source_url")).alias("src"), page_key(F.col("target_url")).alias("dst"))
+        links = links.union(ends.where("src is not null and dst is not null"))
+    # What rules say of each end of an edge, then of each component.
     roots = connected_components(links, "url-aliases")
-    # What rules say of each page key, then of each component of keys.
-    said = rows.where("node is not null").groupBy("node").agg(F.coalesce(F.bool_or(F.col("rule_verdict") == "block"), F.lit(False)).alias("blocked"), F.coalesce(F.bool_or(F.col("rule_verdict") == "allow"), F.lit(False)).alias("allowed"))
-    placed = said.join(roots, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    blocked = placed.groupBy("component").agg(F.bool_or("blocked").alias("component_blocked"))
-    keys = placed.join(blocked, "component").select("node", "component", (F.col("component_blocked") & ~F.col("allowed")).alias("alias_blocked"))
-    verdict = F.coalesce("rule_verdict", F.when(F.col("alias_blocked"), F.lit("block")).otherwise(F.lit("allow")))
-    return rows.join(keys, "node", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"), "component")
+    ends = match_rules(roots.select("node", "component", host_of(F.col("node")).alias("host"), path_of(F.col("node")).alias("path")), rules)
+    blocked = ends.groupBy("component").agg(F.coalesce(F.bool_or(F.col("rule_verdict") == "block"), F.lit(False)).alias("blocked"))
+    aliases = materialize(roots.join(blocked, "component").select(F.col("node").alias("alias"), "component", "blocked"), "url-aliases")
+    # Rows without a node meet nothing; a number spreads them over all tasks.
+    rows = rows.withColumn("meets", F.coalesce("node", F.concat(F.lit(" "), (F.monotonically_increasing_id() % 4096).cast("string"))))
+    verdict = F.coalesce("rule_verdict", F.when(F.col("blocked"), F.lit("block")).otherwise(F.lit("allow")))
+    joined = rows.join(aliases, F.col("meets") == F.col("alias"), "left")
+    return joined.select("page_id", "host", "path", "rule", verdict.alias("verdict"), F.coalesce("component", "node").alias("component"))
