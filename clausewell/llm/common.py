@@ -42,5 +42,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for ``df``, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -3,8 +3,10 @@
 Alternating star contraction: in the large-star step every node hands its larger
 neighbours to the smallest node it sees, in the small-star step every node hands
 itself and its smaller neighbours there.  The edge set never grows, the number of
-rounds is logarithmic in practice, and each round is written to the shared folder,
-so lineage stays short and lost executors cost one round.  No link, label or
+rounds is logarithmic in practice, and each round is written to the shared folder (and
+replaces the one before), so lineage stays short and lost executors cost one round.
+A node with very many neighbours is one key of a join, which Spark splits when it is
+skewed.  No link, label or
 component reaches the driver: only a count and a checksum per round do.
 """
 
@@ -12,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -42,8 +44,9 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     edges = materialize(edges.distinct(), name)
     before = _state(edges)
     while before[0]:
-        edges = materialize(_small_star(_large_star(edges)), name)
+        last, edges = edges, materialize(_small_star(_large_star(edges)), name)
         after = _state(edges)
+        discard(last)
         if after == before:
             break
         before = after

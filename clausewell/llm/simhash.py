@@ -34,12 +34,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import materialize
 from .graph import connected_components
-from .textbits import Words, slices, spread
+from .textbits import Words, mix, slices, spread
 
 BITS = 64
 SEGMENT = 2
 #: Cells of up to this many fingerprints are compared pair by pair, in numpy.
 SMALL_CELL = 96
+#: Larger cells than this are dealt over several tasks.
+CELL_ROWS = 8192
 
 
 def fingerprints_of(column: pa.Array, shingle: int, seed: int) -> np.ndarray:
@@ -211,50 +213,85 @@ def hamming_links(points: DataFrame, radius: int, n: int) -> DataFrame:
     return grid_links(points, ["fp"], [[m] for m in grid_masks(radius, tables_for(n, radius))], radius)
 
 
-def grid_links(points: DataFrame, fp_cols: list[str], grids: list[list[int]], radius: int) -> DataFrame:
-    """(src, dst) links of points that share a cell of some grid and are within
-    ``radius`` of each other.  The components of a cell are given as stars, so their
-    closure is exact while their number stays in proportion to the cells.
-
-    A grid is a mask of the unary code for each of ``fp_cols``.
-    """
+def cells_of(points: DataFrame, fp_cols: list[str], grids: list[list[int]]) -> DataFrame:
+    """(node, cell, *fp_cols): a row for each point and grid."""
     codes = [unary_counts(F.col(c)) for c in fp_cols]
     keys = F.array(*[F.xxhash64(F.lit(i), *[c.bitwiseAND(F.lit(signed(m))) for c, m in zip(codes, g, strict=True) if m]) for i, g in enumerate(grids)])
-    cells = points.select("node", F.explode(keys).alias("cell"), *fp_cols).repartition("cell").sortWithinPartitions("cell")
+    return points.select("node", F.explode(keys).alias("cell"), *fp_cols)
+
+
+def links_within(cells: DataFrame, by: list[str], fp_cols: list[str], radius: int, most: int | None) -> DataFrame:
+    """(src, dst, hot): links of the points that share the columns ``by``, which hold
+    longs.  Of a cell of over ``most`` points only its first key is given, as hot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[list[np.ndarray]] = []  # batches of the cell that is still open
+        kept: list[list[np.ndarray]] = []  # rows of the cell that is still open
 
         def flush(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-            cell, fp, node = (np.concatenate(x) for x in zip(*parts, strict=True))
-            a, b = cell_links(cell, fp, node, radius)
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["src", "dst"])
+            key, fp, node, name = (np.concatenate(x) for x in zip(*parts, strict=True))
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
+            large = np.diff(cuts) > (most or len(key))
+            hot, small = name[cuts[:-1][large]], np.repeat(~large, np.diff(cuts))
+            a, b = cell_links(key[small], fp[small], node[small], radius) if small.any() else ([], [])
+            yield pa.RecordBatch.from_arrays([pa.array([*a, *hot.tolist()], pa.int64()), pa.array([*b, *[None] * len(hot)], pa.int64()), pa.array([False] * len(a) + [True] * len(hot), pa.bool_())], names=["src", "dst", "hot"])
 
         for batch in batches:
-            node, cell, *words = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            fp = np.stack(words, axis=1).view(np.uint64)
-            if not len(cell):
-                continue
-            if kept and cell[0] == kept[-1][0][-1] == cell[-1]:
-                kept.append([cell, fp, node])
+            if not len(batch):
                 continue
-            cut = int(np.searchsorted(cell == cell[-1], True)) if cell[0] == cell[-1] else int(np.flatnonzero(cell != cell[-1])[-1]) + 1
-            yield from flush([*kept, [cell[:cut], fp[:cut], node[:cut]]])
-            kept = [[cell[cut:], fp[cut:], node[cut:]]]
+            node, *rest = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            fp, names = np.stack(rest[: len(fp_cols)], axis=1).view(np.uint64), rest[len(fp_cols) :]
+            key = names[0].view(np.uint64)
+            for more in names[1:]:
+                key = mix(key) + mix(more.view(np.uint64) + np.uint64(1))
+            open_from = int(np.flatnonzero(key != key[-1])[-1]) + 1 if key[0] != key[-1] else 0
+            if kept and (open_from or kept[-1][0][-1] != key[0]):
+                yield from flush([*kept, [x[:open_from] for x in (key, fp, node, names[0])]])
+                kept = []
+            elif open_from:
+                yield from flush([[x[:open_from] for x in (key, fp, node, names[0])]])
+            # One row more than `most` is enough to know a cell as hot.
+            till = open_from + most + 1 - sum(len(x[0]) for x in kept) if most else len(key)
+            kept.append([x[open_from : max(open_from, till)] for x in (key, fp, node, names[0])])
         if kept:
             yield from flush(kept)
 
-    return cells.mapInArrow(run, "src bigint, dst bigint").distinct()
+    dealt = cells.select("node", *fp_cols, *by).repartition(*by).sortWithinPartitions(*by)
+    return dealt.mapInArrow(run, "src bigint, dst bigint, hot boolean")
+
+
+def grid_links(points: DataFrame, fp_cols: list[str], grids: list[list[int]], radius: int, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """(src, dst) links of points that share a cell of some grid and are within
+    ``radius`` of each other.  The components of a cell are given as stars, so their
+    closure is exact while their number stays in proportion to the cells.
+
+    A grid is a mask of the unary code for each of ``fp_cols``.  A cell of over
+    ``cell_rows`` points is dealt over tasks: its points fall into blocks, and every
+    two blocks meet in one task, so that no task holds more than ``cell_rows``.
+    """
+    cells = cells_of(points, fp_cols, grids)
+    found = materialize(links_within(cells, ["cell"], fp_cols, radius, cell_rows), "grid-links")
+    links = found.where("not hot").select("src", "dst")
+    hot = found.where("hot").select(F.col("src").alias("cell"))
+    if not hot.isEmpty():
+        rows = materialize(cells.join(hot, "cell", "left_semi"), "grid-hot")
+        blocks = rows.groupBy("cell").agg(F.ceil(2 * F.count("*") / cell_rows).cast("bigint").alias("blocks"))
+        own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+        other = F.explode(F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda x: x != F.col("own")))
+        met = rows.join(blocks, "cell").withColumn("own", own).withColumn("other", other)
+        met = met.select("node", *fp_cols, "cell", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+        links = links.union(links_within(met, ["cell", "x", "y"], fp_cols, radius, None).select("src", "dst"))
+    return links.distinct()
 
 
 def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4, seed: int = 42) -> DataFrame:
     """(doc_id, fp, component_id) for every row: the component is the smallest id
-    reachable over links of at most ``radius`` differing bits."""
+    reachable over links of at most ``radius`` differing bits.  Fingerprints are what is
+    linked, so one that only rows without an id have links the others all the same."""
     marked = materialize(simhash(docs, id_col, text_col, shingle, seed), "simhash")
-    points = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("node")), "simhash-points")
-    linkable = points.where(F.col("node").isNotNull())
-    links = hamming_links(linkable, radius, linkable.count())
+    points = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-points")
+    links = hamming_links(points.select("fp", F.col("fp").alias("node")), radius, points.count())
     roots = connected_components(links)
-    of = points.join(roots, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return marked.join(of, "fp").select("doc_id", "fp", "component_id")
+    placed = points.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "low", "component")
+    lows = placed.where("component is not null").groupBy("component").agg(F.min("low").alias("least"))
+    of = placed.join(lows, "component", "left").select("fp", F.when(F.col("component").isNull(), F.col("low")).otherwise(F.col("least")).alias("component_id"))
+    return marked.join(materialize(of, "simhash-components"), "fp").select("doc_id", "fp", "component_id")

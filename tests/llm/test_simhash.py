@@ -5,7 +5,7 @@ import numpy as np
 import xxhash
 from fixtures import awkward, documents, prose
 
-from clausewell.llm import neardup, simhash
+from clausewell.llm import neardup, queries, simhash
 from clausewell.llm.graph import connected_components
 
 
@@ -53,21 +53,55 @@ def test_every_pair_within_the_radius_shares_a_cell():
             assert any(ua & m == ub & m for m in masks)
 
 
+def bridge():
+    """Three texts: the first and the last are linked through the second only."""
+    base = prose(77, 150).split()
+    texts = [" ".join([*base[:i], "swap", *base[i + 1 :]]) for i in range(2, 150, 3)]
+    fps = [brute_fingerprint(t) for t in texts]
+    apart = lambda a, b: bin(fps[a] ^ fps[b]).count("1")
+    some = range(len(texts))
+    found = [(a, b, c) for a in some for b in some for c in some if a < c and apart(a, b) <= 4 and apart(b, c) <= 4 and apart(a, c) > 4]
+    # No fourth text takes part, so the second is the only bridge.
+    return [texts[i] for i in found[0]]
+
+
 def test_components_match_brute_force(spark):
+    a, b, c = bridge()
     texts = awkward() + [(100 + i, prose(9, 200) + f"\nend {i}") for i in range(40)] + [(200 + i, prose(20 + i, 40)) for i in range(20)]
+    texts += [(700, c), (None, b), (600, a), (None, prose(88, 70)), (None, prose(88, 70))]
     rows = simhash.near_duplicate_components(documents(spark, texts)).collect()
     assert len(rows) == len(texts)
     fp = {}
     for i, t in texts:
         fp.setdefault(brute_fingerprint(t), []).append(i)
-    nodes = {f: min((i for i in ids if i is not None), default=None) for f, ids in fp.items()}
-    keys = [f for f in fp if nodes[f] is not None]
-    links = [(nodes[a], nodes[b]) for a in keys for b in keys if a < b and bin(a ^ b).count("1") <= 4]
-    root = brute_components(links, {nodes[k] for k in keys})
-    want = sorted((str(i), f, root.get(nodes[f])) for f, ids in fp.items() for i in ids)
-    got = sorted((str(r["doc_id"]), r["fp"] % (1 << 64), r["component_id"]) for r in rows)
-    assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in want]
-    assert {x[:2]: x[2] for x in got if x[0] != "None"} == {x[:2]: x[2] for x in want if x[0] != "None"}
+    root = brute_components([(a, b) for a in fp for b in fp if a < b and bin(a ^ b).count("1") <= 4], fp)
+    least = {}
+    for f, ids in fp.items():
+        least[root[f]] = min([i for i in [*ids, least.get(root[f])] if i is not None], default=None)
+    want = sorted((str(i), f, str(least[root[f]])) for f, ids in fp.items() for i in ids)
+    assert sorted((str(r["doc_id"]), r["fp"] % (1 << 64), str(r["component_id"])) for r in rows) == want
+    assert {x[2] for x in want if x[0] in ("600", "700")} == {"600"} and ("None", brute_fingerprint(prose(88, 70)), "None") in want
+
+
+def test_the_query(spark, tmp_path):
+    texts = [(i, prose(i % 7, 60) + f" x{i % 14}") for i in range(40)] + [(90, None), (91, "")]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in queries.op6_simhash(spark, str(tmp_path)).collect()}
+    fps = {i: brute_fingerprint(t) for i, t in texts}
+    root = brute_components([(a, b) for a in fps for b in fps if a < b and bin(fps[a] ^ fps[b]).count("1") <= 4], fps)
+    assert {i: (r["fingerprint"], r["component_id"]) for i, r in rows.items()} == {i: (f"{fps[i]:016x}", root[i]) for i in fps}
+
+
+def test_hot_cells_are_dealt_over_tasks(spark):
+    r = np.random.default_rng(6)
+    fps = np.unique(r.integers(0, 2**62, 6, dtype=np.uint64)[:, None] ^ sum((np.uint64(1) << r.integers(0, 60, (6, 60), dtype=np.uint64)) for _ in range(2)))
+    points = spark.createDataFrame([(int(f), i) for i, f in enumerate(fps)], "fp bigint, node bigint")
+    pairs = [(a, b) for a in range(len(fps)) for b in range(a) if bin(int(fps[a] ^ fps[b])).count("1") <= 4]
+    want = brute_components(pairs, range(len(fps)))
+    grids = [[m] for m in simhash.grid_masks(4, 1)]
+    for most in (7, 40, 8192):
+        got = simhash.grid_links(points, ["fp"], grids, 4, most).collect()
+        assert brute_components([(x["src"], x["dst"]) for x in got], range(len(fps))) == want
 
 
 def test_large_cells_match_small_ones():
