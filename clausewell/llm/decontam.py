@@ -1,23 +1,24 @@
 """Benchmark decontamination: item-sized SimHash windows, multi-index Hamming
 blocks, exact verification.
 
-For every benchmark item of L words, every window of L words of every document is
-a candidate copy.  Windows and items are compared in three steps:
+For every benchmark item of L words, the windows of L words of every document are
+compared with it in three steps:
 
-* A window whose weighted shingle similarity to the item reaches the threshold
-  shares at least ``2t/(1+t)`` of its shingles with it.  Windows that hold fewer
-  shingles of any item than that are left out at once: none of them can pass.
-* The others get a 64-bit SimHash.  Fingerprints of the items of that size are
+* Windows that share no shingle with any item of their size are left out: their
+  similarity to all of them is zero.
+* All others get a 64-bit SimHash.  Fingerprints of the items of that size are
   indexed by blocks of bits: of ``blocks`` blocks at least one differs in at most
   ``radius // blocks`` bits, so looking up every block value with up to so many
   bits flipped finds all items within the radius, without exception.
 * Those are verified by exact weighted similarity of the shingles as words: the
   sum of the smaller multiplicities over the sum of the larger ones.
 
-The radius is set so wide that a pair at the threshold is beyond it with a chance
-of under one in a thousand.  Words are runs of ASCII letters and digits and of any
-other non-ASCII characters, A-Z in lower case; items shorter than the shingle are
-one shingle.
+Bits of few shingles say little, so a short item (of under ``SURE`` shingles) is also
+compared with every window that holds enough of its size's shingles to reach the
+threshold; such items are found without exception.  A longer item at the threshold is
+beyond the radius with a chance of about one in two thousand, above it less.  Words
+are runs of ASCII letters and digits and of any other non-ASCII characters, A-Z in
+lower case; items shorter than the shingle are one shingle.
 
 The benchmark is taken in blocks of ``items_per_pass`` items (bounded, so each
 block can be broadcast), each compared with all documents in a map-only pass.
@@ -28,6 +29,7 @@ documents or items give a row for each; empty tables give no rows.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import reduce
@@ -43,6 +45,10 @@ SHINGLE = 5
 THRESHOLD = 0.8
 RADIUS = 20
 BLOCKS = 7
+#: Items of fewer shingles than this don't rely on their fingerprints.
+SURE = 32
+#: Windows whose bits are counted at once.
+WINDOWS_AT_ONCE = 1 << 14
 _SCHEMA = "item_id {item}, doc_id {doc}, similarity double, start_word bigint, n_words bigint, hamming int"
 
 
@@ -82,17 +88,22 @@ class HammingIndex:
     def _block(fps: np.ndarray, low: int, width: int) -> np.ndarray:
         return (fps >> np.uint64(low)) & np.uint64((1 << width) - 1)
 
-    def within(self, fp: np.uint64) -> list[tuple[int, int]]:
-        """(position, distance) of all fingerprints within the radius."""
-        seen: set[int] = set()
+    def within(self, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number, position, distance): for each of ``fps`` all indexed fingerprints
+        within the radius, ascending."""
+        found = []
         for low, width, flips, values, order in self.tables:
-            probes = self._block(np.array([fp], dtype=np.uint64), low, width) ^ flips
+            probes = (self._block(fps, low, width)[:, None] ^ flips).ravel()
             first, last = np.searchsorted(values, probes, "left"), np.searchsorted(values, probes, "right")
-            for a, b in zip(first[last > first].tolist(), last[last > first].tolist(), strict=True):
-                seen.update(order[a:b].tolist())
-        at = np.array(sorted(seen), dtype=np.int64)
-        distance = np.bitwise_count(self.fps[at] ^ fp)
-        return [(int(i), int(d)) for i, d in zip(at, distance, strict=True) if d <= self.radius]
+            some = np.flatnonzero(last > first)
+            n = (last - first)[some]
+            at = np.repeat(first[some] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            found.append(np.repeat(some // len(flips), n) * np.int64(len(self.fps)) + order[at])
+        pair = np.unique(np.concatenate(found))
+        number, position = pair // len(self.fps), pair % len(self.fps)
+        distance = np.bitwise_count(self.fps[position] ^ fps[number]).astype(np.int64)
+        near = distance <= self.radius
+        return number[near], position[near], distance[near]
 
 
 class Items:
@@ -162,29 +173,40 @@ class Items:
             window = min(size, total)
             n, m = window - k + 1, size - k + 1
             starts = np.unique(np.clip(np.concatenate([hits - d for d in range(n)]) if n < 4 * len(hits) else (hits[:, None] - np.arange(n)).ravel(), 0, total - window))
-            count = np.searchsorted(hits, starts + n) - np.searchsorted(hits, starts)
-            starts = starts[count >= self.shared(n, m)]
-            if not len(starts):
-                continue
             ids, index = own["by_size"][size]
-            for group in np.split(starts, np.flatnonzero(np.diff(starts) > n) + 1):
-                low = int(group[0])
-                bits = np.zeros((int(group[-1]) - low + n + 1, 64), dtype=np.int32)
-                np.cumsum(bit_rows(s[low : int(group[-1]) + n]), axis=0, out=bits[1:])
-                fps = fingerprint(bits[group - low + n] - bits[group - low], n)
-                for start, fp in zip(group.tolist(), fps, strict=True):
-                    for position, distance in index.within(fp):
-                        i = ids[position]
-                        if i in best and best[i][0] == 1.0:
-                            continue
-                        got = [words.bytes[a:b].tobytes() for a, b in zip(words.starts[first + start : first + start + window], words.ends[first + start : first + start + window], strict=True)]
-                        x = weighted_similarity(got, self.words[i], k)
-                        if x >= self.threshold and x > best.get(i, (0,))[0]:
-                            best[i] = (x, start, window, distance)
+            for low in range(0, len(starts), WINDOWS_AT_ONCE):
+                part = starts[low : low + WINDOWS_AT_ONCE]
+                number, position, distance = index.within(_window_prints(s, part, n))
+                pairs = list(zip(number.tolist(), position.tolist(), distance.tolist(), strict=True))
+                if m < SURE:
+                    count = np.searchsorted(hits, part + n) - np.searchsorted(hits, part)
+                    known = set(zip(number.tolist(), position.tolist(), strict=True))
+                    pairs += [(w, p, -1) for w in np.flatnonzero(count >= self.shared(n, m)).tolist() for p in range(len(ids)) if (w, p) not in known]
+                for w, p, d in sorted(pairs, key=lambda x: (x[1], x[2] < 0, x[2])):
+                    i, start = ids[p], int(part[w])
+                    if i in best and best[i][0] == 1.0:
+                        continue
+                    got = [words.bytes[a:b].tobytes() for a, b in zip(words.starts[first + start : first + start + window], words.ends[first + start : first + start + window], strict=True)]
+                    x = weighted_similarity(got, self.words[i], k)
+                    if x >= self.threshold and x > best.get(i, (0,))[0]:
+                        best[i] = (x, start, window, d if d >= 0 else int(np.bitwise_count(index.fps[p] ^ _window_prints(s, part[w : w + 1], n)[0])))
         for i, (x, start, window, distance) in sorted(best.items()):
             yield r, i, x, start, window, distance
 
 
+def _window_prints(s: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """SimHash of the n shingles from each of the ascending starts on."""
+    out = np.empty(len(starts), dtype=np.uint64)
+    for group in np.split(np.arange(len(starts)), np.flatnonzero(np.diff(starts) > n) + 1):
+        if len(group):
+            low, high = int(starts[group[0]]), int(starts[group[-1]])
+            bits = np.zeros((high - low + n + 1, 64), dtype=np.int32)
+            np.cumsum(bit_rows(s[low : high + n]), axis=0, out=bits[1:])
+            at = starts[group] - low
+            out[group] = fingerprint(bits[at + n] - bits[at], n)
+    return out
+
+
 def weighted_similarity(a: list[bytes], b: list[bytes], k: int = SHINGLE) -> float:
     """Weighted Jaccard of the multisets of k-word shingles."""
     ca, cb = (Counter(tuple(w[j : j + k]) for j in range(len(w) - k + 1)) for w in (a, b))
@@ -192,6 +214,17 @@ def weighted_similarity(a: list[bytes], b: list[bytes], k: int = SHINGLE) -> flo
     return sum((ca & cb).values()) / most if most else 0.0
 
 
+_LAST: dict[str, Items] = {}
+
+
+def _items(block: str, ids: list, texts: list[str | None], threshold: float) -> Items:
+    """The block of items, made ready once a worker; only the last one is kept."""
+    if block not in _LAST:
+        _LAST.clear()
+        _LAST[block] = Items(ids, texts, threshold)
+    return _LAST[block]
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD, items_per_pass: int = 20_000) -> DataFrame:
     """A row for each document and benchmark item that it holds a copy of: doc_id,
     item_id, similarity, start_word, n_words and hamming of the best window."""
@@ -205,11 +238,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     def one_pass(p: int) -> DataFrame:
         block = items if passes == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == p)
         got = block.orderBy("item_id", "text").collect()  # about items_per_pass rows
-        shared = spark.sparkContext.broadcast(([r["item_id"] for r in got], [r["text"] for r in got]))
+        shared = spark.sparkContext.broadcast((uuid.uuid4().hex, [r["item_id"] for r in got], [r["text"] for r in got]))
         item_arrow = pa.int64() if item_type == "bigint" else None
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = Items(*shared.value, threshold)
+            known = _items(*shared.value, threshold)
             for batch in batches:
                 found = [(known.ids[i], first + r, x, start, size, d) for first, raw, offsets in slices(batch.column(1)) for r, i, x, start, size, d in known.matches(raw, offsets)]
                 if found:

@@ -2,9 +2,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from fixtures import awkward, documents, prose
 
-from clausewell.llm import decontam
+from clausewell.llm import decontam, queries
+from clausewell.llm.textbits import slices
 
 
 def words(text):
@@ -43,11 +46,59 @@ def test_copies_are_found_and_clean_texts_left_alone(spark):
     assert decontam.contaminated(documents(spark, texts), bench.where("false")).count() == 0
 
 
+def test_awkward_documents(spark):
+    items = [(1, prose(900, 30)), (2, None), (None, prose(901, 20))]
+    long = prose(6, 25_000)
+    texts = [*awkward(), (None, "lead " + items[0][1]), (5, items[2][1]), (21, long + " " + items[0][1] + " " + long)]
+    rows = decontam.contaminated(documents(spark, texts), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert sorted((str(r["doc_id"]), str(r["item_id"]), r["similarity"]) for r in rows) == [("21", "1", 1.0), ("5", "None", 1.0), ("None", "1", 1.0)]
+
+
+def near_copies(size, similarity, number):
+    """Items of a size, each with a document at about a similarity to it or just above."""
+    r = random.Random(size * 1000 + int(similarity * 100))
+    items, texts = [], []
+    for j in range(number):
+        w = prose(7_000_000 + 1000 * size + j, size, 3000).split()
+        v = list(w)
+        goal, at = similarity, list(range(size))
+        r.shuffle(at)
+        for i in at:
+            u = [*v[:i], f"other{i}", *v[i + 1 :]]
+            if decontam.weighted_similarity([x.encode() for x in u], [x.encode() for x in w], min(5, size)) >= goal:
+                v = u
+        items.append((j, " ".join(w)))
+        texts.append((j, prose(j, 30) + " " + " ".join(v) + " " + prose(j + 1, 30)))
+    return items, texts
+
+
+@pytest.mark.parametrize("size", [5, 9, 14, 22, 34, 47, 60])
+def test_recall_by_size_and_similarity(size):
+    for similarity in (0.8, 0.9, 1.0):
+        items, texts = near_copies(size, similarity, 60)
+        known = decontam.Items([i for i, _ in items], [t for _, t in items], 0.8)
+        found = set()
+        for first, raw, offsets in slices(pa.array([t for _, t in texts])):
+            found |= {(first + row, item) for row, item, *_ in known.matches(raw, offsets)}
+        want = {(i, i) for i, _ in items}
+        assert len(want - found) <= (0 if size - 4 < decontam.SURE else 1), (size, similarity)
+
+
 def test_the_index_finds_all_within_the_radius():
     r = np.random.default_rng(7)
     base = r.integers(0, 2**63, 40, dtype=np.uint64)
     fps = np.concatenate([base ^ np.uint64(sum(1 << int(b) for b in r.choice(64, n, replace=False))) for n in (0, 5, 12, 20, 21, 30)])
     index = decontam.HammingIndex(fps)
-    for fp in base:
-        distance = np.bitwise_count(fps ^ fp)
-        assert index.within(fp) == [(i, int(d)) for i, d in enumerate(distance) if d <= decontam.RADIUS]
+    number, position, distance = index.within(base)
+    want = [(j, i, int(d)) for j, fp in enumerate(base) for i, d in enumerate(np.bitwise_count(fps ^ fp)) if d <= decontam.RADIUS]
+    assert list(zip(number.tolist(), position.tolist(), distance.tolist(), strict=True)) == want
+    assert not len(index.within(base[:0])[0])
+
+
+def test_the_query(spark, tmp_path):
+    items = [(j, prose(900 + j, 20 + j)) for j in range(8)]
+    texts = [(i, prose(i, 50) + " " + items[i % 8][1] + " " + prose(i + 1, 20)) if i % 4 == 0 else (i, prose(i, 90)) for i in range(40)]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = queries.op7_decontamination(spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in rows} == brute(texts, items)
