@@ -28,8 +28,17 @@ QUESTION_WORDS = (
 
 def tokens(text: Column) -> Column:
     """Lower-case words of a text: at least two of a-z, 0-9, _ and -, no stop words."""
-    words = F.split(F.regexp_replace(F.lower(text), r"[^a-z0-9_\- ]+", " "), " +")
-    return F.filter(words, lambda t: (F.length(t) >= 2) & ~t.isin(STOPWORDS))
+    return F.filter(F.regexp_extract_all(F.lower(text), F.lit(r"[a-z0-9_\-]{2,}"), F.lit(0)), lambda t: ~t.isin(STOPWORDS))
+
+
+# Stop words of the relational gate's own tokeniser.
+GATE_STOPWORDS = "the and for that this with from when have been are was were will into but not you your our their its".split()
+
+
+def gate_tokens(text: Column, most: int = 60) -> Column:
+    """Distinct words of letters and digits of any script, 3 to 32 characters, in order."""
+    parts = F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\s]", " "), r"\s+")
+    return F.slice(F.array_distinct(F.filter(parts, lambda t: F.length(t).between(3, 32) & ~t.isin(GATE_STOPWORDS))), 1, most)
 
 
 def informative(text: Column) -> Column:

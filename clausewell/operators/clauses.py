@@ -71,13 +71,15 @@ def tables(clauses: DataFrame, key: str = "id", html: str = "html") -> DataFrame
     """(id, no, caption_no, caption, rows) of each table that has a cell; no counts
     all tables, caption_no is null without a caption of its own."""
     parts = F.split(F.col(html), r"(?i)(?=<table\b)")
-    texts = clauses.select(key, F.posexplode(F.transform(parts, lambda p, i: F.struct(p.alias("part"), F.array_join(F.slice(parts, 1, i), "").alias("before")))).alias("no", "t"))
+    # Each part takes along the end of what stands before it, not all of it.
+    start = F.struct(F.lit("").alias("tail"), F.array().cast("array<struct<part:string,before:string>>").alias("out"))
+    step = lambda acc, p: F.struct(F.right(F.concat(acc["tail"], p), F.lit(TABLE_LOOK_BACK)).alias("tail"), F.concat(acc["out"], F.array(F.struct(p.alias("part"), acc["tail"].alias("before")))).alias("out"))
+    texts = clauses.select(key, F.posexplode(F.aggregate(parts, start, step, lambda acc: acc["out"])).alias("no", "t"))
     texts = texts.where("t.part rlike '(?i)^<table\\\\b'")
     inner = F.regexp_extract("t.part", r"(?is)^<table\b[^>]*>(.*?)</table>", 1)
     cells = lambda tr: F.transform(F.regexp_extract_all(tr, F.lit(r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]>"), F.lit(1)), markup.strip_tags)
     rows = F.filter(F.transform(F.regexp_extract_all(inner, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1)), cells), lambda r: F.size(r) > 0)
-    near = F.expr(f"right(t.before, {TABLE_LOOK_BACK})")
-    last = F.try_element_at(F.regexp_extract_all(near, F.lit(r"(?is)<p[^>]*>(.*?)</p>"), F.lit(1)), F.lit(-1))
+    last = F.try_element_at(F.regexp_extract_all("t.before", F.lit(r"(?is)<p[^>]*>(.*?)</p>"), F.lit(1)), F.lit(-1))
     caption = markup.strip_tags(F.coalesce(last, F.lit("")))
     pattern = r"^Table\s+([\dA-Z][\d.A-Z-]*):?\s*(.+?)\z"
     no = F.dense_rank().over(Window.partitionBy(key).orderBy("no"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clausewell.functions import markup
+from clausewell.operators import chunking
 
 AUX_MAX_CHARS = 4000
 CHUNK_AUX_ENTRIES = 61
@@ -32,6 +33,13 @@ def chunk_aux(text: Column) -> Column:
     return F.array_join(F.slice(split_entries(text), 1, CHUNK_AUX_ENTRIES), JOINT)
 
 
+def chunk_documents(clauses: DataFrame, key: str = "id", title: str = "title", text: str = "text") -> DataFrame:
+    """(id, n, chunk) as the chunk index takes them: windows with the words of their
+    identifiers behind them; clauses of definitions stay out."""
+    rows = chunking.chunks(clauses.where(~definitional(F.col(title))), key, title, text)
+    return rows.withColumn("chunk", F.concat_ws("\n", "chunk", F.nullif(chunk_aux(F.col("chunk")), F.lit(""))))
+
+
 def clause_aux(clauses: DataFrame, glossary: DataFrame, key: str = "id", title: str = "title", text: str = "text") -> DataFrame:
     """(id, aux): identifier splits, then the expansions of acronyms that the clause
     uses without spelling them out, in the glossary's order, cut to 4000 characters.

@@ -5,13 +5,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 RRF_PLAIN, RRF_K = 60, 5
 FLOOR_WEIGHT, VEC_Z, Z_MOST, RESULTS = 0.35, 0.5, 3.0, 50
-# Fixed values: (what is tested, pattern, weight); all that match multiply.
-PRIORS = [("spec", r"^36\.", 0.3), ("spec", r"^(38\.5(08|21|23)|36\.5(08|21|23))", 0.5), ("spec", r"^38\.1(01|33)", 0.6)]
+#: A rule: pattern of the document, weight, and what in a clause's id counts as a match too.
+Prior = tuple[str, float, str | None]
+# All rules that match multiply.
+PRIORS: list[Prior] = [(r"^36\.", 0.3, None), (r"^(38\.5(08|21|23)|36\.5(08|21|23))", 0.5, "#A."), (r"^38\.1(01|33)", 0.6, None)]
 
 
 def plain_rrf(lists: list[DataFrame], id_col: str, k: int = RRF_PLAIN) -> DataFrame:
@@ -38,14 +39,13 @@ def weighted_rrf(lexical: list[tuple[DataFrame, float]], dense: DataFrame, dense
     return reduce(DataFrame.unionByName, rows).groupBy("qid", id_col).agg(F.sum("score").alias("score"), F.min("first_seen").alias("first_seen"))
 
 
-def prior(spec: Column, clause_id: Column, rules: list[tuple[str, str, float]] = PRIORS) -> Column:
-    """Product of the weights of all rules that match; annex clauses of test material
-    count as test documents once."""
+def prior(spec: Column, clause_id: Column, rules: list[Prior] = PRIORS) -> Column:
+    """Product of the weights of all rules that match."""
     weight = F.lit(1.0)
-    for _, pattern, w in rules:
+    for pattern, w, in_id in rules:
         hit = spec.rlike(pattern)
-        if "508" in pattern or "5(08" in pattern:
-            hit = hit | F.contains(clause_id, F.lit("#A."))
+        if in_id:
+            hit = hit | F.contains(clause_id, F.lit(in_id))
         weight = weight * F.when(hit, w).otherwise(1.0)
     return weight
 
@@ -56,23 +56,15 @@ def ranked(fused: DataFrame, id_col: str, k: int = RESULTS) -> DataFrame:
 
 
 def spec_cap(results: DataFrame, id_col: str, spec_col: str, cap: int, head: int = 10) -> DataFrame:
-    """(qid, id, rank): while the head fills, a document may give ``cap`` results;
-    those beyond it follow behind.  Sequential within a query's short list."""
-    kind = results.schema[id_col].dataType.simpleString()
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rank")
-        first, later, seen = [], [], {}
-        for one, spec in zip(pdf[id_col], pdf[spec_col], strict=True):
-            if len(first) < head and seen.get(spec, 0) >= cap:
-                later.append(one)
-            else:
-                seen[spec] = seen.get(spec, 0) + 1
-                first.append(one)
-        out = first + later
-        return pd.DataFrame({"qid": [pdf["qid"].iloc[0]] * len(out), id_col: out, "rank": range(1, len(out) + 1)})
-
-    return results.select("qid", id_col, spec_col, "rank").groupBy("qid").applyInPandas(run, f"qid bigint, {id_col} {kind}, rank bigint")
+    """(qid, id, rank): while the head fills, a document may give ``cap`` results; those
+    beyond it follow behind.  Until then a document's first ``cap`` results are taken, so
+    one is put off if it is none of those and they haven't filled the head before it."""
+    by_rank = Window.partitionBy("qid").orderBy("rank")
+    rows = results.select("qid", id_col, spec_col, "rank").withColumn("_no", F.row_number().over(Window.partitionBy("qid", spec_col).orderBy("rank")))
+    taken = F.count_if(F.col("_no") <= cap).over(by_rank)
+    rows = rows.withColumn("_later", (F.col("_no") > cap) & (taken < head))
+    order = Window.partitionBy("qid").orderBy("_later", "rank")
+    return rows.select("qid", id_col, F.row_number().over(order).cast("bigint").alias("rank"))
 
 
 def candidate_pool(lists: list[DataFrame], id_col: str) -> DataFrame:

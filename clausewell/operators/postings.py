@@ -1,60 +1,48 @@
 """A positional inverted index as DataFrames, with phrases, boolean groups and BM25.
 
-Everything to be matched is a *unit*: a phrase of one or more terms.  Units meet
-postings in one equi-join on the term, and one aggregation counts, for every start
-position, whether all terms of a phrase follow in their places.  Words and phrases,
-OR soups and AND of groups are all answered by that plan.
+Everything to be matched is a *unit*: a phrase of one or more terms.  ``Index`` reads
+the documents: their n-grams of the lengths that are asked for meet whole units in one
+equi-join, so a common word costs no more than its own occurrences.  ``StoredIndex``
+keeps postings by term under a path, built once and searched many times: a search
+reads the asked terms only, and starts of phrases are intersections of positions.
+Words and phrases, OR soups and AND of groups are all answered by either.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clausewell.functions import words
 
 K1, B, IDF_FLOOR = 1.2, 0.75, 1e-6
+#: Groups of a plan that one number holds.
+BITS = 62
 #: Column weights of the clause index.
 CLAUSE_WEIGHTS = {"citation": 4.0, "title": 8.0, "parent_title": 2.0, "path": 2.0, "text": 1.0, "aux": 5.0}
 
 
-class Index:
-    """Postings of ``docs`` over one or more weighted text columns.
+def _unit(terms: str) -> Column:
+    return F.array_join(terms, " ")
 
-    ``lengths``: (id, dl); ``n`` documents of average length ``avgdl``.  Both numbers
-    are computed once, over all documents.
-    """
 
-    def __init__(self, docs: DataFrame, key: str, weights: dict[str, float], tokenizer: Callable[[Column], Column] = words.tokens):
-        self.key, self.weights = key, weights
-        empty = {c: F.lit("") if kind == "string" else F.array().cast(kind) for c, kind in docs.dtypes}
-        self.docs = docs.select(key, *[tokenizer(F.coalesce(F.col(c), empty[c])).alias(c) for c in weights])
-        length = sum((F.size(c) for c in weights), F.lit(0)).cast("bigint")
-        self.lengths = self.docs.select(key, length.alias("dl"))
-        row = self.lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
-        self.n, self.avgdl = row["n"], row["avgdl"] or 1.0
+class Searcher:
+    """BM25 over ``occurrences`` of units; ``n`` documents of average length ``avgdl``."""
 
-    def postings(self) -> DataFrame:
-        """(id, dl, col, pos, term): every token of every column, in its place."""
-        columns = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.lit(w).alias("weight"), F.col(c).alias("terms")) for c, w in self.weights.items()]))
-        length = sum((F.size(c) for c in self.weights), F.lit(0)).cast("bigint")
-        rows = self.docs.select(self.key, length.alias("dl"), columns.alias("c"))
-        return rows.select(self.key, "dl", "c.col", "c.weight", F.posexplode("c.terms").alias("pos", "term"))
+    key: str
+    n: int
+    avgdl: float
 
     def occurrences(self, units: DataFrame) -> DataFrame:
         """(unit, id, dl, tf): weighted occurrences of units (unit, terms) by document."""
-        parts = units.select("unit", F.size("terms").alias("n_terms"), F.posexplode("terms").alias("offset", "term"))
-        hits = self.postings().join(parts, "term").withColumn("start", F.col("pos") - F.col("offset"))
-        single = hits.where("n_terms = 1").select("unit", self.key, "dl", "weight")
-        longer = hits.where("n_terms > 1").groupBy("unit", self.key, "dl", "col", "weight", "start", "n_terms").agg(F.count("*").alias("found"))
-        whole = longer.where("found = n_terms").select("unit", self.key, "dl", "weight")
-        return single.union(whole).groupBy("unit", self.key, "dl").agg(F.sum("weight").alias("tf"))
+        raise NotImplementedError
 
     def scored(self, units: DataFrame) -> DataFrame:
         """(unit, id, score): BM25 of each unit for each document that holds it."""
         hits = self.occurrences(units)
-        df = hits.groupBy("unit").agg(F.count("*").alias("df"))
+        # Counting tf reads the same columns as the join does, so that one shuffle serves both.
+        df = hits.groupBy("unit").agg(F.count("tf").alias("df"))
         idf = F.log((F.lit(float(self.n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
         idf = F.when(idf > 0, idf).otherwise(IDF_FLOOR)
         norm = K1 * (1 - B + B * F.col("dl") / F.lit(self.avgdl))
@@ -66,14 +54,85 @@ class Index:
         ``plan``: (qid, tier, group_no, terms).  A group is met if any of its units
         occurs, a tier if all its groups are; all units that occur add to the score.
         """
-        units = plan.select("terms").distinct().withColumn("unit", F.array_join("terms", " "))
-        scores = self.scored(units)
-        asked = plan.withColumn("unit", F.array_join("terms", " "))
-        need = asked.groupBy("qid", "tier").agg(F.countDistinct("group_no").alias("need"))
-        found = asked.join(scores, "unit").groupBy("qid", "tier", self.key).agg(F.countDistinct("group_no").alias("met"), F.sum("score").alias("score"))
+        scores = self.scored(plan.select("terms").distinct().withColumn("unit", _unit("terms")))
+        asked = plan.select("qid", "tier", "group_no", _unit("terms").alias("unit"))
+        # Groups that are met are bits, so that one aggregation counts them.
+        words = 1 + (asked.agg(F.max("group_no")).first()[0] or 0) // BITS
+        bit = lambda w: F.expr(f"if(group_no div {BITS} = {w}, shiftleft(1L, cast(group_no % {BITS} as int)), 0L)")
+        groups = sum((F.bit_count(F.bit_or(bit(w))) for w in range(words)), F.lit(0))
+        need = asked.groupBy("qid", "tier").agg(groups.alias("need"))
+        found = asked.join(scores, "unit").groupBy("qid", "tier", self.key).agg(groups.alias("met"), F.sum("score").alias("score"))
         return found.join(need, ["qid", "tier"]).where("met = need").select("qid", "tier", self.key, "score")
 
 
+class Index(Searcher):
+    """Searches ``docs`` themselves, over one or more weighted text columns."""
+
+    def __init__(self, docs: DataFrame, key: str, weights: dict[str, float], tokenizer: Callable[[Column], Column] = words.tokens):
+        self.key, self.weights = key, weights
+        empty = {c: F.lit("") if kind == "string" else F.array().cast(kind) for c, kind in docs.dtypes}
+        tokenised = docs.select(key, *[tokenizer(F.coalesce(F.col(c), empty[c])).alias(c) for c in weights])
+        length = sum((F.size(c) for c in weights), F.lit(0)).cast("bigint")
+        columns = [F.struct(F.lit(c).alias("col"), F.lit(float(w)).alias("weight"), F.col(c).alias("terms")) for c, w in weights.items()]
+        #: (id, dl, fields): the terms of every weighted column.
+        self.docs = tokenised.select(key, length.alias("dl"), F.array(*columns).alias("fields"))
+        self._stats: tuple[int, float] | None = None
+
+    def _counted(self) -> tuple[int, float]:
+        if self._stats is None:
+            row = self.docs.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).first()
+            self._stats = row["n"], row["avgdl"] or 1.0
+        return self._stats
+
+    n = property(lambda self: self._counted()[0])
+    avgdl = property(lambda self: self._counted()[1])
+
+    def postings(self) -> DataFrame:
+        """(id, dl, col, weight, pos, term): every token of every column, in its place."""
+        rows = self.docs.select(self.key, "dl", F.explode_outer("fields").alias("f"))
+        return rows.select(self.key, "dl", "f.col", "f.weight", F.posexplode_outer("f.terms").alias("pos", "term")).where("term is not null")
+
+    def occurrences(self, units: DataFrame) -> DataFrame:
+        sizes = sorted(r["n"] for r in units.select(F.size("terms").alias("n")).where("n > 0").distinct().collect())  # lengths of phrases: a few
+        rows = self.docs.select(self.key, "dl", F.explode_outer("fields").alias("f")).select(self.key, "dl", "f.weight", "f.terms")
+        none = F.array().cast("array<string>")
+        phrases = lambda n: F.transform(F.sequence(F.lit(1), F.size("terms") - n + 1), lambda i: F.array_join(F.slice("terms", i, n), " "))
+        grams = F.concat(none, *[F.col("terms") if n == 1 else F.when(F.size("terms") >= n, phrases(n)).otherwise(none) for n in sizes])
+        # An outer explode drops nothing here but spares a filter on the array's size, which
+        # would tokenise every text a second time below the scan.
+        held = rows.select(self.key, "dl", "weight", F.explode_outer(grams).alias("gram"))
+        return held.join(units.select("unit", _unit("terms").alias("gram")).distinct(), "gram").groupBy("unit", self.key, "dl").agg(F.sum("weight").alias("tf"))
+
+    def store(self, path: str, overwrite: bool = False) -> StoredIndex:
+        """Write postings and statistics under ``path``: a row for each term, document and
+        column, with its positions, in files by ranges of terms."""
+        rows = self.postings().groupBy("term", self.key, "dl", "col", "weight").agg(F.array_sort(F.collect_list("pos")).alias("positions"))
+        mode = "overwrite" if overwrite else "errorifexists"
+        # Documents of a common term fall into several ranges.
+        rows.repartitionByRange("term", self.key).sortWithinPartitions("term", self.key).write.mode(mode).parquet(f"{path}/postings")
+        spark = rows.sparkSession
+        spark.createDataFrame([(self.key, self.n, float(self.avgdl))], "key string, n bigint, avgdl double").write.mode(mode).parquet(f"{path}/stats")
+        return StoredIndex(spark, path)
+
+
+class StoredIndex(Searcher):
+    """An index that ``Index.store`` wrote."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        row = spark.read.parquet(f"{path}/stats").first()
+        self.key, self.n, self.avgdl = row["key"], row["n"], row["avgdl"]
+        self.postings = spark.read.parquet(f"{path}/postings")
+
+    def occurrences(self, units: DataFrame) -> DataFrame:
+        parts = units.select("unit", F.size("terms").alias("n_terms"), F.posexplode("terms").alias("offset", "term"))
+        hits = self.postings.join(parts, "term").withColumn("starts", F.transform("positions", lambda p: p - F.col("offset")))
+        single = hits.where("n_terms = 1").select("unit", self.key, "dl", (F.size("positions") * F.col("weight")).alias("tf"))
+        longer = hits.where("n_terms > 1").groupBy("unit", self.key, "dl", "col", "weight", "n_terms").agg(F.collect_list("starts").alias("starts")).where(F.size("starts") == F.col("n_terms"))
+        whole = F.aggregate(F.slice("starts", 2, 1_000_000), F.element_at("starts", 1), F.array_intersect)
+        phrases = longer.select("unit", self.key, "dl", (F.size(whole) * F.col("weight")).alias("tf")).where("tf > 0")
+        return single.union(phrases).groupBy("unit", self.key, "dl").agg(F.sum("tf").alias("tf"))
+
+
 def or_plan(queries: DataFrame, qid: str, text: str, most: int = 40) -> DataFrame:
     """The OR of a query's first distinct tokens, as a one-tier plan."""
     terms = F.slice(F.array_distinct(words.tokens(F.col(text))), 1, most)

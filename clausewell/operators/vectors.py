@@ -19,7 +19,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "id")
     """(qid, id, distance, rank): the k nearest vectors by L2 distance, exactly.
 
     ``queries``: qid, vec; ``vectors``: id, vec.  A task keeps the best k of each query
-    over its own batches, so what is shuffled follows tasks and queries, not vectors.
+    over all its rows, so what is shuffled follows tasks and queries, not vectors.
     """
     spark = vectors.sparkSession
     asked = queries.where("vec is not null").select("qid", "vec")
@@ -32,20 +32,24 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "id")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             qids, q = shared.value
+            best: list[tuple[np.ndarray, np.ndarray]] = []  # distances and ids of each query
             for batch in batches:
                 if not len(batch) or not len(qids):
                     continue
-                v = np.array(batch.column(1).to_pylist(), dtype=np.float64)
-                ids = batch.column(0).to_numpy(zero_copy_only=False)
-                rows, at, d = [], [], []
+                flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                v, ids = flat.reshape(len(batch), -1), batch.column(0).to_numpy(zero_copy_only=False)
+                best = best or [(np.zeros(0), ids[:0])] * len(qids)
                 for i, x in enumerate(q):
-                    distance = np.sqrt(((v - x) ** 2).sum(axis=1))
-                    best = np.lexsort((ids, np.round(distance, 9)))[:k]
-                    rows.append(np.full(len(best), i))
-                    at.append(best)
-                    d.append(distance[best])
-                at = np.concatenate(at)
-                yield pa.RecordBatch.from_arrays([pa.array(qids[np.concatenate(rows)]), batch.column(0).take(pa.array(at)), pa.array(np.concatenate(d))], names=["qid", id_col, "distance"])
+                    distance = np.concatenate([best[i][0], np.sqrt(((v - x) ** 2).sum(axis=1))])
+                    names = np.concatenate([best[i][1], ids])
+                    if len(distance) > 4 * k:  # all that can be among the first k, ties included
+                        some = np.flatnonzero(np.round(distance, 9) <= np.round(np.partition(distance, k)[k], 9))
+                        distance, names = distance[some], names[some]
+                    order = np.lexsort((names, np.round(distance, 9)))[:k]
+                    best[i] = distance[order], names[order]
+            if best:
+                size = [len(d) for d, _ in best]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qids, size)), pa.array(np.concatenate([n for _, n in best])), pa.array(np.concatenate([d for d, _ in best]))], names=["qid", id_col, "distance"])
 
         return vectors.where("vec is not null").select(id_col, "vec").mapInArrow(run, f"qid bigint, {id_col} {kind}, distance double")
 
@@ -54,6 +58,26 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "id")
     return found.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= k)
 
 
+def loaded(embeddings: DataFrame, owners: DataFrame, id_col: str = "id") -> DataFrame:
+    """Embeddings of ids that exist, the first of each id (by the order of ``vec``)."""
+    first = embeddings.groupBy(id_col).agg(F.min("vec").alias("vec"))
+    return first.join(owners.select(id_col).distinct(), id_col, "left_semi")
+
+
+def load_report(embeddings: DataFrame, owners: DataFrame, id_col: str = "id") -> DataFrame:
+    """One row (total, repeated, missing): embeddings, those that repeat an id, distinct
+    ids that nothing owns."""
+    counted = embeddings.groupBy(id_col).agg(F.count("*").alias("n"))
+    known = owners.select(id_col).distinct().withColumn("owned", F.lit(True))
+    rows = counted.join(known, id_col, "left")
+    return rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("repeated"), F.count_if(F.col("owned").isNull()).alias("missing"))
+
+
+def compatible(stored: dict, model: str, dim: int) -> bool:
+    """Were vectors with these facts made by the embedder that queries use?"""
+    return stored.get("embeddingModel") == model and int(stored.get("embeddingDim") or 0) == dim
+
+
 def max_pooled(near: DataFrame, owner: str, k: int) -> DataFrame:
     """Chunk neighbours as neighbours of what they belong to: best chunk first, k kept."""
     best = near.groupBy("qid", owner).agg(F.min("distance").alias("distance"))

@@ -10,6 +10,8 @@ from clausewell.plans.corpus import CLAUSES, clauses, questions
 from clausewell.plans.parsing_queries import sql_tokens
 from clausewell.plans.registry import query
 from clausewell.plans.retrieval_queries import _BM25, _DENSE, _best, _dense
+from clausewell.sources.benchmarks import option_questions
+from clausewell.sources.shared import materialize
 from clausewell.sources.tables import table
 
 # A question's expected clause is the first one that holds its text.
@@ -45,7 +47,7 @@ def _round(rows: DataFrame) -> DataFrame:
 @query(f"WITH {_BM25}, {_DENSE}, {_HOLDS}, {_RANKS} SELECT qid, expected, rank, dense_rank, CASE WHEN dense_rank = 0 AND rank > 0 THEN 'recovered' WHEN dense_rank > 0 AND rank = 0 THEN 'lost' WHEN dense_rank > 0 AND rank < dense_rank THEN 'improved' WHEN dense_rank > 0 AND rank > dense_rank THEN 'regressed' ELSE 'same' END AS flip FROM ranks JOIN dranks USING (qid)")
 def eval_ranks(spark: SparkSession, folder: str) -> DataFrame:
     """Ranks of the expected clause in a dense and a lexical arm, and the change."""
-    expected = _expected(spark, folder).persist()
+    expected = materialize(_expected(spark, folder), "expected")
     lexical = E.ranks(expected, _best(spark, folder, 10))
     dense = E.ranks(expected, _dense(spark, folder)).select("qid", F.col("rank").alias("dense_rank"))
     rows = lexical.join(dense, "qid")
@@ -54,7 +56,7 @@ def eval_ranks(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {_BM25}, {_DENSE}, {_HOLDS}, {_RANKS} SELECT coalesce(stratum, '<unlabeled>') AS stratum, {_METRICS} FROM ranks GROUP BY 1 UNION ALL SELECT '<all>', {_METRICS} FROM ranks")
 def eval_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return _round(E.metrics_by(_ranked(spark, folder).persist(), "stratum"))
+    return _round(E.metrics_by(materialize(_ranked(spark, folder), "ranked"), "stratum"))
 
 
 @query(f"WITH {_BM25}, {_HOLDS}, refs AS (SELECT qid, regexp_replace(expected, '\\.[^.]+$', '') AS ref FROM expected) SELECT r.qid, ref, coalesce(min(rank), 0) AS rank FROM refs r LEFT JOIN best b ON r.qid = b.qid AND (b.id = ref OR starts_with(b.id, ref || '.')) GROUP BY ALL")
@@ -115,7 +117,7 @@ _FNV = "list_reduce(list_prepend(CAST(2166136261 AS BIGINT), list_transform(stri
 
 @query(f"""WITH r AS (SELECT c_custkey, c_mktsegment, 'c' || c_custkey AS k FROM customer), h AS (SELECT c_custkey, c_mktsegment, k, {_FNV} AS h FROM r),
 n AS (SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY h, k) AS no, count(*) OVER (PARTITION BY c_mktsegment) AS size, count(*) OVER () AS total FROM h)
-SELECT c_custkey, c_mktsegment FROM n WHERE no <= greatest(1, floor(size * (100.0 / total) + 0.5))""")
+SELECT c_custkey, c_mktsegment FROM (SELECT * FROM n WHERE no <= greatest(1, floor(size * (100.0 / total) + 0.5)) ORDER BY c_mktsegment, no LIMIT 150)""")
 def stratified_sample(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
     return E.stratified_sample(rows, "c_mktsegment", F.concat(F.lit("c"), F.col("c_custkey").cast("string")), 100, rows.count())
@@ -124,7 +126,7 @@ def stratified_sample(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""WITH {_BM25}, {_DENSE}, {_HOLDS}, {_RANKS}, m AS (SELECT avg(CASE WHEN rank > 0 THEN 1.0 / rank ELSE 0.0 END) AS hybrid, avg(CASE WHEN dense_rank > 0 THEN 1.0 / dense_rank ELSE 0.0 END) AS base FROM ranks JOIN dranks USING (qid))
 SELECT round(hybrid - base, 6) AS lift, hybrid - base >= 0 AND hybrid - base >= 0.08 AS passed FROM m""")
 def lift_gate(spark: SparkSession, folder: str) -> DataFrame:
-    expected = _expected(spark, folder).persist()
+    expected = materialize(_expected(spark, folder), "expected")
     lexical = E.ranks(expected, _best(spark, folder, 10))
     dense = E.ranks(expected, _dense(spark, folder)).select("qid", F.col("rank").alias("dense_rank"))
     reciprocal = lambda c: F.avg(F.when(F.col(c) > 0, 1.0 / F.col(c)).otherwise(0.0))
@@ -132,19 +134,72 @@ def lift_gate(spark: SparkSession, folder: str) -> DataFrame:
     return both.select(*E.lift_gate(F.col("base"), F.col("hybrid"))).select(F.round("lift", 6).alias("lift"), "passed")
 
 
-@query("SELECT s_nationkey AS spec, count(*) AS n, round(avg(CASE WHEN l_quantity > 25 THEN 1.0 ELSE 0.0 END), 6) AS contained FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1 HAVING count(*) >= 30")
+_HAYS = "hays AS (SELECT qid, string_agg(lower(text), chr(10) ORDER BY rank) FILTER (rank <= 5) AS h5, string_agg(lower(text), chr(10) ORDER BY rank) AS h10 FROM best JOIN clauses USING (id) WHERE rank <= 10 GROUP BY 1)"
+_HELD = "CASE WHEN len(toks) = 0 THEN 0.0 ELSE len(list_filter(toks, lambda t: contains(coalesce({h}, ''), t))) / len(toks) END >= 0.6"
+_CONTAINED = f"{_BM25}, {_HAYS}, golds AS (SELECT qid, {_info('text')} AS toks FROM questions), contained AS (SELECT qid, {_HELD.format(h='h5')} AS in_5, {_HELD.format(h='h10')} AS in_10 FROM golds LEFT JOIN hays USING (qid))"
+
+
+def _contained(spark: SparkSession, folder: str) -> DataFrame:
+    gold = questions(spark, folder).withColumnRenamed("text", "gold")
+    return E.containment(gold, _best(spark, folder, 10), clauses(spark, folder))
+
+
+@query(f"WITH {_CONTAINED} SELECT qid, in_5, in_10 FROM contained")
+def answer_containment(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the first five, ten results hold a question's answer, here its own text."""
+    return _contained(spark, folder).select("qid", "in_5", "in_10")
+
+
+@query(f"WITH {_CONTAINED} SELECT CASE WHEN qid < 32 THEN 'r1' ELSE 'r2' END AS rel, count(*) AS n, round(avg(CASE WHEN in_5 THEN 1.0 ELSE 0.0 END), 6) AS answers_5, round(avg(CASE WHEN in_10 THEN 1.0 ELSE 0.0 END), 6) AS answers_10 FROM contained GROUP BY 1 HAVING count(*) >= 30")
 def benchmark_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    """Shares by group, for groups of thirty rows or more."""
-    rows = table(spark, folder, "lineitem").join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    counted = rows.groupBy(F.col("s_nationkey").alias("spec")).agg(F.count("*").alias("n"), F.avg(F.when(F.col("l_quantity") > 25, 1.0).otherwise(0.0)).alias("share"))
-    return counted.where("n >= 30").select("spec", "n", F.round("share", 6).alias("contained"))
+    """Contained answers by release, for releases of thirty questions or more."""
+    rows = _contained(spark, folder).withColumn("rel", F.when(F.col("qid") < 32, "r1").otherwise("r2"))
+    shares = [F.round(c, 6).alias(c) for c in ("answers_5", "answers_10")]
+    return E.contained_by(rows, "rel").select("rel", "n", *shares)
+
+
+@query("""SELECT 'question_' || p_partkey AS key, 'Which is ' || p_name || ' ?' AS query, CASE p_partkey % 4 WHEN 1 THEN p_brand WHEN 2 THEN p_type ELSE '' END AS gold, CAST(2 AS BIGINT) AS options, p_partkey % 4 - 1 AS gold_idx
+FROM part WHERE p_partkey % 4 <> 0""")
+def benchmark_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Questions with options out of JSON documents of a hundred questions each."""
+    part = table(spark, folder, "part")
+    answer = F.when(F.col("p_partkey") % 4 == 0, "none").otherwise(F.concat(F.lit("option "), (F.col("p_partkey") % 4).cast("string"), F.lit(": x")))
+    fields = {"question": F.concat(F.lit("Which is "), "p_name", F.lit(" [3GPP Release 17] ?")), "option 1": F.col("p_brand"), "option 2": F.col("p_type"), "option 3": F.lit(""), "answer": answer}
+    one = F.create_map(*[x for k, v in fields.items() for x in (F.lit(k), v)])
+    name = F.concat(F.lit("question "), F.col("p_partkey").cast("string"))
+    docs = part.groupBy(F.floor(F.col("p_partkey") / 100).alias("no")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(name, one)))).alias("json"))
+    rows = option_questions(docs)
+    return rows.select("key", "query", "gold", F.size("options").cast("bigint").alias("options"), F.col("gold_idx").cast("bigint").alias("gold_idx"))
+
+
+@query("""WITH c AS (SELECT o_orderkey AS qid, CASE WHEN o_orderkey % 13 = 0 THEN 0 ELSE o_orderkey % 260 END AS rank, o_custkey AS id FROM orders), k AS (SELECT c_custkey AS id FROM customer WHERE c_acctbal > 0)
+SELECT qid, CASE WHEN rank BETWEEN 1 AND 10 THEN 'HIT' WHEN rank BETWEEN 11 AND 50 THEN 'RANKED-LOW' WHEN rank BETWEEN 51 AND 200 THEN 'DEEP' ELSE 'MISS' END AS bucket, NOT rank BETWEEN 1 AND 10 AS hard, NOT rank BETWEEN 1 AND 50 AS true_miss, CASE WHEN id NOT IN (SELECT id FROM k) THEN 1 ELSE 0 END::BIGINT AS phantoms FROM c""")
+def relational_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """Candidate queries by how far off their target ranks, and ids that don't exist."""
+    orders = table(spark, folder, "orders")
+    rank = F.when(F.col("o_orderkey") % 13 == 0, 0).otherwise(F.col("o_orderkey") % 260)
+    corpus = table(spark, folder, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("id"))
+    rows = orders.select(F.col("o_orderkey").alias("qid"), rank.alias("rank"))
+    return E.relational_gate(rows, orders.select(F.col("o_orderkey").alias("qid"), F.col("o_custkey").alias("id")), corpus)
+
+
+_GATE_STOP = ", ".join(f"'{w}'" for w in words.GATE_STOPWORDS)
+_GATE_TOKENS = f"list_filter(string_split_regex(regexp_replace(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}\\s]', ' ', 'g'), '\\s+'), lambda t: length(t) BETWEEN 3 AND 32 AND t NOT IN ({_GATE_STOP}))"
+
+
+@query(f"WITH t AS (SELECT doc_id, {_GATE_TOKENS} AS tk FROM documents), d AS (SELECT doc_id, list_slice(list_transform(list_filter(list_zip(tk, range(1, len(tk) + 1)), lambda p: list_position(tk, p[1]) = p[2]), lambda p: p[1]), 1, 60) AS tk FROM t) SELECT doc_id, len(tk) AS n, md5(array_to_string(tk, ' ')) AS tokens_md5 FROM d")
+def gate_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """The relational gate's own query words."""
+    toks = words.gate_tokens(F.coalesce("text", F.lit("")))
+    return table(spark, folder, "documents").select("doc_id", F.size(toks).cast("bigint").alias("n"), F.md5(F.array_join(toks, " ")).alias("tokens_md5"))
 
 
-@query("SELECT c_custkey AS qid, c_name AS query FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT c_custkey, upper(c_name) FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 3 <> 0")
+@query("SELECT c_custkey AS qid, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders) THEN c_name ELSE upper(c_name) END AS query FROM customer")
 def merge_hard(spark: SparkSession, folder: str) -> DataFrame:
-    """Known queries, and new ones whose id is unseen."""
+    """Known queries, here customers with orders, and of all others those whose id is new."""
     rows = table(spark, folder, "customer").select(F.col("c_custkey").alias("qid"), F.col("c_name").alias("query"))
-    return E.unseen(rows.where("qid % 2 = 0").withColumn("query", F.upper("query")), rows.where("qid % 3 = 0"), "qid")
+    known = rows.join(table(spark, folder, "orders"), F.col("qid") == F.col("o_custkey"), "left_semi")
+    return E.unseen(rows.withColumn("query", F.upper("query")), known, "qid")
 
 
 @query("""WITH r AS (SELECT o_custkey AS "row", o_orderkey AS variant, CASE WHEN l_linenumber % 7 = 6 THEN 0 ELSE CAST(l_quantity AS BIGINT) % 6 + 1 END AS rank FROM orders JOIN lineitem ON o_orderkey = l_orderkey),

@@ -9,7 +9,7 @@ from clausewell.operators import chunking, clauses as C, enrich, vectors
 from clausewell.plans.corpus import CLAUSES, clauses
 from clausewell.plans.registry import query
 from clausewell.sources import sinks, tables
-from clausewell.sources.tables import table
+from clausewell.sources.tables import spread, table
 
 _STOP = ", ".join(f"'{w}'" for w in words.STOPWORDS)
 
@@ -65,12 +65,12 @@ def decode_version(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"SELECT page_id, {sql_text('html')} AS text FROM pages")
 def html_to_text(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "pages").select("page_id", markup.html_to_text(F.col("html")).alias("text"))
+    return spread(table(spark, folder, "pages")).select("page_id", markup.html_to_text(F.col("html")).alias("text"))
 
 
 @query(f"SELECT page_id, {sql_strip('html')} AS text FROM pages")
 def strip_tags(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "pages").select("page_id", markup.strip_tags(F.col("html")).alias("text"))
+    return spread(table(spark, folder, "pages")).select("page_id", markup.strip_tags(F.col("html")).alias("text"))
 
 
 def _manual(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,14 +90,15 @@ def heading_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return blocks.select("doc", "clause_no", "title", F.md5(markup.strip_tags(F.col("body_html"))).alias("body_md5"))
 
 
-_BLOCKS = """blocks AS (SELECT source AS doc, doc_id AS idx, CASE WHEN doc_id % 11 = 0 THEN '1' WHEN doc_id % 4 = 0 THEN concat('2.', doc_id // 20 % 30) ELSE concat('2.', doc_id // 20 % 30, '.', doc_id % 4) END AS clause_no,
-  split_part(text, chr(10), 1) AS title, substr(text, 1, CAST(doc_id % 400 AS INT)) AS text FROM documents WHERE text IS NOT NULL AND source IS NOT NULL)"""
+_BLOCKS = """blocks AS (SELECT source || '/' || doc_id // 1000 AS doc, doc_id AS idx, CASE WHEN doc_id % 11 = 0 THEN '1' WHEN doc_id % 4 = 0 THEN concat('2.', doc_id // 20 % 30) ELSE concat('2.', doc_id // 20 % 30, '.', doc_id % 4) END AS clause_no,
+  split_part(text, chr(10), 1) AS title, text FROM documents WHERE text IS NOT NULL AND source IS NOT NULL)"""
 
 
 def _blocks(spark: SparkSession, folder: str) -> DataFrame:
     decade = (F.floor(F.col("doc_id") / 20) % 30).cast("string")
     no = F.when(F.col("doc_id") % 11 == 0, "1").when(F.col("doc_id") % 4 == 0, F.concat(F.lit("2."), decade)).otherwise(F.concat(F.lit("2."), decade, F.lit("."), (F.col("doc_id") % 4).cast("string")))
-    return table(spark, folder, "documents").where("text is not null and source is not null").select(F.col("source").alias("doc"), F.col("doc_id").alias("idx"), no.alias("clause_no"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), F.substring("text", F.lit(1), (F.col("doc_id") % 400).cast("int")).alias("text"))
+    doc = F.concat("source", F.lit("/"), F.floor(F.col("doc_id") / 1000).cast("string"))  # no source's rows meet in one window
+    return table(spark, folder, "documents").where("text is not null and source is not null").select(doc.alias("doc"), F.col("doc_id").alias("idx"), no.alias("clause_no"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), "text")
 
 
 _KEPT = f"""{_BLOCKS},
@@ -187,7 +188,7 @@ def _sql_last(needle: str, width: int) -> str:
 
 
 _CHUNKS = f"""RECURSIVE {CLAUSES},
-src AS (SELECT id, title || chr(10) AS label, text AS body, greatest(400, 1600 - length(title) - 1) AS budget FROM clauses),
+src AS (SELECT id, label, body, greatest(400, 1600 - length(label)) AS budget FROM (SELECT id, CASE WHEN title = '' THEN '' ELSE title || chr(10) END AS label, text AS body FROM clauses)),
 w AS (
   SELECT id, label, body, budget, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS start, CASE WHEN length(label) + length(body) <= 1600 THEN CAST(length(body) AS BIGINT) ELSE CAST(-1 AS BIGINT) END AS fin FROM src
   UNION ALL
@@ -255,12 +256,18 @@ def media_join(spark: SparkSession, folder: str) -> DataFrame:
     return joined.groupBy(F.col("c_custkey").alias("page_no")).agg(F.count("o_orderkey").alias("figures"), F.sum(F.when(F.col("o_orderkey").isNull(), 1).otherwise(0)).alias("missing"), F.coalesce(F.sum(F.length("o_orderpriority")), F.lit(0)).alias("bytes"))
 
 
-@query()
+def sql_half(x: str) -> str:
+    """A number rounded to half precision, to nearest even."""
+    step = f"pow(2, greatest(floor(log2(abs({x}))), -14) - 10)"
+    return f"(CASE WHEN {x} = 0 THEN 0 ELSE round_even({x} / {step}, 0) * {step} END)"
+
+
+@query(f"SELECT vec_id, CAST(ceil(len(embedding) * 2 / 3.0) * 4 AS BIGINT) AS encoded_chars, round(list_sum(list_transform(embedding::DOUBLE[], lambda x: {sql_half('x')})), 6) AS total FROM embeddings")
 def fp16_codec(spark: SparkSession, folder: str) -> DataFrame:
-    """Vectors there and back through half precision, with the largest error."""
+    """Vectors there and back through half precision."""
     rows = table(spark, folder, "embeddings").withColumn("half", vectors.to_half(F.col("embedding"))).withColumn("back", vectors.from_half(F.col("half")))
-    error = F.array_max(F.zip_with("embedding", "back", lambda a, b: F.abs(a - b)))
-    return rows.select("vec_id", F.length("half").cast("bigint").alias("encoded_chars"), (error < 0.001).alias("close"))
+    total = F.aggregate("back", F.lit(0.0), lambda a, x: a + x)
+    return rows.select("vec_id", F.length("half").cast("bigint").alias("encoded_chars"), F.round(total, 6).alias("total"))
 
 
 @query("SELECT sha256(text) || '  ' || source || '-' || doc_id || '.txt' AS line FROM documents WHERE text IS NOT NULL")
@@ -295,7 +302,8 @@ def latest_version(spark: SparkSession, folder: str) -> DataFrame:
 def listing_pick(spark: SparkSession, folder: str) -> DataFrame:
     """Names of the archives that each directory page links to."""
     link = F.concat(F.lit('<a HREF="/archive/'), "name", F.lit('">x</a>'))
-    pages = _files(spark, folder).groupBy("spec").agg(F.array_join(F.collect_list(link), "\n").alias("html"))
+    page = F.floor(F.col("p_partkey") / 1000).alias("page")  # a listing goes over pages of bounded length
+    pages = _files(spark, folder).groupBy("spec", page).agg(F.array_join(F.collect_list(link), "\n").alias("html"))
     return pages.select("spec", F.explode(tables.listed_archives(F.col("html"))).alias("name")).groupBy("spec", "name").agg(F.count("*").alias("links"))
 
 

@@ -1,15 +1,18 @@
 """From the text of a query to tiers of boolean match plans.
 
-Queries are few and short, so planning runs on the driver in plain Python; what it
-yields is a small table (qid, tier, group_no, terms) for ``Index.search``.
+A plan depends on its query and the glossary only: queries are planned where their rows
+are, in Arrow batches, with the glossary broadcast (its size is checked).  What comes
+out is a table (qid, tier, group_no, terms) for ``Index.search``.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame
 
 from clausewell.functions.words import COUNT_WORDS, GENERIC_TOKENS, STOPWORDS
 
@@ -100,7 +103,7 @@ class Planner:
         return distinct
 
 
-def plan_rows(queries: list[tuple[int, str]], glossary: Glossary) -> list[tuple[int, int, bool, int, list[str]]]:
+def plan_rows(queries: Iterable[tuple[int, str | None]], glossary: Glossary) -> list[tuple[int, int, bool, int, list[str]]]:
     """(qid, tier, is_floor, group_no, terms) of all queries."""
     rows = []
     for qid, text in queries:
@@ -114,5 +117,15 @@ def plan_rows(queries: list[tuple[int, str]], glossary: Glossary) -> list[tuple[
     return rows
 
 
-def plan(spark: SparkSession, queries: list[tuple[int, str]], glossary: Glossary) -> DataFrame:
-    return spark.createDataFrame(plan_rows(queries, glossary), PLAN_SCHEMA)
+def plan(queries: DataFrame, glossary: Glossary, most: int = 100_000) -> DataFrame:
+    """PLAN_SCHEMA rows of queries (qid, text)."""
+    if len(glossary.words) > most:
+        raise ValueError(f"a glossary of over {most} entries is too large to broadcast")
+    shared = queries.sparkSession.sparkContext.broadcast(glossary)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = plan_rows(zip(pdf["qid"], pdf["text"], strict=True), shared.value)
+            yield pd.DataFrame(rows, columns=["qid", "tier", "is_floor", "group_no", "terms"])
+
+    return queries.select("qid", "text").mapInPandas(run, PLAN_SCHEMA)

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clausewell.functions import markup, words
-from clausewell.operators import chunking, citations, fusion, vectors
+from clausewell.operators import citations, enrich, fusion, vectors
 from clausewell.operators.postings import CLAUSE_WEIGHTS, Index, or_plan, stemmed_terms, top_k
 from clausewell.plans import planner
-from clausewell.plans.corpus import CLAUSES, clauses, questions
-from clausewell.plans.parsing_queries import _CHUNKS, _glossary, sql_tokens
+from clausewell.plans.corpus import CLAUSES, clauses, questions, sql_aux
+from clausewell.plans.parsing_queries import _CHUNKS, _glossary, sql_half, sql_tokens
 from clausewell.plans.registry import query
 from clausewell.plans.retriever import Retriever, lexical, two_tier_plan
+from clausewell.sources.shared import fresh_path, materialize
 from clausewell.sources.tables import table
 
 PLAIN = {"title": 1.0, "text": 1.0}
@@ -82,7 +83,16 @@ def _dense(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"WITH {CLAUSES}, {sql_index('clauses', 'id', PLAIN)} SELECT term, count(*) AS cf, count(DISTINCT id) AS df FROM post GROUP BY 1")
 def term_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return _plain_index(spark, folder).postings().groupBy("term").agg(F.count("*").alias("cf"), F.count_distinct("id").alias("df"))
+    by_clause = _plain_index(spark, folder).postings().groupBy("term", "id").agg(F.count("*").alias("n"))
+    return by_clause.groupBy("term").agg(F.sum("n").alias("cf"), F.count("*").alias("df"))
+
+
+@query(f"WITH {_BM25} SELECT qid, rank, id, round(score, 6) AS score FROM best WHERE rank <= 10")
+def stored_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The index written out by term, then searched."""
+    index = _plain_index(spark, folder).store(fresh_path(spark, "index"))
+    hits = index.search(or_plan(questions(spark, folder), "qid", "text"))
+    return top_k(hits, 10, ["qid"], "id").select("qid", "rank", "id", F.round("score", 6).alias("score"))
 
 
 @query(f"WITH {_BM25} SELECT qid, rank, id, round(score, 6) AS score FROM best WHERE rank <= 10")
@@ -149,11 +159,13 @@ def ladder_candidates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _chunked(spark: SparkSession, folder: str) -> DataFrame:
-    rows = chunking.chunks(clauses(spark, folder))
-    return rows.select(F.concat("id", F.lit("::c"), F.col("n").cast("string")).alias("chunk_id"), "id", "chunk")
+    rows = enrich.chunk_documents(clauses(spark, folder))
+    return materialize(rows.select(F.concat("id", F.lit("::c"), F.col("n").cast("string")).alias("chunk_id"), "id", "chunk"), "chunks")
 
 
-_CHUNKED = "chunked AS (SELECT id || '::c' || n AS chunk_id, id, chunk FROM chunks)"
+_CHUNKED = f"""chunked AS (SELECT id || '::c' || n AS chunk_id, id, chunk || CASE WHEN aux <> '' THEN chr(10) || aux ELSE '' END AS chunk
+FROM (SELECT id, n, chunk, {sql_aux('chunk')} AS aux FROM chunks) JOIN (SELECT id, title FROM clauses) USING (id)
+WHERE NOT regexp_matches(trim(title), '(?i)^(definitions?|symbols?|abbreviations?)(\\s+(of|and)\\b.*)?$'))"""
 
 
 @query(f"""WITH {_CHUNKS}, {_CHUNKED}, {_ASKED}, {_WORDS}, {sql_index('chunked', 'chunk_id', {'chunk': 1.0})}, {sql_scores('chunk_id')},
@@ -190,14 +202,14 @@ def knn_maxpool(spark: SparkSession, folder: str) -> DataFrame:
     return own.select("qid", "clause", F.round("distance", 6).alias("distance"), "rank")
 
 
-def _sql_rollup(by: str) -> str:
-    return f"""WITH p AS (SELECT {by} AS grp, unnest(embedding::DOUBLE[]) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
+def _sql_rollup(by: str, vec: str = "embedding::DOUBLE[]") -> str:
+    return f"""WITH p AS (SELECT {by} AS grp, unnest({vec}) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
 m AS (SELECT grp, pos, avg(x) AS x, count(*) AS n FROM p GROUP BY ALL), s AS (SELECT grp, sqrt(sum(x * x)) AS norm FROM m GROUP BY 1)
 SELECT grp, pos - 1 AS pos, round(x / CASE WHEN norm > 0 THEN norm ELSE 1 END, 6) AS x, n FROM m JOIN s USING (grp)"""
 
 
-def _rollup(spark: SparkSession, folder: str, by) -> DataFrame:  # noqa: ANN001
-    rows = table(spark, folder, "embeddings").select(by.cast("bigint").alias("grp"), F.col("embedding").alias("vec"))
+def _rollup(spark: SparkSession, folder: str, by, vec=None) -> DataFrame:  # noqa: ANN001
+    rows = table(spark, folder, "embeddings").select(by.cast("bigint").alias("grp"), (F.col("embedding") if vec is None else vec).alias("vec"))
     out = vectors.mean_vectors(rows, "grp")
     return out.select("grp", "n", F.posexplode("vec").alias("pos", "x")).select("grp", F.col("pos").cast("bigint").alias("pos"), F.round("x", 6).alias("x"), "n")
 
@@ -207,9 +219,27 @@ def vec_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return _rollup(spark, folder, F.floor(F.col("vec_id") / 4))
 
 
-@query(_sql_rollup("CAST(label AS BIGINT)"))
+@query(_sql_rollup("CAST(label AS BIGINT)", f"list_transform(embedding::DOUBLE[], lambda x: {sql_half('x')})"))
 def parent_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    return _rollup(spark, folder, F.col("label"))
+    """Parents from their children as they are stored, in half precision."""
+    return _rollup(spark, folder, F.col("label"), vectors.from_half(vectors.to_half(F.col("embedding"))))
+
+
+@query("""WITH e AS (SELECT vec_id // 2 AS id FROM embeddings), o AS (SELECT DISTINCT doc_id AS id FROM documents WHERE doc_id % 3 <> 0)
+SELECT count(*) AS total, count(*) - count(DISTINCT id) AS repeated, count(DISTINCT id) FILTER (id NOT IN (SELECT id FROM o)) AS missing FROM e""")
+def vector_load(spark: SparkSession, folder: str) -> DataFrame:
+    """What loading embeddings would skip: repeats, and ids that nothing owns."""
+    emb = table(spark, folder, "embeddings").select(F.floor(F.col("vec_id") / 2).alias("id"), F.col("embedding").alias("vec"))
+    return vectors.load_report(emb, table(spark, folder, "documents").where("doc_id % 3 <> 0").select(F.col("doc_id").alias("id")))
+
+
+@query("""WITH e AS (SELECT vec_id // 2 AS id, embedding::DOUBLE[] AS vec FROM embeddings)
+SELECT id, round(list_sum(min(vec)), 5) AS total FROM e WHERE id IN (SELECT doc_id FROM documents WHERE doc_id % 3 <> 0) GROUP BY id""")
+def vectors_loaded(spark: SparkSession, folder: str) -> DataFrame:
+    """Embeddings of documents that exist, one for each id."""
+    emb = table(spark, folder, "embeddings").select(F.floor(F.col("vec_id") / 2).alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
+    kept = vectors.loaded(emb, table(spark, folder, "documents").where("doc_id % 3 <> 0").select(F.col("doc_id").alias("id")))
+    return kept.select("id", F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
 
 
 _RRF = "UNION ALL".join([" SELECT qid, id, rank FROM best ", " SELECT qid, id, rank FROM dense "])
@@ -298,7 +328,7 @@ pulled AS (SELECT qid, id, rank + CASE WHEN rank >= 5 THEN coalesce(k, 0) ELSE 0
 def citation_pull(spark: SparkSession, folder: str) -> DataFrame:
     rows = clauses(spark, folder)
     tokens = questions(spark, folder).select("qid", F.array_distinct(words.tokens(F.col("text"))).alias("tokens"))
-    return citations.pull(_best(spark, folder).persist(), rows, tokens, citations.in_degree(citations.edges(rows)))
+    return citations.pull(materialize(_best(spark, folder), "best"), rows, tokens, citations.in_degree(citations.edges(rows)))
 
 
 @query(f"WITH {_CHUNKS}, {_CHUNKED}, {_ASKED}, {_WORDS}, {sql_index('clauses', 'id', CLAUSE_WEIGHTS)}, {sql_scores('id')}, {sql_ladder('id', '', 50)}, {sql_index('chunked', 'chunk_id', {'chunk': 1.0}, '_c')}, {sql_scores('chunk_id', '_c')}, {sql_ladder('chunk_id', '_c', 200, 'id')}, {_DENSE}, {_Z}, {_fuse(['lad', 'lad_c'])}, {_pull('fused')} SELECT qid, id, rank FROM pulled WHERE rank <= 50")
@@ -308,28 +338,28 @@ def retrieve_full(spark: SparkSession, folder: str) -> DataFrame:
     return Retriever(clauses(spark, folder), _chunked(spark, folder), vecs).retrieve(asked)
 
 
-def _planned(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    known = planner.Glossary.of([(r["acronym"], r["expansion"], None) for r in _glossary(spark, folder).orderBy("no").collect()])  # a glossary of 25 nations at most
-    asked = questions(spark, folder)
-    return asked, planner.plan(spark, [(r["qid"], r["text"]) for r in asked.orderBy("qid").collect()], known)
+def _planned(spark: SparkSession, folder: str) -> DataFrame:
+    known = [(r["acronym"], r["expansion"], None) for r in _glossary(spark, folder).orderBy("no").collect()]  # 25 nations at most
+    return planner.plan(questions(spark, folder), planner.Glossary.of(known))
 
 
 @query()
 def planner_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The full ladder of every question, with phrases and a glossary."""
-    _, plan = _planned(spark, folder)
-    return plan.select("qid", "tier", "is_floor", "group_no", F.array_join("terms", " ").alias("unit"))
+    return _planned(spark, folder).select("qid", "tier", "is_floor", "group_no", F.array_join("terms", " ").alias("unit"))
 
 
 @query()
 def retrieve_planned(spark: SparkSession, folder: str) -> DataFrame:
     """Retrieval along the full ladder, capped by document in the head."""
-    _, plan = _planned(spark, folder)
+    plan = materialize(_planned(spark, folder), "plan")
     vecs, asked = _vectors(spark, folder)
     return Retriever(clauses(spark, folder), _chunked(spark, folder), vecs).retrieve(asked, plan)
 
 
-@query()
+@query(f"""WITH {_BM25}, n AS (SELECT qid, id, rank, row_number() OVER (PARTITION BY qid, split_part(id, '#', 1) ORDER BY rank) AS no FROM best),
+l AS (SELECT *, no > 2 AND count(*) FILTER (no <= 2) OVER (PARTITION BY qid ORDER BY rank) < 10 AS later FROM n)
+SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY later, rank) AS rank FROM l""")
 def spec_cap(spark: SparkSession, folder: str) -> DataFrame:
     best = _best(spark, folder).withColumn("spec", markup.spec_of(F.col("id")))
     return fusion.spec_cap(best, "id", "spec", 2)

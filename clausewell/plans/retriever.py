@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from clausewell.functions import markup, words
 from clausewell.operators import citations, fusion, ladder, vectors
 from clausewell.operators.postings import CLAUSE_WEIGHTS, Index
+from clausewell.sources.shared import materialize
 
 
 @dataclass(frozen=True)
@@ -25,7 +26,7 @@ class RetrieverConfig:
     vector_weight: float = 1.0
     most_pulled: int = citations.MOST_PULLED
     spec_cap: int | None = None
-    priors: list[tuple[str, str, float]] = field(default_factory=lambda: list(fusion.PRIORS))
+    priors: list[fusion.Prior] = field(default_factory=lambda: list(fusion.PRIORS))
     column_weights: dict[str, float] = field(default_factory=lambda: dict(CLAUSE_WEIGHTS))
 
 
@@ -51,10 +52,13 @@ def lexical(index: Index, plan: DataFrame, id_col: str, fetch: int, owner: str |
 
 class Retriever:
     """Over clauses (id, text and the columns of the index), chunks (chunk_id, id,
-    chunk) and vectors (id, vec); either of the latter two may be missing."""
+    chunk) and vectors (id, vec); either of the latter two may be missing.  ``facts`` are
+    those stored with the vectors, ``embedder`` the model and size of query vectors."""
 
-    def __init__(self, clauses: DataFrame, chunks: DataFrame | None = None, vecs: DataFrame | None = None, config: RetrieverConfig | None = None):
-        self.clauses, self.chunks, self.vecs, self.config = clauses, chunks, vecs, config or RetrieverConfig()
+    def __init__(self, clauses: DataFrame, chunks: DataFrame | None = None, vecs: DataFrame | None = None, config: RetrieverConfig | None = None, facts: dict | None = None, embedder: tuple[str, int] | None = None):
+        self.clauses, self.chunks, self.config = clauses, chunks, config or RetrieverConfig()
+        # Vectors of another model or size would rank at random: lexical search alone then.
+        self.vecs = vecs if embedder is None or vectors.compatible(facts or {}, *embedder) else None
         known = {c: w for c, w in self.config.column_weights.items() if c in clauses.columns}
         self.index = Index(clauses, "id", known)
         self.chunk_index = Index(chunks, "chunk_id", {"chunk": 1.0}) if chunks is not None else None
@@ -78,7 +82,7 @@ class Retriever:
         found = self.fused(questions, two_tier_plan(questions) if plan is None else plan)
         if self.config.spec_cap:
             found = fusion.spec_cap(found.withColumn("spec", markup.spec_of(F.col("id"))), "id", "spec", self.config.spec_cap)
-        found = found.persist()  # short lists that the pull reads four times
+        found = materialize(found, "retrieved")  # short lists that the pull reads four times
         tokens = questions.select("qid", F.array_distinct(words.tokens(F.col("text"))).alias("tokens"))
         degrees = citations.in_degree(citations.edges(self.clauses))
         out = citations.pull(found, self.clauses, tokens, degrees, most=self.config.most_pulled)

@@ -10,6 +10,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a table that has fewer partitions than there are cores (one small file, one
+    row group) dealt over them; a larger table stays as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def json_config(spark: SparkSession, path: str, field: str) -> DataFrame:
     """The elements of an array field of a JSON document, as rows."""
     return spark.read.json(path, multiLine=True).select(F.explode(field).alias("item")).select("item.*")

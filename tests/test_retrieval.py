@@ -3,10 +3,11 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from clausewell.operators import citations, evaluation as E, fusion, ladder, vectors
+from clausewell.operators import chunking, citations, enrich, evaluation as E, fusion, ladder, vectors
 from clausewell.operators.postings import Index, or_plan, top_k
 from clausewell.plans import planner
 from clausewell.plans.retriever import Retriever, RetrieverConfig
+from clausewell.sources.benchmarks import answer_questions
 
 GLOSSARY = planner.Glossary.of([("BWP", "Bandwidth Part", None), ("CA", "Carrier Aggregation", ["CarrierAgg"]), ("DC", "Dual Carrier Connectivity", None)])
 
@@ -123,3 +124,49 @@ def test_retriever_without_chunks_or_vectors(spark):
 def test_ties_rank_by_id(spark):
     rows = spark.createDataFrame([(1, "b", 1.0), (1, "a", 1.0), (1, "c", 2.0)], "qid bigint, id string, score double")
     assert [r["id"] for r in top_k(rows, 2, ["qid"], "id").orderBy("rank").collect()] == ["c", "a"]
+
+
+def test_a_stored_index_finds_the_same(spark, tmp_path):
+    docs = spark.createDataFrame([("a", "beam failure beam failure recovery", "beam"), ("b", "failure beam", ""), ("c", "beam beam beam", "failure recovery")], "id string, text string, title string")
+    index = Index(docs, "id", {"text": 1.0, "title": 3.0})
+    units = spark.createDataFrame([("u", ["beam", "failure"]), ("v", ["beam", "beam"]), ("w", ["recovery"]), ("x", ["beam", "failure", "recovery"]), ("y", ["none"])], "unit string, terms array<string>")
+    rows = lambda i: sorted(map(tuple, i.occurrences(units).collect()))
+    want = [("u", "a", 6, 2.0), ("v", "c", 5, 2.0), ("w", "a", 6, 1.0), ("w", "c", 5, 3.0), ("x", "a", 6, 1.0)]
+    assert rows(index) == want
+    stored = index.store(f"file://{tmp_path}/index")
+    assert rows(stored) == want and (stored.n, stored.avgdl) == (index.n, index.avgdl)
+    plan = spark.createDataFrame([(1, 0, g, ["beam"] if g % 2 else ["failure"]) for g in range(130)], "qid bigint, tier int, group_no int, terms array<string>")
+    assert {r["id"] for r in index.search(plan).collect()} == {"a", "b", "c"}
+    assert index.search(plan.unionByName(spark.createDataFrame([(1, 0, 130, ["none"])], plan.schema))).count() == 0
+
+
+def test_vectors_of_another_model_are_left_out(spark):
+    clauses = spark.createDataFrame([("s#1", "beam")], "id string, text string")
+    vecs = spark.createDataFrame([("s#1", [1.0])], "id string, vec array<double>")
+    facts = {"embeddingModel": "m", "embeddingDim": "2"}
+    assert Retriever(clauses, vecs=vecs, facts=facts, embedder=("m", 2)).vecs is vecs
+    assert Retriever(clauses, vecs=vecs, facts=facts, embedder=("n", 2)).vecs is None
+    assert Retriever(clauses, vecs=vecs, embedder=("m", 2)).vecs is None
+
+
+def test_questions_without_a_vector_rank_zero(spark):
+    ranked = spark.createDataFrame([(1, 3), (2, 4), (3, 1)], "qid bigint, rank bigint")
+    asked = spark.createDataFrame([(1, [1.0]), (2, None)], "qid bigint, vec array<double>")
+    assert {r["qid"]: r["rank"] for r in E.hybrid_ranks(ranked, asked).collect()} == {1: 3, 2: 0, 3: 0}
+
+
+def test_plans_are_made_where_queries_are(spark):
+    asked = spark.createDataFrame([(1, "two CA cells"), (2, None), (3, "uplink slot")], "qid bigint, text string")
+    got = [tuple(r) for r in planner.plan(asked, GLOSSARY).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, planner.plan_rows([(1, "two CA cells"), (2, None), (3, "uplink slot")], GLOSSARY)))
+
+
+def test_a_title_that_is_empty_gives_no_label(spark):
+    rows = spark.createDataFrame([("a", "", "body"), ("b", None, "body"), ("c", "Definitions", "x"), ("d", "T", "use abCd or x-y2")], "id string, title string, text string")
+    assert {r["id"]: r["chunk"] for r in chunking.chunks(rows).collect()} == {"a": "body", "b": "body", "c": "Definitions\nx", "d": "T\nuse abCd or x-y2"}
+    assert {r["id"]: r["chunk"] for r in enrich.chunk_documents(rows.where("title is not null")).collect()} == {"a": "body", "d": "T\nuse abCd or x-y2\nab Cd"}
+
+
+def test_answer_questions(spark):
+    rows = spark.createDataFrame([('[{"q":"a?","a":"b","spec":"s","rel":"r","doc":"d"},{"q":"c?"}]',)], "json string")
+    assert [tuple(r) for r in answer_questions(rows).collect()] == [("te0", "a?", "b", "s", "r"), ("te1", "c?", None, None, None)]
