@@ -1,54 +1,16 @@
-"""Helpers shared by the training-data operators.
-
-Everything that must outlive an executor goes to the folder named by
-``spark.checkpoint.dir`` (shared by driver and executors).  Only when the
-session names none -- a laptop or a unit test -- is a temporary folder used.
-"""
+"""Helpers shared by the training-data operators: tables, and intermediate results in
+the folder that driver and executors share."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, without a trailing slash."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_FOLDERS:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="clausewell-")
-    return "file://" + _LOCAL_FOLDERS[app]
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing has used before."""
-    return f"{shared_dir(spark)}/clausewell/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: later uses
-    neither recompute it nor depend on any executor's memory or disk."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
+from clausewell.sources import tables
+from clausewell.sources.shared import discard, fresh_path, materialize, shared_dir
 
-def discard(df: DataFrame) -> None:
-    """Delete what ``materialize`` wrote for ``df``, once nothing reads it any more."""
-    spark = df.sparkSession
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+__all__ = ["discard", "fresh_path", "materialize", "shared_dir", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table, dealt over the cores if it has fewer partitions than they are."""
+    return tables.spread(tables.table(spark, sf_dir, name))
