@@ -3,12 +3,23 @@ the folder that driver and executors share."""
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from clausewell.sources import tables
 from clausewell.sources.shared import discard, fresh_path, materialize, shared_dir
 
-__all__ = ["discard", "fresh_path", "materialize", "shared_dir", "table"]
+__all__ = ["discard", "fresh_path", "materialize", "release_memory", "shared_dir", "table"]
+
+
+def release_memory() -> None:
+    """Give back to the system what earlier tasks of this worker have freed."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -39,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import release_memory
 from .textbits import NON_WORD, Words, mix, slices
 
 SHINGLE = 5
@@ -242,6 +243,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         item_arrow = pa.int64() if item_type == "bigint" else None
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            release_memory()
             known = _items(*shared.value, threshold)
             for batch in batches:
                 found = [(known.ids[i], first + r, x, start, size, d) for first, raw, offsets in slices(batch.column(1)) for r, i, x, start, size, d in known.matches(raw, offsets)]

@@ -27,6 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import release_memory
 from .textbits import slices
 
 DIM = 4096
@@ -136,16 +137,13 @@ def learn_language(texts: list[str], idf: np.ndarray, centroids: int, low: float
     """(centroids, floors, evidence) of one language's sample.  For the floors, the texts
     of each fold in turn are held out from k-means."""
 
-    def vectors(some: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        x, classes, seen = [], [], np.zeros(DIM)
-        for _, raw, offsets in slices(pa.array(some, pa.string()), rows=ROWS):
-            counts = gram_counts(raw, offsets)
-            seen += np.log1p(counts).sum(axis=0)
-            x.append(unit_vectors(counts, idf))
-            classes.append(size_class(counts))
-        return np.concatenate(x), np.concatenate(classes), seen
-
-    x, _, seen = vectors(texts)
+    seen = np.zeros(DIM)
+    x = []
+    for _, raw, offsets in slices(pa.array(texts, pa.string()), rows=ROWS):
+        counts = gram_counts(raw, offsets)
+        seen += np.log1p(counts).sum(axis=0)
+        x.append(unit_vectors(counts, idf))
+    x = np.concatenate(x)
     some = np.flatnonzero(np.abs(x).sum(axis=1) > 0)
     if not len(some):
         return np.zeros((0, DIM)), np.zeros(CLASSES), evidence(seen)
@@ -155,9 +153,10 @@ def learn_language(texts: list[str], idf: np.ndarray, centroids: int, low: float
     found = []
     for fold in range(FOLDS):
         own = [texts[i] for i in some[fold::FOLDS]]
-        y, classes, _ = vectors(own + [t[:n] for t in own for n in PIECES if len(t) > n])
         others = cluster(x[np.delete(some, np.s_[fold::FOLDS])], centroids)
-        found.append((classes, (y @ others.T).max(axis=1)))
+        for _, raw, offsets in slices(pa.array(own + [t[:n] for t in own for n in PIECES if len(t) > n], pa.string()), rows=ROWS):
+            counts = gram_counts(raw, offsets)
+            found.append((size_class(counts), (unit_vectors(counts, idf) @ others.T).max(axis=1)))
     classes, cosines = (np.concatenate(v) for v in zip(*found, strict=True))
     return c, floors_of(classes, cosines, low, slack), evidence(seen)
 
@@ -240,6 +239,7 @@ def keep_near(docs: DataFrame, model: dict) -> DataFrame:
     text = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             yield batch.filter(pa.array(~judged(batch.column(text), shared.value)[2]))
 

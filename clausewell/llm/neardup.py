@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialize
+from .common import materialize, release_memory
 from .graph import connected_components
 from .simhash import BITS, SEGMENT, grid_links, majority
 from .textbits import Words, mix, slices
@@ -79,6 +79,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     """(doc_id, hi, lo, content): fingerprint words and a hash of the shingle set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             out = np.zeros((3, len(batch)), dtype=np.uint64)
             for first, raw, offsets in slices(batch.column(1)):
@@ -183,6 +184,7 @@ def _verified(rows: DataFrame, threshold: float) -> DataFrame:
     (grp, x, y), or if sides are given, those from side x to side y."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         key, kept = None, []
 
         def flush() -> Iterator[pa.RecordBatch]:

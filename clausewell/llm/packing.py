@@ -32,11 +32,11 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialize
+from .common import materialize, release_memory
 
 CAPACITY = 1024
 #: Bytes of text whose chunks are held at once (more only for a single longer text).
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 #: Characters of the distinct chunks that go to the tokenizer in one string.
 AT_ONCE = 1 << 16
 #: Fixed value: how byte-level BPE cuts text into pre-tokens.
@@ -208,6 +208,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         coder = encoder(tokenizer_path)
         for batch in batches:
             for first, texts in text_slices(batch.column(1)):

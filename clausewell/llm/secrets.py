@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import materialize
+from .common import materialize, release_memory
 
 #: Raise this when a rule changes: all blobs are then scanned again.
 RULE_VERSION = "2026-1"
@@ -70,6 +70,7 @@ REMEMBERED = 500_000
 
 def _scan_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(blob, text) -> (blob, spans), copies of a blob once."""
+    release_memory()
     had: set[bytes] = set()
     for batch in batches:
         kept, spans = [], []

@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import materialize
+from .common import materialize, release_memory
 from .graph import connected_components
 from .textbits import Words, mix, slices, spread
 
@@ -225,6 +225,7 @@ def links_within(cells: DataFrame, by: list[str], fp_cols: list[str], radius: in
     longs.  Of a cell of over ``most`` points only its first key is given, as hot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         kept: list[list[np.ndarray]] = []  # rows of the cell that is still open
 
         def flush(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
