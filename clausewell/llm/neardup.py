@@ -41,6 +41,9 @@ THRESHOLD = 0.8
 RADIUS = 32
 #: Chance that a segment counts the same in two texts at the threshold.
 EQUAL = 0.734
+#: Grids aim at cells of about 2 ** CELL_BITS unlike points: larger cells take fewer grids,
+#: so less to shuffle, and more comparisons within a cell.
+CELL_BITS = 9
 #: Chance that such a pair meets in a grid.
 RECALL = 0.98
 
@@ -103,7 +106,7 @@ def grids_for(n: int) -> list[list[int]]:
     a cell fixes and the more grids it takes to meet.  The equal segments of a pair
     are binomial; unlike pairs weigh most, so a mean distance would promise too much."""
     segments = 2 * BITS // SEGMENT
-    fixed = int(np.clip(np.ceil((np.log2(max(n, 2)) - 6) / 1.5), 4, 20))
+    fixed = int(np.clip(np.ceil((np.log2(max(n, 2)) - CELL_BITS) / 1.5), 4, 20))
     chance = np.array([comb(segments, k) * EQUAL**k * (1 - EQUAL) ** (segments - k) for k in range(segments + 1)])
     miss = 1 - np.array([comb(k, fixed) / comb(segments, fixed) for k in range(segments + 1)])
     few, many = 0, 1
