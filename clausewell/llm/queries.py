@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import decontam, fingerprint, langid, oracles, packing, quality, secrets, simhash, toxicity, urlfilter, warc
+from . import bpe, decontam, fingerprint, langid, oracles, packing, quality, secrets, simhash, toxicity, urlfilter, warc
 from .common import fresh_path, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -84,6 +84,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_quality, op3_fingerprint, op4_secrets, op5_toxicity, op6_simhash, op7_decontamination, op8_warc, op9_urlfilter, op10_packing)}
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path()), tokenizer_path())
+    n = (F.octet_length("ids") / 4).cast("bigint")
+    return coded.select("doc_id", n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language, op2_quality, op3_fingerprint, op4_secrets, op5_toxicity, op6_simhash, op7_decontamination, op8_warc, op9_urlfilter, op10_packing, op12_bpe)}
 #: Equivalent DuckDB SQL, where there is one.
 ORACLES: dict[str, str] = {"op8_warc": oracles.WARC, "op9_urlfilter": oracles.url_filter(URL_RULES)}
