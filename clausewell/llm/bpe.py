@@ -12,8 +12,9 @@ pair does occur inside a token (a contraction, a run of white space):
 2. Any other fragment is in doubt.  Texts always may be cut where a space follows a
    letter, digit or sign; the chunk between two such places that holds a doubtful pair is
    cut by the tokenizer's own pre-tokenizer, each distinct chunk once.
-3. Each distinct fragment is merged once, by rank, with a heap, so that a long run of one
-   character costs n log n.  A worker remembers fragments, up to a bound.
+3. Each distinct fragment of a slice is merged once, by rank, through ``tiktoken`` if ids
+   follow merges, else with a heap, so that a long run of one character costs n log n.
+   A worker remembers fragments, up to a bound.
 
 Ids travel as binary: little-endian unsigned 32-bit integers.  ``decode`` joins the bytes
 of tokens and reads them as UTF-8.
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import release_memory
-from .packing import byte_symbols
+from .packing import PATTERN, byte_symbols, ranks_of
 from .textbits import slices
 
 #: Fragments that a worker remembers.
@@ -96,6 +97,11 @@ class Codec:
         self.pattern = re.compile(b"|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
         self.pre_tokenizer = Tokenizer.from_file(path).pre_tokenizer
         self.known: dict[bytes, list[int]] = {}
+        self.merge = self.merged
+        if ranks := ranks_of(path):  # ids follow merges: then a library merges by ids
+            import tiktoken
+
+            self.merge = tiktoken.Encoding("from-file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})._encode_single_piece
 
     def cuts(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where the fragments of a slice begin, and its end."""
@@ -180,7 +186,7 @@ class Codec:
         for piece in fragments.dictionary.to_pylist():
             ids = self.known.get(piece)
             if ids is None:
-                ids = [self.special[piece]] if piece in self.special else self.merged(piece)
+                ids = [self.special[piece]] if piece in self.special else self.merge(piece)
                 if len(piece) <= 64:
                     if len(self.known) >= REMEMBERED:
                         self.known.clear()

@@ -35,7 +35,8 @@ def test_fragments_encode_and_decode_as_the_library_does(tokenizer):
     rare = ["".join(r.choice([*some, " ", " ", "a", "'", "s"]) for _ in range(40)) for _ in range(3000)]
     texts = [*TEXTS, *mixed, *rare, prose(1, 300)]
     codec = bpe.Codec(tokenizer_path())
-    for limit in (2 << 20, 300):
+    for limit, merge in ((2 << 20, codec.merge), (300, codec.merge), (2 << 20, codec.merged)):
+        codec.merge, codec.known = merge, {}
         for text, ids in zip(texts, coded(codec, texts, limit), strict=True):
             assert ids == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
             assert codec.decode(np.array(ids, "<u4")) == tokenizer.decode(ids, skip_special_tokens=False) == text
@@ -57,7 +58,8 @@ def test_cuts_lie_at_pairs_that_no_token_holds(tokenizer):
 def test_long_runs_are_not_quadratic(tokenizer):
     codec = bpe.Codec(tokenizer_path())
     text = "ab" * 100_000 + "=" * 100_000 + " " * 100_000
-    assert coded(codec, [text])[0] == tokenizer.encode(text, add_special_tokens=False).ids
+    for codec.merge in (codec.merge, codec.merged):
+        assert coded(codec, [text])[0] == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_other_tokenizers_are_refused():
