@@ -1,5 +1,5 @@
-"""DuckDB SQL of the queries that SQL can express on whole tables: archives and url
-filters.  The others hash, tokenise or model texts in ways SQL has no functions for."""
+"""DuckDB SQL of the queries that SQL can express on whole tables: archives, url filters
+and manifests.  The others hash, tokenise or model texts in ways SQL has no functions for."""
 
 from __future__ import annotations
 
@@ -54,3 +54,52 @@ said AS ({best('ends', 'b')}),
 blocked AS (SELECT DISTINCT a FROM reach JOIN said USING (b) WHERE v = 'block'),
 own AS ({best('rows_', 'rid')})
 SELECT page_id, host, path, rule, coalesce(v, CASE WHEN a IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict FROM rows_ LEFT JOIN own USING (rid) LEFT JOIN blocked ON node = a"""
+
+
+def _field(x: str) -> str:
+    return f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(map(_field, ['doc_id', 'source', 'lang', 'n_chars', text]))})"
+
+
+#: CRC-32 of an id as text, bit by bit.
+_CRC = "xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda a, c: list_reduce(list_prepend(xor(a, c), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"
+
+
+def _tree(at: str, leaves: str, levels: int) -> str:
+    """Levels of the trees of ``leaves`` (tree, idx, h, n) as CTEs <at>0 to <at><levels>,
+    whose runs are <at>r0 and on; a tree of one node stays as it is."""
+    out = [f"{at}0 AS (SELECT tree, idx, h, n FROM {leaves})"]
+    for k in range(levels):
+        out.append(f"{at}r{k} AS (SELECT tree, idx // 3 AS up, n, list(h ORDER BY idx) AS hs FROM {at}{k} GROUP BY ALL)")
+        out.append(f"{at}{k + 1} AS (SELECT tree, up AS idx, CASE WHEN n = 1 THEN hs[1] ELSE sha256(array_to_string(hs, '')) END AS h, (n + 2) // 3 AS n FROM {at}r{k})")
+    return ",\n".join(out)
+
+
+def _paths(at: str, start: str, tree: str, levels: int) -> str:
+    """``start`` (no, tree, idx, fold, proof) led up the trees <tree>, as CTEs <at>0 to
+    <at><levels>."""
+    out = [f"{at}0 AS (SELECT no, tree, idx, fold, proof FROM {start})"]
+    for k in range(levels):
+        before, after = "list_slice(hs, 1, idx % 3)", "list_slice(hs, idx % 3 + 2, 3)"
+        fold = f"CASE WHEN n = 1 THEN fold ELSE sha256(array_to_string({before}, '') || fold || array_to_string({after}, '')) END"
+        proof = f"CASE WHEN n = 1 THEN proof ELSE proof || array_to_string({before}, '') || array_to_string({after}, '') END"
+        out.append(f"{at}{k + 1} AS (SELECT no, p.tree, up AS idx, {fold} AS fold, {proof} AS proof FROM {at}{k} p JOIN {tree}r{k} r ON p.tree = r.tree AND p.idx // 3 = r.up)")
+    return ",\n".join(out)
+
+
+def merkle(levels: int = 12, top_levels: int = 6) -> str:
+    """Trees of at most 3 ** levels leaves, 3 ** top_levels sources."""
+    return f"""WITH d AS (SELECT row_number() OVER () AS no, doc_id, source, {_leaf('text')} AS leaf, CASE WHEN {_CRC} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS fold FROM documents),
+t AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) AS n FROM d GROUP BY source),
+l AS (SELECT no, doc_id, leaf, fold, '' AS proof, leaf AS h, tree, n, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+{_tree('a', 'l', levels)},
+tops AS (SELECT 0 AS tree, tree AS idx, h, (SELECT count(*) FROM t) AS n FROM a{levels}),
+{_tree('b', 'tops', top_levels)},
+{_paths('p', 'l', 'a', levels)},
+up AS (SELECT no, 0 AS tree, tree AS idx, fold, proof FROM p{levels}),
+{_paths('q', 'up', 'b', top_levels)}
+SELECT doc_id, leaf, s.h AS subroot, r.h AS root, sha256(q.proof) AS proof_sha256, q.fold AS folded_root, q.fold = r.h AS verified
+FROM l JOIN q{top_levels} q ON l.no = q.no JOIN a{levels} s ON l.tree = s.tree JOIN b{top_levels} r ON true"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontam, fingerprint, langid, oracles, packing, quality, secrets, simhash, toxicity, urlfilter, warc
+from . import bpe, decontam, fingerprint, langid, merkle, oracles, packing, quality, secrets, simhash, toxicity, urlfilter, warc
 from .common import fresh_path, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -90,6 +90,19 @@ def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_quality, op3_fingerprint, op4_secrets, op5_toxicity, op6_simhash, op7_decontamination, op8_warc, op9_urlfilter, op10_packing, op12_bpe)}
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of ids with an even checksum the text loses its line ends after the manifest is made."""
+    docs = table(spark, sf_dir, "documents").select(*merkle.HASHED)
+    values = [F.col(c) for c in merkle.HASHED]
+    changed = F.when(fold(2) == 0, merkle.leaf_of([*values[:-1], F.replace("text", F.lit("\n"), F.lit(""))]))
+    rows = docs.select("doc_id", "source", merkle.leaf_of(values).alias("digest"), changed.alias("changed"))
+    manifest = merkle.build(rows, keep=["changed"])
+    leaf = F.col("digest")
+    proved = merkle.prove(manifest, manifest.leaves.select("doc_id", "tree", "idx", "n", leaf.alias("leaf"), F.coalesce("changed", leaf).alias("check")))
+    out = proved.join(manifest.trees.select("tree", "subroot", "root"), "tree")
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+QUERIES = {f.__name__: f for f in (op1_language, op2_quality, op3_fingerprint, op4_secrets, op5_toxicity, op6_simhash, op7_decontamination, op8_warc, op9_urlfilter, op10_packing, op12_bpe, op13_merkle)}
 #: Equivalent DuckDB SQL, where there is one.
-ORACLES: dict[str, str] = {"op8_warc": oracles.WARC, "op9_urlfilter": oracles.url_filter(URL_RULES)}
+ORACLES: dict[str, str] = {"op8_warc": oracles.WARC, "op9_urlfilter": oracles.url_filter(URL_RULES), "op13_merkle": oracles.merkle()}
