@@ -92,7 +92,7 @@ def _paths(at: str, start: str, tree: str, levels: int) -> str:
 
 def merkle(levels: int = 12, top_levels: int = 6) -> str:
     """Trees of at most 3 ** levels leaves, 3 ** top_levels sources."""
-    return f"""WITH d AS (SELECT row_number() OVER () AS no, doc_id, source, {_leaf('text')} AS leaf, CASE WHEN {_CRC} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS fold FROM documents),
+    return f"""WITH d AS (SELECT row_number() OVER () AS no, doc_id, source, {_leaf('text')} AS leaf, CASE WHEN doc_id IS NOT NULL AND {_CRC} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS fold FROM documents),
 t AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) AS n FROM d GROUP BY source),
 l AS (SELECT no, doc_id, leaf, fold, '' AS proof, leaf AS h, tree, n, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 {_tree('a', 'l', levels)},
