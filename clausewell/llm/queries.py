@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, decontam, fingerprint, langid, merkle, oracles, packing, quality, secrets, simhash, toxicity, urlfilter, warc
+from . import bpe, decontam, fingerprint, langid, merkle, oracles, packing, quality, secrets, simhash, toxicity, urlfilter, variants, warc
 from .common import fresh_path, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -84,6 +84,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.of_documents(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path()), tokenizer_path())
     n = (F.octet_length("ids") / 4).cast("bigint")
@@ -103,6 +107,6 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_quality, op3_fingerprint, op4_secrets, op5_toxicity, op6_simhash, op7_decontamination, op8_warc, op9_urlfilter, op10_packing, op12_bpe, op13_merkle)}
+QUERIES = {f.__name__: f for f in (op1_language, op2_quality, op3_fingerprint, op4_secrets, op5_toxicity, op6_simhash, op7_decontamination, op8_warc, op9_urlfilter, op10_packing, op11_variants, op12_bpe, op13_merkle)}
 #: Equivalent DuckDB SQL, where there is one.
 ORACLES: dict[str, str] = {"op8_warc": oracles.WARC, "op9_urlfilter": oracles.url_filter(URL_RULES), "op13_merkle": oracles.merkle()}
