@@ -2,23 +2,29 @@
 
 Everything to be matched is a *unit*: a phrase of one or more terms.  ``Index`` reads
 the documents: their n-grams of the lengths that are asked for meet whole units in one
-equi-join, so a common word costs no more than its own occurrences.  ``StoredIndex``
-keeps postings by term under a path, built once and searched many times: a search
-reads the asked terms only, and starts of phrases are intersections of positions.
+equi-join, so a common word costs no more than its own occurrences.
+``segments.StoredIndex`` keeps postings under a path, built once, searched many times and
+kept in step with the documents.
 Words and phrases, OR soups and AND of groups are all answered by either.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clausewell.functions import words
 
+if TYPE_CHECKING:
+    from clausewell.operators import segments
+
 K1, B, IDF_FLOOR = 1.2, 0.75, 1e-6
 #: Groups of a plan that one number holds.
 BITS = 62
+#: Up to so many units are sent along with the plan.
+FEW_UNITS = 20_000
 #: Column weights of the clause index.
 CLAUSE_WEIGHTS = {"citation": 4.0, "title": 8.0, "parent_title": 2.0, "path": 2.0, "text": 1.0, "aux": 5.0}
 
@@ -69,7 +75,7 @@ class Index(Searcher):
     """Searches ``docs`` themselves, over one or more weighted text columns."""
 
     def __init__(self, docs: DataFrame, key: str, weights: dict[str, float], tokenizer: Callable[[Column], Column] = words.tokens):
-        self.key, self.weights = key, weights
+        self.key, self.weights, self.source, self.tokenizer = key, weights, docs, tokenizer
         empty = {c: F.lit("") if kind == "string" else F.array().cast(kind) for c, kind in docs.dtypes}
         tokenised = docs.select(key, *[tokenizer(F.coalesce(F.col(c), empty[c])).alias(c) for c in weights])
         length = sum((F.size(c) for c in weights), F.lit(0)).cast("bigint")
@@ -95,42 +101,23 @@ class Index(Searcher):
     def occurrences(self, units: DataFrame) -> DataFrame:
         sizes = sorted(r["n"] for r in units.select(F.size("terms").alias("n")).where("n > 0").distinct().collect())  # lengths of phrases: a few
         rows = self.docs.select(self.key, "dl", F.explode_outer("fields").alias("f")).select(self.key, "dl", "f.weight", "f.terms")
+        grams_asked = units.select("unit", _unit("terms").alias("gram")).distinct()
+        known = [r["gram"] for r in grams_asked.select("gram").distinct().limit(FEW_UNITS + 1).collect()]
         none = F.array().cast("array<string>")
         phrases = lambda n: F.transform(F.sequence(F.lit(1), F.size("terms") - n + 1), lambda i: F.array_join(F.slice("terms", i, n), " "))
         grams = F.concat(none, *[F.col("terms") if n == 1 else F.when(F.size("terms") >= n, phrases(n)).otherwise(none) for n in sizes])
+        if len(known) <= FEW_UNITS:  # then other grams go before they become rows
+            grams = F.filter(grams, lambda g: g.isin(known))
         # An outer explode drops nothing here but spares a filter on the array's size, which
         # would tokenise every text a second time below the scan.
         held = rows.select(self.key, "dl", "weight", F.explode_outer(grams).alias("gram"))
-        return held.join(units.select("unit", _unit("terms").alias("gram")).distinct(), "gram").groupBy("unit", self.key, "dl").agg(F.sum("weight").alias("tf"))
-
-    def store(self, path: str, overwrite: bool = False) -> StoredIndex:
-        """Write postings and statistics under ``path``: a row for each term, document and
-        column, with its positions, in files by ranges of terms."""
-        rows = self.postings().groupBy("term", self.key, "dl", "col", "weight").agg(F.array_sort(F.collect_list("pos")).alias("positions"))
-        mode = "overwrite" if overwrite else "errorifexists"
-        # Documents of a common term fall into several ranges.
-        rows.repartitionByRange("term", self.key).sortWithinPartitions("term", self.key).write.mode(mode).parquet(f"{path}/postings")
-        spark = rows.sparkSession
-        spark.createDataFrame([(self.key, self.n, float(self.avgdl))], "key string, n bigint, avgdl double").write.mode(mode).parquet(f"{path}/stats")
-        return StoredIndex(spark, path)
-
+        return held.join(grams_asked, "gram").groupBy("unit", self.key, "dl").agg(F.sum("weight").alias("tf"))
 
-class StoredIndex(Searcher):
-    """An index that ``Index.store`` wrote."""
+    def store(self, path: str, overwrite: bool = False, buckets: int | None = None) -> segments.StoredIndex:
+        """Write the index under ``path``, to be searched many times and kept in step."""
+        from clausewell.operators import segments
 
-    def __init__(self, spark: SparkSession, path: str):
-        row = spark.read.parquet(f"{path}/stats").first()
-        self.key, self.n, self.avgdl = row["key"], row["n"], row["avgdl"]
-        self.postings = spark.read.parquet(f"{path}/postings")
-
-    def occurrences(self, units: DataFrame) -> DataFrame:
-        parts = units.select("unit", F.size("terms").alias("n_terms"), F.posexplode("terms").alias("offset", "term"))
-        hits = self.postings.join(parts, "term").withColumn("starts", F.transform("positions", lambda p: p - F.col("offset")))
-        single = hits.where("n_terms = 1").select("unit", self.key, "dl", (F.size("positions") * F.col("weight")).alias("tf"))
-        longer = hits.where("n_terms > 1").groupBy("unit", self.key, "dl", "col", "weight", "n_terms").agg(F.collect_list("starts").alias("starts")).where(F.size("starts") == F.col("n_terms"))
-        whole = F.aggregate(F.slice("starts", 2, 1_000_000), F.element_at("starts", 1), F.array_intersect)
-        phrases = longer.select("unit", self.key, "dl", (F.size(whole) * F.col("weight")).alias("tf")).where("tf > 0")
-        return single.union(phrases).groupBy("unit", self.key, "dl").agg(F.sum("tf").alias("tf"))
+        return segments.store(self, path, overwrite, buckets)
 
 
 def or_plan(queries: DataFrame, qid: str, text: str, most: int = 40) -> DataFrame:

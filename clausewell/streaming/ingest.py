@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from clausewell.operators.segments import StoredIndex
+
 
 def windowed_counts(events: DataFrame, ts: str = "ts", by: str = "event_type", window: str = "1 day", late: str = "2 days") -> DataFrame:
     """(window_start, by, n, total): tumbling windows; on a stream, rows later than
@@ -27,3 +29,17 @@ def ingest(spark: SparkSession, folder: str, schema: StructType, index: Callable
         index(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return spark.readStream.schema(schema).parquet(folder).writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def index_stream(spark: SparkSession, folder: str, schema: StructType, index_path: str, documents: Callable[[DataFrame], DataFrame], checkpoint: str) -> StreamingQuery:
+    """Bring a stored index up to date with newly arrived Parquet files: a batch adds its
+    documents, or replaces those that have their ids.
+
+    The index remembers the number of the last batch, so one that is retried after it was
+    added changes nothing.
+    """
+
+    def one(batch: DataFrame, number: int) -> None:
+        StoredIndex(spark, index_path).add(documents(batch), number)
+
+    return spark.readStream.schema(schema).parquet(folder).writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
