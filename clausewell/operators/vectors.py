@@ -3,59 +3,20 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-#: Queries of a pass; each pass reads the vectors once and broadcasts its queries.
-QUERY_BLOCK = 2000
+from clausewell.operators.neighbours import PivotIndex
 
 
 def nearest(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "id") -> DataFrame:
     """(qid, id, distance, rank): the k nearest vectors by L2 distance, exactly.
 
-    ``queries``: qid, vec; ``vectors``: id, vec.  A task keeps the best k of each query
-    over all its rows, so what is shuffled follows tasks and queries, not vectors.
-    """
-    spark = vectors.sparkSession
-    asked = queries.where("vec is not null").select("qid", "vec")
-    passes = max(1, -(-asked.count() // QUERY_BLOCK))
-    kind = vectors.schema[id_col].dataType.simpleString()
-
-    def one_pass(p: int) -> DataFrame:
-        block = asked.where(F.pmod(F.xxhash64("qid"), F.lit(passes)) == p).orderBy("qid").collect()
-        shared = spark.sparkContext.broadcast((np.array([r["qid"] for r in block], dtype=np.int64), np.array([r["vec"] for r in block], dtype=np.float64)))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            qids, q = shared.value
-            best: list[tuple[np.ndarray, np.ndarray]] = []  # distances and ids of each query
-            for batch in batches:
-                if not len(batch) or not len(qids):
-                    continue
-                flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-                v, ids = flat.reshape(len(batch), -1), batch.column(0).to_numpy(zero_copy_only=False)
-                best = best or [(np.zeros(0), ids[:0])] * len(qids)
-                for i, x in enumerate(q):
-                    distance = np.concatenate([best[i][0], np.sqrt(((v - x) ** 2).sum(axis=1))])
-                    names = np.concatenate([best[i][1], ids])
-                    if len(distance) > 4 * k:  # all that can be among the first k, ties included
-                        some = np.flatnonzero(np.round(distance, 9) <= np.round(np.partition(distance, k)[k], 9))
-                        distance, names = distance[some], names[some]
-                    order = np.lexsort((names, np.round(distance, 9)))[:k]
-                    best[i] = distance[order], names[order]
-            if best:
-                size = [len(d) for d, _ in best]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qids, size)), pa.array(np.concatenate([n for _, n in best])), pa.array(np.concatenate([d for d, _ in best]))], names=["qid", id_col, "distance"])
-
-        return vectors.where("vec is not null").select(id_col, "vec").mapInArrow(run, f"qid bigint, {id_col} {kind}, distance double")
-
-    found = reduce(DataFrame.union, [one_pass(p) for p in range(passes)])
-    order = Window.partitionBy("qid").orderBy(F.round("distance", 9), id_col)
-    return found.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= k)
+    ``queries``: qid, vec; ``vectors``: id, vec.  Who asks more than once keeps a
+    ``neighbours.PivotIndex``."""
+    return PivotIndex(vectors, id_col).search(queries, k)
 
 
 def loaded(embeddings: DataFrame, owners: DataFrame, id_col: str = "id") -> DataFrame:
