@@ -29,6 +29,18 @@ def in_degree(edge_rows: DataFrame) -> DataFrame:
     return counted.withColumn("hub_idf", 1 / (1 + F.col("in_degree") / HUB))
 
 
+def stored_in_degree(clauses: DataFrame, path: str, id_col: str = "id", text: str = "text") -> DataFrame:
+    """``in_degree`` of a corpus, kept under a path by the corpus's fingerprint: counted
+    once for each content, by whoever asks first."""
+    spark = clauses.sparkSession
+    row = clauses.agg(F.count("*"), F.sum(F.xxhash64(id_col, text).cast("decimal(20,0)"))).first()
+    folder = f"{path}/{row[0]}-{row[1] or 0}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        in_degree(edges(clauses, id_col, text)).write.mode("overwrite").parquet(folder)
+    return spark.read.schema("ref string, in_degree bigint, hub_idf double").parquet(folder)
+
+
 def prefixes(clauses: DataFrame, id_col: str = "id") -> DataFrame:
     """(ref): every id that exists or has descendants."""
     spec, no = markup.spec_of(F.col(id_col)), F.split_part(F.col(id_col), F.lit("#"), F.lit(2))

@@ -19,9 +19,10 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int, id_col: str = "id")
     return PivotIndex(vectors, id_col).search(queries, k)
 
 
-def loaded(embeddings: DataFrame, owners: DataFrame, id_col: str = "id") -> DataFrame:
-    """Embeddings of ids that exist, the first of each id (by the order of ``vec``)."""
-    first = embeddings.groupBy(id_col).agg(F.min("vec").alias("vec"))
+def loaded(embeddings: DataFrame, owners: DataFrame, id_col: str = "id", order: str | None = None) -> DataFrame:
+    """Embeddings of ids that exist, the first of each id by the column ``order``, as lines
+    of a file follow each other (without one, by the vector itself)."""
+    first = embeddings.groupBy(id_col).agg(F.min_by("vec", order or "vec").alias("vec"))
     return first.join(owners.select(id_col).distinct(), id_col, "left_semi")
 
 

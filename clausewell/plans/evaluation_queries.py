@@ -66,16 +66,28 @@ def prefix_rank(spark: SparkSession, folder: str) -> DataFrame:
     return E.prefix_ranks(refs, _best(spark, folder)).select("qid", "ref", "rank")
 
 
-@query("""WITH ids AS (SELECT c_custkey, CASE WHEN c_custkey % 50 = 0 THEN concat(n_name, '#', c_custkey % 5, '.x', c_custkey) ELSE concat(n_name, '#', c_custkey % 5, '.', c_custkey) END AS expected FROM customer JOIN nation ON c_nationkey = n_nationkey),
-corpus AS (SELECT concat(n_name, '#', c_custkey % 5, '.', c_custkey) AS id FROM customer JOIN nation ON c_nationkey = n_nationkey),
-gone AS (SELECT DISTINCT expected FROM ids WHERE expected NOT IN (SELECT id FROM corpus))
-SELECT expected, id AS suggestion, row_number() OVER (PARTITION BY expected ORDER BY id) AS no FROM gone LEFT JOIN corpus ON regexp_replace(expected, '\\.[^.#]+$', '') = regexp_replace(id, '\\.[^.#]+$', '') QUALIFY no <= 5""")
-def missing_ids(spark: SparkSession, folder: str) -> DataFrame:
+_IDS = """ids AS (SELECT concat(n_name, '#', c_custkey % 5, '.', c_custkey) AS id, c_mktsegment AS segment FROM customer JOIN nation ON c_nationkey = n_nationkey),
+corpus AS (SELECT unnest(CASE WHEN segment = 'BUILDING' THEN [id || '.1', id || '.2.1'] ELSE [id] END) AS id FROM ids)"""
+
+
+def _split_ids(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Expected ids, and those of a corpus in which the clauses of one segment are split."""
     rows = table(spark, folder, "customer").join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    spec = F.concat("n_name", F.lit("#"), (F.col("c_custkey") % 5).cast("string"), F.lit("."))
-    number = F.col("c_custkey").cast("string")
-    expected = rows.select(F.concat(spec, F.when(F.col("c_custkey") % 50 == 0, F.concat(F.lit("x"), number)).otherwise(number)).alias("expected"))
-    return E.missing_ids(expected, rows.select(F.concat(spec, number).alias("id")))
+    ids = rows.select(F.concat("n_name", F.lit("#"), (F.col("c_custkey") % 5).cast("string"), F.lit("."), F.col("c_custkey").cast("string")).alias("expected"), "c_mktsegment")
+    parts = F.when(F.col("c_mktsegment") == "BUILDING", F.array(F.lit(".1"), F.lit(".2.1"))).otherwise(F.array(F.lit("")))
+    return ids.select("expected"), ids.select(F.explode(F.transform(parts, lambda p: F.concat("expected", p))).alias("id"))
+
+
+@query(f"""WITH {_IDS}, gone AS (SELECT DISTINCT id AS expected, regexp_extract(id, '^(.*\\.)[^.#]*$', 1) AS start FROM ids WHERE id NOT IN (SELECT id FROM corpus))
+SELECT expected, id AS suggestion, row_number() OVER (PARTITION BY expected ORDER BY id) AS no FROM gone LEFT JOIN corpus ON starts_with(id, start) QUALIFY no <= 5""")
+def missing_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Clauses beside or below the expected ones that the corpus has split."""
+    return E.missing_ids(*_split_ids(spark, folder))
+
+
+@query(f"WITH {_IDS} SELECT count(*) AS n, count(*) FILTER (id NOT IN (SELECT id FROM corpus)) AS missing, false AS passed FROM ids")
+def missing_gate(spark: SparkSession, folder: str) -> DataFrame:
+    return E.missing_gate(*_split_ids(spark, folder))
 
 
 @query(f"WITH {CLAUSES} SELECT id, contains(lower(title || chr(10) || text), lower(CASE WHEN doc_id % 3 = 0 THEN 'zz' || title ELSE title END)) AS found FROM clauses")
@@ -150,12 +162,26 @@ def answer_containment(spark: SparkSession, folder: str) -> DataFrame:
     return _contained(spark, folder).select("qid", "in_5", "in_10")
 
 
-@query(f"WITH {_CONTAINED} SELECT CASE WHEN qid < 32 THEN 'r1' ELSE 'r2' END AS rel, count(*) AS n, round(avg(CASE WHEN in_5 THEN 1.0 ELSE 0.0 END), 6) AS answers_5, round(avg(CASE WHEN in_10 THEN 1.0 ELSE 0.0 END), 6) AS answers_10 FROM contained GROUP BY 1 HAVING count(*) >= 30")
+_AXES = f"""{_CONTAINED}, {_HOLDS}, g AS (SELECT qid, text, split_part(expected, '#', 1) AS spec, stratum AS rel FROM questions LEFT JOIN expected USING (qid)),
+hits AS (SELECT qid, bool_or(split_part(id, '#', 1) = spec) AS hit FROM best JOIN g USING (qid) WHERE rank <= 5 GROUP BY 1),
+opts AS (SELECT qid, coalesce(h5, '') AS hay, unnest([reverse(text), text, 'none of these']) AS opt, unnest([0, 1, 2]) AS no FROM questions LEFT JOIN hays USING (qid)),
+scored AS (SELECT qid, no, round(CASE WHEN len(toks) = 0 THEN 0.0 ELSE len(list_filter(toks, lambda t: contains(hay, t))) / len(toks) END, 9) AS s FROM (SELECT qid, no, hay, {_info('opt')} AS toks FROM opts)),
+picks AS (SELECT qid, no FROM scored QUALIFY row_number() OVER (PARTITION BY qid ORDER BY s DESC, no) = 1),
+flat AS (SELECT coalesce(spec, '<none>') AS spec, coalesce(rel, '<none>') AS rel, in_5, in_10, coalesce(hit, false) AS hit, no = 1 AS yes FROM g JOIN contained USING (qid) LEFT JOIN hits USING (qid) JOIN picks USING (qid))"""
+_SHARES = "count(*) AS n, " + ", ".join(f"round(avg(CAST({c} AS INT)), 6) AS {name}" for c, name in (("in_5", "in_5"), ("in_10", "in_10"), ("hit", "source_5"), ("yes", "picked")))
+
+
+@query(f"WITH {_AXES} SELECT 'spec' AS axis, spec AS value, {_SHARES} FROM flat GROUP BY spec HAVING count(*) >= 30 UNION ALL SELECT 'rel', rel, {_SHARES} FROM flat GROUP BY rel UNION ALL SELECT 'all', '<all>', {_SHARES} FROM flat HAVING count(*) > 0")
 def benchmark_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    """Contained answers by release, for releases of thirty questions or more."""
-    rows = _contained(spark, folder).withColumn("rel", F.when(F.col("qid") < 32, "r1").otherwise("r2"))
-    shares = [F.round(c, 6).alias(c) for c in ("answers_5", "answers_10")]
-    return E.contained_by(rows, "rel").select("rel", "n", *shares)
+    """Contained answers, hits of the right document and right options, by document (of
+    thirty questions or more), by release (here the language) and of all, in one pass."""
+    best = materialize(_best(spark, folder, 10), "best")
+    rows, corpus = questions(spark, folder), clauses(spark, folder)
+    own = _expected(spark, folder).select("qid", F.split_part("expected", F.lit("#"), F.lit(1)).alias("spec"), F.col("stratum").alias("rel"))
+    gold = rows.join(own, "qid", "left").withColumn("gold", F.col("text")).withColumn("options", F.array(F.reverse("text"), F.col("text"), F.lit("none of these"))).withColumn("gold_idx", F.lit(1))
+    measured = E.picked_options(E.source_hits(E.containment(gold, best, corpus), best), best, corpus)
+    out = E.benchmark(measured, {"spec": 30, "rel": 1}, ["in_5", "in_10", "source_5", "picked"])
+    return out.select("axis", "value", "n", *[F.round(c, 6).alias(c) for c in ("in_5", "in_10", "source_5", "picked")])
 
 
 @query("""SELECT 'question_' || p_partkey AS key, 'Which is ' || p_name || ' ?' AS query, CASE p_partkey % 4 WHEN 1 THEN p_brand WHEN 2 THEN p_type ELSE '' END AS gold, CAST(2 AS BIGINT) AS options, p_partkey % 4 - 1 AS gold_idx

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clausewell.functions import markup, words
 from clausewell.operators import citations, enrich, fusion, vectors
 from clausewell.operators.postings import CLAUSE_WEIGHTS, Index, or_plan, stemmed_terms, top_k
+from clausewell.operators.segments import or_terms
 from clausewell.plans import planner
 from clausewell.plans.corpus import CLAUSES, clauses, questions, sql_aux
 from clausewell.plans.parsing_queries import _CHUNKS, _glossary, sql_half, sql_tokens
@@ -95,6 +96,25 @@ def stored_index(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(hits, 10, ["qid"], "id").select("qid", "rank", "id", F.round("score", 6).alias("score"))
 
 
+@query(f"WITH {_BM25} SELECT qid, rank, id, round(score, 6) AS score FROM best WHERE rank <= 10")
+def stored_top(spark: SparkSession, folder: str) -> DataFrame:
+    """The first ten by a stored index that skips blocks which can't hold any of them."""
+    index = _plain_index(spark, folder).store(fresh_path(spark, "index"))
+    return index.top(or_terms(questions(spark, folder), "qid", "text"), 10).select("qid", "rank", "id", F.round("score", 6).alias("score"))
+
+
+@query(f"WITH {_BM25} SELECT qid, rank, id, round(score, 6) AS score FROM best WHERE rank <= 10")
+def stored_updates(spark: SparkSession, folder: str) -> DataFrame:
+    """An index whose documents come as drafts among others, are cleared of the others,
+    merged and replaced finds what one built anew does."""
+    final = clauses(spark, folder).select("id", "title", "text")
+    drafts = final.select("id", "title", F.col("title").alias("text"))
+    others = final.select(F.concat(F.lit("draft of "), "id").alias("id"), "title", "text")
+    index = Index(drafts.union(others), "id", PLAIN).store(fresh_path(spark, "index"))
+    index = index.delete(others.select("id")).merge().add(final)
+    return index.top(or_terms(questions(spark, folder), "qid", "text"), 10).select("qid", "rank", "id", F.round("score", 6).alias("score"))
+
+
 @query(f"WITH {_BM25} SELECT qid, rank, id, round(score, 6) AS score FROM best WHERE rank <= 10")
 def bm25_or(spark: SparkSession, folder: str) -> DataFrame:
     return _best(spark, folder, 10).select("qid", "rank", "id", F.round("score", 6).alias("score"))
@@ -142,6 +162,16 @@ def phrase_match(spark: SparkSession, folder: str) -> DataFrame:
     return _plain_index(spark, folder).occurrences(units).select("unit", "id", F.col("tf").cast("bigint").alias("tf"))
 
 
+@query(f"""WITH {CLAUSES}, {_PAIRS}, {sql_index('clauses', 'id', PLAIN)},
+parts AS (SELECT DISTINCT a || ' ' || b AS unit, 0 AS off, a AS term, 2 AS n_terms FROM pairs UNION ALL SELECT DISTINCT a || ' ' || b, 1, b, 2 FROM pairs), {sql_scores('id')}
+SELECT unit, id, CAST(tf AS BIGINT) AS tf FROM occ""")
+def stored_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """Phrases out of a stored index: starts of words that meet."""
+    units = _pairs(spark, folder).select("terms").distinct().withColumn("unit", F.array_join("terms", " "))
+    index = _plain_index(spark, folder).store(fresh_path(spark, "index"))
+    return index.occurrences(units).select("unit", "id", F.col("tf").cast("bigint").alias("tf"))
+
+
 @query(f"WITH {_BM25}, need AS (SELECT qid, count(*) AS need FROM asked GROUP BY 1) SELECT qid, id, round(sum(score), 6) AS score FROM asked JOIN sc USING (unit) JOIN need USING (qid) GROUP BY qid, id, need HAVING count(*) = need")
 def and_groups(spark: SparkSession, folder: str) -> DataFrame:
     """Clauses that hold all of a query's words."""
@@ -225,20 +255,20 @@ def parent_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return _rollup(spark, folder, F.col("label"), vectors.from_half(vectors.to_half(F.col("embedding"))))
 
 
-@query("""WITH e AS (SELECT vec_id // 2 AS id FROM embeddings), o AS (SELECT DISTINCT doc_id AS id FROM documents WHERE doc_id % 3 <> 0)
+@query("""WITH e AS (SELECT (vec_id - 40) // 2 AS id FROM embeddings), o AS (SELECT DISTINCT doc_id AS id FROM documents)
 SELECT count(*) AS total, count(*) - count(DISTINCT id) AS repeated, count(DISTINCT id) FILTER (id NOT IN (SELECT id FROM o)) AS missing FROM e""")
 def vector_load(spark: SparkSession, folder: str) -> DataFrame:
     """What loading embeddings would skip: repeats, and ids that nothing owns."""
-    emb = table(spark, folder, "embeddings").select(F.floor(F.col("vec_id") / 2).alias("id"), F.col("embedding").alias("vec"))
-    return vectors.load_report(emb, table(spark, folder, "documents").where("doc_id % 3 <> 0").select(F.col("doc_id").alias("id")))
+    emb = table(spark, folder, "embeddings").select(F.expr("(vec_id - 40) div 2").alias("id"), F.col("embedding").alias("vec"))
+    return vectors.load_report(emb, table(spark, folder, "documents").select(F.col("doc_id").alias("id")))
 
 
-@query("""WITH e AS (SELECT vec_id // 2 AS id, embedding::DOUBLE[] AS vec FROM embeddings)
-SELECT id, round(list_sum(min(vec)), 5) AS total FROM e WHERE id IN (SELECT doc_id FROM documents WHERE doc_id % 3 <> 0) GROUP BY id""")
+@query("""WITH e AS (SELECT vec_id, vec_id // 2 AS id, embedding::DOUBLE[] AS vec FROM embeddings)
+SELECT id, round(list_sum(arg_min(vec, vec_id)), 5) AS total FROM e WHERE id IN (SELECT doc_id FROM documents) GROUP BY id""")
 def vectors_loaded(spark: SparkSession, folder: str) -> DataFrame:
     """Embeddings of documents that exist, one for each id."""
-    emb = table(spark, folder, "embeddings").select(F.floor(F.col("vec_id") / 2).alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
-    kept = vectors.loaded(emb, table(spark, folder, "documents").where("doc_id % 3 <> 0").select(F.col("doc_id").alias("id")))
+    emb = table(spark, folder, "embeddings").select("vec_id", F.floor(F.col("vec_id") / 2).alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
+    kept = vectors.loaded(emb, table(spark, folder, "documents").select(F.col("doc_id").alias("id")), order="vec_id")
     return kept.select("id", F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x), 5).alias("total"))
 
 

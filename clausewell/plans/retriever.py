@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from clausewell.functions import markup, words
 from clausewell.operators import citations, fusion, ladder, vectors
-from clausewell.operators.postings import CLAUSE_WEIGHTS, Index
+from clausewell.operators.neighbours import PivotIndex
+from clausewell.operators.postings import CLAUSE_WEIGHTS, Index, Searcher
 from clausewell.sources.shared import materialize
 
 
@@ -39,7 +40,7 @@ def two_tier_plan(questions: DataFrame) -> DataFrame:
     return rows.select("qid", tiers.alias("t"), F.array("term").alias("terms")).select("qid", "t.tier", "t.is_floor", "t.group_no", "terms")
 
 
-def lexical(index: Index, plan: DataFrame, id_col: str, fetch: int, owner: str | None = None, owners: DataFrame | None = None) -> DataFrame:
+def lexical(index: Searcher, plan: DataFrame, id_col: str, fetch: int, owner: str | None = None, owners: DataFrame | None = None) -> DataFrame:
     """(qid, id, is_floor, rank) of a ladder over an index; chunk hits are pooled by
     their owner."""
     floors = plan.select("qid", "tier", "is_floor").distinct()
@@ -53,15 +54,20 @@ def lexical(index: Index, plan: DataFrame, id_col: str, fetch: int, owner: str |
 class Retriever:
     """Over clauses (id, text and the columns of the index), chunks (chunk_id, id,
     chunk) and vectors (id, vec); either of the latter two may be missing.  ``facts`` are
-    those stored with the vectors, ``embedder`` the model and size of query vectors."""
+    those stored with the vectors, ``embedder`` the model and size of query vectors.
 
-    def __init__(self, clauses: DataFrame, chunks: DataFrame | None = None, vecs: DataFrame | None = None, config: RetrieverConfig | None = None, facts: dict | None = None, embedder: tuple[str, int] | None = None):
+    What is built once and searched often is handed in: ``index`` and ``chunk_index`` (stored
+    ones), ``near`` (vectors in cells) and ``degrees`` (``citations.stored_in_degree``)."""
+
+    def __init__(self, clauses: DataFrame, chunks: DataFrame | None = None, vecs: DataFrame | None = None, config: RetrieverConfig | None = None, facts: dict | None = None, embedder: tuple[str, int] | None = None, *, index: Searcher | None = None, chunk_index: Searcher | None = None, near: PivotIndex | None = None, degrees: DataFrame | None = None):
         self.clauses, self.chunks, self.config = clauses, chunks, config or RetrieverConfig()
         # Vectors of another model or size would rank at random: lexical search alone then.
         self.vecs = vecs if embedder is None or vectors.compatible(facts or {}, *embedder) else None
         known = {c: w for c, w in self.config.column_weights.items() if c in clauses.columns}
-        self.index = Index(clauses, "id", known)
-        self.chunk_index = Index(chunks, "chunk_id", {"chunk": 1.0}) if chunks is not None else None
+        self.index = index or Index(clauses, "id", known)
+        self.chunk_index = chunk_index or (Index(chunks, "chunk_id", {"chunk": 1.0}) if chunks is not None else None)
+        self.near = near or (PivotIndex(self.vecs) if self.vecs is not None else None)
+        self.degrees = degrees if degrees is not None else citations.in_degree(citations.edges(clauses))
 
     def fused(self, questions: DataFrame, plan: DataFrame) -> DataFrame:
         """(qid, id, score, rank) before citations are pulled."""
@@ -69,8 +75,8 @@ class Retriever:
         lists = [(lexical(self.index, plan, "id", c.candidates), c.clause_weight)]
         if self.chunk_index is not None:
             lists.append((lexical(self.chunk_index, plan, "chunk_id", c.candidates * c.over_fetch, "id", self.chunks.select("chunk_id", "id")), c.chunk_weight))
-        if self.vecs is not None and "vec" in questions.columns:
-            dense = vectors.nearest(questions.select("qid", "vec"), self.vecs, c.candidates)
+        if self.near is not None and "vec" in questions.columns:
+            dense = self.near.search(questions.select("qid", "vec"), c.candidates)
         else:
             dense = questions.sparkSession.createDataFrame([], "qid bigint, id string, distance double, rank bigint")
         fused = fusion.weighted_rrf(lists, dense, c.vector_weight, "id", c.rrf_k, c.floor_weight, c.vec_z)
@@ -84,6 +90,5 @@ class Retriever:
             found = fusion.spec_cap(found.withColumn("spec", markup.spec_of(F.col("id"))), "id", "spec", self.config.spec_cap)
         found = materialize(found, "retrieved")  # short lists that the pull reads four times
         tokens = questions.select("qid", F.array_distinct(words.tokens(F.col("text"))).alias("tokens"))
-        degrees = citations.in_degree(citations.edges(self.clauses))
-        out = citations.pull(found, self.clauses, tokens, degrees, most=self.config.most_pulled)
+        out = citations.pull(found, self.clauses, tokens, self.degrees, most=self.config.most_pulled)
         return rerank(out) if rerank else out

@@ -170,3 +170,44 @@ def test_a_title_that_is_empty_gives_no_label(spark):
 def test_answer_questions(spark):
     rows = spark.createDataFrame([('[{"q":"a?","a":"b","spec":"s","rel":"r","doc":"d"},{"q":"c?"}]',)], "json string")
     assert [tuple(r) for r in answer_questions(rows).collect()] == [("te0", "a?", "b", "s", "r"), ("te1", "c?", None, None, None)]
+
+
+def test_suggestions_stand_beside_and_below(spark):
+    ids = ["s#5.7.3.1", "s#5.7.3.2", "s#5.7.8.1", "s#5.7.9", "s#5.70.1", "s#9.9.1.1", "s#4.1", "t#7", "t#71.2", "t#8", *[f"s#6.{i}.1" for i in range(9)], "s#2.1", "s#2.1"]
+    corpus = spark.createDataFrame([(i,) for i in ids], "id string")
+    asked = spark.createDataFrame([(i,) for i in ["s#5.7.3", "s#9.9", "t#7", "t#9", "s#6.4", "s#3.1.2", "s#2.1.9", None, "s#4.1"]], "expected string")
+    got = {}
+    for r in E.missing_ids(asked, corpus).orderBy("expected", "no").collect():
+        got.setdefault(r["expected"], []).append(r["suggestion"])
+    assert got == {"s#5.7.3": ["s#5.7.3.1", "s#5.7.3.2", "s#5.7.8.1", "s#5.7.9"], "s#9.9": ["s#9.9.1.1"], "t#9": [None], "s#6.4": [f"s#6.{i}.1" for i in range(5)], "s#3.1.2": [None], "s#2.1.9": [None]}
+    assert tuple(E.missing_gate(asked.where("expected is not null"), corpus).first()) == (8, 6, False)
+    assert E.missing_gate(asked, corpus, skip=True).first()["passed"] and sorted(r[0] for r in E.present(asked, corpus).collect()) == ["s#4.1", "t#7"]
+    assert E.missing_ids(asked.where("false"), corpus).count() == 0 and E.missing_ids(asked, corpus.where("false")).count() == 8
+
+
+def test_a_retriever_over_stored_parts_finds_the_same(spark, tmp_path):
+    rows = [(f"s#{i % 3 + 1}.{i}", f"beam failure recovery {'timing ' * (i % 4)} see clause 1.{i % 5}") for i in range(40)]
+    clauses = spark.createDataFrame(rows, "id string, text string")
+    chunks = clauses.select(F.concat("id", F.lit("::c0")).alias("chunk_id"), "id", F.col("text").alias("chunk"))
+    vecs = spark.createDataFrame([(i, [float(n % 7), 1.0]) for n, (i, _) in enumerate(rows)], "id string, vec array<double>")
+    asked = spark.createDataFrame([(7, "beam timing", [2.0, 1.0]), (8, "recovery", None)], "qid bigint, text string, vec array<double>")
+    found = lambda r: sorted(map(tuple, r.retrieve(asked).collect()))
+    plain = Retriever(clauses, chunks, vecs)
+    degrees = [citations.stored_in_degree(clauses, f"file://{tmp_path}/degrees") for _ in range(2)]
+    assert len(list((tmp_path / "degrees").iterdir())) == 1
+    stored = Retriever(clauses, chunks, vecs, index=plain.index.store(f"file://{tmp_path}/a"), chunk_index=plain.chunk_index.store(f"file://{tmp_path}/b"), near=plain.near, degrees=degrees[1])
+    assert found(stored) == found(plain) != []
+
+
+def test_gates_can_be_skipped(spark):
+    base, hybrid = F.lit(0.5), F.lit(0.4)
+    row = spark.range(1).select(E.lift_gate(base, hybrid)[1].alias("a"), E.lift_gate(base, hybrid, skip=True)[1].alias("b")).first()
+    assert tuple(row) == (False, True)
+
+
+def test_several_axes_in_one_pass(spark):
+    rows = [(i, "r" if i < 3 else None, f"s{i % 2}", i % 2 == 0) for i in range(5)]
+    df = spark.createDataFrame(rows, "qid bigint, rel string, spec string, yes boolean")
+    got = sorted(map(tuple, E.benchmark(df, {"rel": 1, "spec": 3}, ["yes"]).collect()))
+    assert got == [("all", "<all>", 5, 0.6), ("rel", "<none>", 2, 0.5), ("rel", "r", 3, pytest.approx(2 / 3)), ("spec", "s0", 3, 1.0)]
+    assert E.benchmark(df.where("false"), {"rel": 1}, ["yes"]).count() == 0
