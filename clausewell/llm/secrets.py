@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -144,15 +145,26 @@ def base_spans(spans: Column) -> Column:
 
 
 def covered(text: Column, spans: Column, mark: str) -> Column:
-    """The text with every span replaced by the mark; overlapping spans are one."""
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def step(done: Column, s: Column) -> Column:
-        between = F.substring(text, (done["at"] + 1).cast("int"), (s["start"] - done["at"]).cast("int"))
-        out = F.when(s["start"] >= done["at"], F.concat(done["out"], between, F.lit(mark))).otherwise(done["out"])
-        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), out.alias("out"))
-
-    return F.aggregate(spans, start, step, lambda done: F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.length(text))))
+    """The text with every span replaced by the mark; overlapping spans are one.  Only
+    texts with spans go to Python; the pieces between spans are joined once."""
+
+    def run(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+        out = []
+        for t, a, b in zip(texts, starts, ends, strict=True):
+            if t is None or a is None:
+                out.append(t)
+                continue
+            pieces, at = [], 0
+            for start, end in zip(a.tolist(), b.tolist(), strict=True):
+                if start >= at:
+                    pieces += [t[at:start], mark]
+                at = max(at, end)
+            out.append("".join([*pieces, t[at:]]))
+        return pd.Series(out, dtype=object)
+
+    hit = F.coalesce(F.size(spans) > 0, F.lit(False))
+    own = F.pandas_udf(run, "string")(F.when(hit, text), spans.getField("start"), spans.getField("end"))
+    return F.when(hit, own).otherwise(text)
 
 
 def redact(docs: DataFrame, ledger: DataFrame, text_col: str = "text", mark: str = "[REDACTED]") -> DataFrame:
@@ -161,4 +173,4 @@ def redact(docs: DataFrame, ledger: DataFrame, text_col: str = "text", mark: str
     hit = _with_findings(ledger, RULE_VERSION).select(F.col("blob").alias("__cw_blob"), F.col("spans").alias("__cw_spans"))
     joined = docs.join(hit, blob_of(text_col) == F.col("__cw_blob"), "left")
     text, spans = F.col(text_col), F.col("__cw_spans")
-    return joined.withColumn(text_col, F.when(spans.isNotNull(), covered(text, spans, mark)).otherwise(text)).select(*docs.columns)
+    return joined.withColumn(text_col, covered(text, spans, mark)).select(*docs.columns)
