@@ -28,9 +28,10 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialize, release_memory
+from .common import discard, materialize, release_memory
 from .graph import connected_components
 from .simhash import BITS, SEGMENT, grid_links, majority
 from .textbits import Words, mix, slices
@@ -44,6 +45,8 @@ EQUAL = 0.734
 #: Grids aim at cells of about 2 ** CELL_BITS unlike points: larger cells take fewer grids,
 #: so less to shuffle, and more comparisons within a cell.
 CELL_BITS = 9
+#: Shingles that a task verifies at once.
+GROUP_SHINGLES = 4_000_000
 #: Chance that such a pair meets in a grid.
 RECALL = 0.98
 
@@ -79,12 +82,13 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> tupl
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, hi, lo, content): fingerprint words and a hash of the shingle set."""
+    """(doc_id, hi, lo, content, size): fingerprint words, a hash of the shingle set, and
+    how many shingles it has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()
         for batch in batches:
-            out = np.zeros((3, len(batch)), dtype=np.uint64)
+            out = np.zeros((4, len(batch)), dtype=np.uint64)
             for first, raw, offsets in slices(batch.column(1)):
                 rows = len(offsets) - 1
                 row, h = shingle_sets(raw, offsets)
@@ -96,9 +100,10 @@ def sketches(docs: DataFrame) -> DataFrame:
                 np.cumsum(mix(h ^ np.uint64(0xD6E8FEB86659FD93)), out=total[1:])
                 ends = np.concatenate([[0], np.cumsum(count)])
                 out[2, at] = total[ends[1:]] - total[ends[:-1]]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x.view(np.int64)) for x in out)], names=["doc_id", "hi", "lo", "content"])
+                out[3, at] = count
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x.view(np.int64)) for x in out)], names=["doc_id", "hi", "lo", "content", "size"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, hi bigint, lo bigint, content bigint")
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, hi bigint, lo bigint, content bigint, size bigint")
 
 
 def grids_for(n: int) -> list[list[int]]:
@@ -174,9 +179,9 @@ def cross_links(left: list[int], nodes: list[int], trees: list[int], sets: list[
     return links
 
 
-def _sets(texts: list[str | None]) -> list[np.ndarray]:
+def _sets(texts: pa.Array) -> list[np.ndarray]:
     sets: list[np.ndarray] = []
-    for _, raw, offsets in slices(pa.array(texts, pa.string())):
+    for _, raw, offsets in slices(texts):
         row, h = shingle_sets(raw, offsets)
         sets += np.split(h, np.searchsorted(row, np.arange(1, len(offsets) - 1)))
     return sets
@@ -191,17 +196,18 @@ def _verified(rows: DataFrame, threshold: float) -> DataFrame:
         key, kept = None, []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            sides, nodes, trees, texts = zip(*kept, strict=True)
+            sides, nodes, trees, sets = zip(*kept, strict=True)
             if sides[0] is None:
-                links = group_links(list(nodes), _sets(list(texts)), threshold)
+                links = group_links(list(nodes), list(sets), threshold)
             else:
                 left = [i for i, side in enumerate(sides) if side == key[1]]
-                links = cross_links(left, list(nodes), list(trees), _sets(list(texts)), threshold)
+                links = cross_links(left, list(nodes), list(trees), list(sets), threshold)
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], names=["src", "dst"])
 
         for batch in batches:
-            for grp, x, y, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            *columns, texts = batch.columns  # texts become sets as they come
+            for grp, x, y, *rest in zip(*(c.to_pylist() for c in columns), _sets(texts), strict=True):
                 if (grp, x, y) != key:
                     if kept:
                         yield from flush()
@@ -215,19 +221,19 @@ def _verified(rows: DataFrame, threshold: float) -> DataFrame:
 
 
 def meetings(divided: DataFrame, links: DataFrame, part_rows: int) -> DataFrame:
-    """divided (node, grp), links within parts -> (node, grp, tree, x, y, side): the
+    """divided (node, grp, weight), links within parts -> (node, grp, tree, x, y, side): the
     tasks in which every text outside the largest tree of its group meets all texts of
     the group.  Parts of the rest are numbered first, then those of the largest tree."""
     trees = connected_components(links, "neardup-trees")
-    of = materialize(divided.join(trees, "node", "left").select("node", "grp", F.coalesce("component", "node").alias("tree")), "neardup-trees")
-    sizes = of.groupBy("grp", "tree").agg(F.count("*").alias("n"))
+    of = materialize(divided.join(trees, "node", "left").select("node", "grp", "weight", F.coalesce("component", "node").alias("tree")), "neardup-trees")
+    sizes = of.groupBy("grp", "tree").agg(F.sum("weight").alias("n"))
     groups = sizes.groupBy("grp").agg(F.max(F.struct("n", "tree")).alias("main"), F.sum("n").alias("n")).where("n > main.n")
     count = lambda n: F.ceil(n / part_rows).cast("int")
     groups = groups.select("grp", F.col("main.tree").alias("main"), count(F.col("n") - F.col("main.n")).alias("rest"), count(F.col("main.n")).alias("more"))
     inside = F.col("tree") == F.col("main")
     deal = lambda n: F.pmod(F.xxhash64("node", F.lit(1)), n).cast("int")
     side = F.when(inside, F.col("rest") + deal(F.col("more"))).otherwise(deal(F.col("rest")))
-    rows = of.join(F.broadcast(groups), "grp").withColumn("side", side)  # one row for each divided group
+    rows = of.join(groups, "grp").withColumn("side", side)
     other = F.explode(F.sequence(F.lit(0), F.when(inside, F.col("rest") - 1).otherwise(F.col("rest") + F.col("more") - 1)))
     rows = rows.withColumn("other", other)
     return rows.select("node", "grp", "tree", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side")
@@ -237,32 +243,58 @@ def duplicate_groups(docs: DataFrame, threshold: float = THRESHOLD, group_rows:
     """(doc_id, group_id) of every row that has an id: the least id of its group."""
     rows = docs.select(F.col("doc_id").cast("bigint"), "text").where("doc_id is not null")
     marked = materialize(sketches(rows), "neardup-sketches")
-    points = materialize(marked.groupBy("hi", "lo", "content").agg(F.min("doc_id").alias("node")), "neardup-points")
+    points = materialize(marked.groupBy("hi", "lo", "content").agg(F.min("doc_id").alias("node"), F.max("size").alias("size")), "neardup-points")
     close = grid_links(points.select("node", "hi", "lo"), ["hi", "lo"], grids_for(points.count()), RADIUS)
     roots = connected_components(close, "neardup-candidates")
-    sizes = roots.groupBy("component").agg(F.count("*").alias("n"))
+    # A long text counts for as many rows as it has shares of shingles.
+    weight = 1 + F.floor(F.col("size") / (GROUP_SHINGLES / group_rows))
+    weighed = materialize(roots.join(points.select("node", weight.alias("weight")), "node"), "neardup-weighed")
+    sizes = weighed.groupBy("component").agg(F.sum("weight").alias("n"))
     parts = F.ceil(F.col("n") / group_rows)
     part = F.when(parts > 1, F.pmod(F.xxhash64("node"), parts)).otherwise(F.lit(-1))  # -1: the group is whole
-    asked = materialize(roots.join(sizes, "component").select("node", F.col("component").alias("grp"), part.cast("int").alias("x")), "neardup-asked")
+    asked = materialize(weighed.join(sizes, "component").select("node", "weight", F.col("component").alias("grp"), part.cast("int").alias("x")), "neardup-asked")
+    discard(close)
+    discard(roots)
+    discard(weighed)
     texts = rows.join(asked, F.col("doc_id") == F.col("node")).dropDuplicates(["node"])
     none = F.lit(None)
     links = materialize(_verified(texts.select("*", F.col("x").alias("y"), none.cast("int").alias("side"), none.cast("bigint").alias("tree")), threshold), "neardup-verified")
-    divided = asked.where("x >= 0").select("node", "grp")
+    divided = asked.where("x >= 0").select("node", "grp", "weight")
     if not divided.isEmpty():
         due = materialize(meetings(divided, links, max(1, group_rows // 2)), "neardup-meetings")
         held = rows.join(due.select("node").distinct(), F.col("doc_id") == F.col("node"), "left_semi").dropDuplicates(["doc_id"])
-        links = links.union(_verified(due.join(held, F.col("doc_id") == F.col("node")), threshold))
+        links = links.union(materialize(_verified(due.join(held, F.col("doc_id") == F.col("node")), threshold), "neardup-crossed"))
+        discard(due)
     groups = connected_components(links, "neardup-groups")
     of = points.join(groups, "node", "left").select("hi", "lo", "content", F.coalesce("component", "node").alias("group_id"))
-    return marked.join(of, ["hi", "lo", "content"]).select("doc_id", "group_id")
+    out = materialize(marked.join(of, ["hi", "lo", "content"]).select("doc_id", "group_id"), "neardup-grouped")
+    for used in (marked, points, asked, links, groups):
+        discard(used)
+    return out
+
+
+def with_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__cw_row``, a number of each row: of a table's file and the row in
+    it, which every reading finds again; other rows are written out to be numbered."""
+    spark = docs.sparkSession
+    try:
+        paths = sorted(r[0] for r in docs.select("_metadata.file_path").distinct().collect())  # a row for each file
+    except AnalysisException:
+        return materialize(docs.withColumn("__cw_row", F.monotonically_increasing_id()), "neardup-rows")
+    files = spark.createDataFrame(list(zip(paths, range(len(paths)), strict=True)), "__cw_path string, __cw_file bigint")
+    placed = docs.select("*", F.col("_metadata.file_path").alias("__cw_path"), F.col("_metadata.row_index").alias("__cw_index"))
+    return placed.join(files, "__cw_path").select(*docs.columns, (F.shiftleft("__cw_file", 40) + F.col("__cw_index")).alias("__cw_row"))
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one row of each group, that of the least id."""
-    rows = materialize(docs.withColumn("__cw_row", F.monotonically_increasing_id()), "neardup-rows")
+    rows = with_rows(docs)
     groups = duplicate_groups(rows.select(F.col("__cw_row").alias("doc_id"), "text"), threshold)
     ids = rows.select("__cw_row", F.col("doc_id").cast("bigint").alias("id"))
     grouped = materialize(groups.withColumnRenamed("doc_id", "__cw_row").join(ids, "__cw_row"), "neardup-rows-grouped")
     first = grouped.groupBy("group_id").agg(F.count("*").alias("n"), F.min(F.struct(F.col("id").isNull(), "id", "__cw_row")).alias("first")).where("n > 1")
     gone = grouped.join(first, "group_id").where(F.col("__cw_row") != F.col("first.__cw_row")).select(F.col("__cw_row").alias("__cw_gone"))
-    return rows.join(materialize(gone, "neardup-gone"), F.col("__cw_row") == F.col("__cw_gone"), "left_anti").select(*docs.columns)
+    gone = materialize(gone, "neardup-gone")
+    discard(groups)
+    discard(grouped)
+    return rows.join(gone, F.col("__cw_row") == F.col("__cw_gone"), "left_anti").select(*docs.columns)
