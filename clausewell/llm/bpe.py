@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import release_memory
-from .packing import PATTERN, byte_symbols, ranks_of
+from .packing import byte_symbols, ranks_of
 from .textbits import slices
 
 #: Fragments that a worker remembers.
@@ -101,7 +101,7 @@ class Codec:
         if ranks := ranks_of(path):  # ids follow merges: then a library merges by ids
             import tiktoken
 
-            self.merge = tiktoken.Encoding("from-file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+            self.merge = tiktoken.Encoding("from-file", pat_str=".", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
 
     def cuts(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Where the fragments of a slice begin, and its end."""

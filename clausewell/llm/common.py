@@ -11,7 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from clausewell.sources import tables
 from clausewell.sources.shared import discard, fresh_path, materialize, shared_dir
 
-__all__ = ["discard", "fresh_path", "materialize", "release_memory", "shared_dir", "table"]
+__all__ = ["discard", "fresh_path", "materialize", "release_memory", "shared_dir", "small_batches", "table"]
+
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Let texts go to Python in batches of a few megabytes, for this session, if it has
+    Spark's default: whole texts fill those of 64 megabytes, several times over on the way."""
+    if spark.conf.get(_BATCH) == "67108864b":
+        spark.conf.set(_BATCH, size)
 
 
 def release_memory() -> None:

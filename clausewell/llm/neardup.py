@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
-from .common import discard, materialize, release_memory
+from .common import discard, materialize, release_memory, small_batches
 from .graph import connected_components
 from .simhash import BITS, SEGMENT, grid_links, majority
 from .textbits import Words, mix, slices
@@ -288,6 +288,7 @@ def with_rows(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one row of each group, that of the least id."""
+    small_batches(docs.sparkSession)
     rows = with_rows(docs)
     groups = duplicate_groups(rows.select(F.col("__cw_row").alias("doc_id"), "text"), threshold)
     ids = rows.select("__cw_row", F.col("doc_id").cast("bigint").alias("id"))

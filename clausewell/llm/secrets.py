@@ -17,11 +17,10 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import materialize, release_memory
+from .common import materialize, release_memory, small_batches
 
 #: Raise this when a rule changes: all blobs are then scanned again.
 RULE_VERSION = "2026-1"
@@ -148,28 +147,29 @@ def covered(text: Column, spans: Column, mark: str) -> Column:
     """The text with every span replaced by the mark; overlapping spans are one.  Only
     texts with spans go to Python; the pieces between spans are joined once."""
 
-    def run(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-        out = []
-        for t, a, b in zip(texts, starts, ends, strict=True):
-            if t is None or a is None:
-                out.append(t)
+    def run(texts: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
+        out: list[str | None] = []
+        for text, a, b in zip(texts, starts, ends, strict=True):
+            if not text.is_valid:
+                out.append(None)
                 continue
-            pieces, at = [], 0
-            for start, end in zip(a.tolist(), b.tolist(), strict=True):
+            t, pieces, at = text.as_py(), [], 0
+            for start, end in zip(a.values.to_pylist(), b.values.to_pylist(), strict=True):
                 if start >= at:
                     pieces += [t[at:start], mark]
                 at = max(at, end)
             out.append("".join([*pieces, t[at:]]))
-        return pd.Series(out, dtype=object)
+        return pa.array(out, pa.string())
 
     hit = F.coalesce(F.size(spans) > 0, F.lit(False))
-    own = F.pandas_udf(run, "string")(F.when(hit, text), spans.getField("start"), spans.getField("end"))
+    own = F.arrow_udf(run, "string")(F.when(hit, text), spans.getField("start"), spans.getField("end"))
     return F.when(hit, own).otherwise(text)
 
 
 def redact(docs: DataFrame, ledger: DataFrame, text_col: str = "text", mark: str = "[REDACTED]") -> DataFrame:
     """``docs`` with every finding in the text replaced by ``mark``; the rows without
     findings, and all other columns, stay as they are."""
+    small_batches(docs.sparkSession)
     hit = _with_findings(ledger, RULE_VERSION).select(F.col("blob").alias("__cw_blob"), F.col("spans").alias("__cw_spans"))
     joined = docs.join(hit, blob_of(text_col) == F.col("__cw_blob"), "left")
     text, spans = F.col(text_col), F.col("__cw_spans")
