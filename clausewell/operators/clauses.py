@@ -127,3 +127,39 @@ def figures(clauses: DataFrame, key: str = "id", html: str = "html") -> DataFram
 def parse_report(clauses: DataFrame, by: str, measures: dict[str, Column]) -> DataFrame:
     """Counts and sums by document, and a row of totals (null)."""
     return clauses.rollup(by).agg(F.count("*").alias("clause_count"), *[F.sum(c).alias(n) for n, c in measures.items()])
+
+
+#: Images that stand in a page as data: media type, content.
+INLINE_IMAGE = r"""(?i)<img\b[^>]*?src=["']data:([^;"']+);base64,([^"']*)["'][^>]*>"""
+
+
+def numbered_images(parts: DataFrame, doc: str, part: str, html: str) -> DataFrame:
+    """(doc, part, html, images): images that stand in the pages as data are named
+    ``<doc>-image-<n>.<extension>``, counted on from part to part, and referred to by name.
+    One of an unknown type takes a number, but has no name and is not among ``images``
+    (name, mime, data).
+
+    Only the counts of parts, a small row each, are put in order to count on.
+    """
+    types = F.regexp_extract_all(html, F.lit(INLINE_IMAGE), F.lit(1))
+    rows = parts.select(doc, part, html, types.alias("_types"))
+    order = Window.partitionBy(doc).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy(doc, part).agg(F.max(F.size("_types")).alias("_n")).select(doc, part, F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"))
+    rows = rows.join(before, [doc, part])
+    name = lambda t, i: F.when(markup.extension_of(t) == "bin", F.lit("")).otherwise(F.concat(F.col(doc).cast("string"), F.lit("-image-"), (F.col("_before") + i + 1).cast("string"), F.lit("."), markup.extension_of(t)))
+    rows = rows.withColumn("_names", F.transform("_types", name))
+    tag = lambda n: F.when(n == "", F.lit('<img src="" data-media-filename="">')).otherwise(F.concat(F.lit('<img src="media:'), n, F.lit('" data-media-filename="'), n, F.lit('" alt="'), n, F.lit('">')))
+    pieces = F.transform(F.split(html, INLINE_IMAGE), lambda p, i: F.concat(p, F.coalesce(tag(F.get("_names", i)), F.lit(""))))
+    data = F.regexp_extract_all(html, F.lit(INLINE_IMAGE), F.lit(2))
+    images = F.filter(F.transform(F.arrays_zip("_names", "_types", data.alias("_data")), lambda x: F.struct(x["_names"].alias("name"), x["_types"].alias("mime"), x["_data"].alias("data"))), lambda x: x["name"] != "")
+    return rows.select(doc, part, F.array_join(pieces, "").alias(html), images.alias("images"))
+
+
+def joined_parts(parts: DataFrame, doc: str, part: str, html: str, warnings: str | None = None, most: int = 5) -> DataFrame:
+    """(doc, html, warnings): the parts of each document in their order as one page, with
+    the first ``most`` of their warnings (array column ``warnings``, without one: none)."""
+    none = F.array().cast("array<string>")
+    said = F.coalesce(F.slice(F.col(warnings), 1, most), none) if warnings else none
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(part).alias("part"), F.coalesce(F.col(html), F.lit("")).alias("html"), said.alias("said"))))
+    whole = parts.groupBy(doc).agg(ordered.alias("_parts"))
+    return whole.select(doc, F.array_join(F.transform("_parts", lambda p: p["html"]), "\n").alias(html), F.slice(F.flatten(F.transform("_parts", lambda p: p["said"])), 1, most).alias("warnings"))

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clausewell.functions import markup, words
 from clausewell.operators import chunking, clauses as C, enrich, vectors
+from clausewell.operators.embeddings import EmbeddingStore
 from clausewell.plans.corpus import CLAUSES, clauses
 from clausewell.plans.registry import query
 from clausewell.sources import sinks, tables
+from clausewell.sources.shared import fresh_path, materialize
 from clausewell.sources.tables import spread, table
 
 _STOP = ", ".join(f"'{w}'" for w in words.STOPWORDS)
@@ -366,6 +368,24 @@ def embed_batch(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", F.size("vec").cast("bigint").alias("dim"), F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x), 3).alias("norm"))
 
 
+def _letter_counts():  # noqa: ANN202
+    """An embedder that SQL can follow: how often each letter from a to z occurs."""
+    letters = [chr(c) for c in range(97, 123)]
+    return lambda texts: [[t.count(c) for c in letters] for t in texts]
+
+
+@query(r"""WITH t AS (SELECT doc_id, array_to_string(list_slice(list_filter(string_split_regex(text, '[ \t\n\r]+'), lambda w: w <> ''), 1, 512), ' ') AS t FROM documents),
+c AS (SELECT doc_id, t, list_transform(range(97, 123), lambda c: length(t) - length(replace(t, chr(CAST(c AS INT)), ''))) AS n FROM t)
+SELECT doc_id, CASE WHEN coalesce(t, '') <> '' THEN n[5] END AS count_e, CASE WHEN coalesce(t, '') <> '' THEN CAST(list_sum(n) AS BIGINT) END AS letters FROM c""")
+def embed_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors of all texts by way of a store: a second run finds them there."""
+    store, docs = EmbeddingStore(spark, fresh_path(spark, "embeddings")), table(spark, folder, "documents")
+    store.embed(docs, "doc_id", F.col("text"), "letters", _letter_counts)
+    again = store.embed(docs, "doc_id", F.col("text"), "letters", _letter_counts)
+    total = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x)
+    return again.select("doc_id", F.element_at("vec", 5).cast("bigint").alias("count_e"), total.cast("bigint").alias("letters"))
+
+
 @query("""SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'part' || p_size ELSE 's0' || p_size END AS part, CASE WHEN p_partkey % 2 = 0 THEN 'fig.svg' ELSE 'fig.png' END AS image FROM part""")
 def part_names(spark: SparkSession, folder: str) -> DataFrame:
     file = F.when(F.col("p_partkey") % 3 == 0, "38101.docx").otherwise(F.concat(F.lit("38101-h70_S0"), F.col("p_size").cast("string"), F.lit(".docx")))
@@ -376,9 +396,27 @@ def part_names(spark: SparkSession, folder: str) -> DataFrame:
 @query("""WITH p AS (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS html FROM conversations GROUP BY 1) SELECT conv_id, md5(html) AS html_md5 FROM p""")
 def joined_parts(spark: SparkSession, folder: str) -> DataFrame:
     """Documents in several parts as one, in the order of the parts."""
-    parts = F.array_sort(F.collect_list(F.struct("turn", "text")))
-    rows = table(spark, folder, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(parts, lambda p: p["text"]), "\n").alias("html"))
-    return rows.select("conv_id", F.md5("html").alias("html_md5"))
+    whole = C.joined_parts(table(spark, folder, "conversations"), "conv_id", "turn", "text")
+    return whole.select("conv_id", F.md5("text").alias("html_md5"))
+
+
+_TAG = "CASE WHEN k[i] = 'bin' THEN '<img src=\"\" data-media-filename=\"\">' ELSE '<img src=\"media:' || nm || '\" data-media-filename=\"' || nm || '\" alt=\"' || nm || '\">' END"
+
+
+@query(f"""WITH t AS (SELECT conv_id, turn, coalesce(text, '') AS text, CASE WHEN role = 'user' THEN ['png', 'bin'] ELSE ['jpeg'] END AS k FROM conversations),
+n AS (SELECT *, coalesce(sum(len(k)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM t),
+e AS (SELECT *, unnest(range(1, len(k) + 1)) AS i FROM n), g AS (SELECT *, conv_id || '-image-' || CAST(before + i AS BIGINT) || '.' || k[i] AS nm FROM e),
+h AS (SELECT conv_id, turn, '<p>' || any_value(text) || '</p>' || string_agg({_TAG}, '' ORDER BY i) AS html, count(*) FILTER (k[i] <> 'bin') AS images FROM g GROUP BY ALL)
+SELECT conv_id, md5(string_agg(html, chr(10) ORDER BY turn)) AS html_md5, CAST(sum(images) AS BIGINT) AS images FROM h GROUP BY 1""")
+def image_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Images of pages in several parts, numbered on from part to part."""
+    image = lambda mime: F.lit(f'<img alt="x" src="data:{mime};base64,QUJD"/>')
+    images = F.when(F.col("role") == "user", F.concat(image("image/png"), image("application/x-unknown"))).otherwise(image("image/jpeg"))
+    parts = table(spark, folder, "conversations").select("conv_id", "turn", F.concat(F.lit("<p>"), F.coalesce("text", F.lit("")), F.lit("</p>"), images).alias("html"))
+    named = materialize(C.numbered_images(parts, "conv_id", "turn", "html"), "numbered")
+    counts = named.groupBy("conv_id").agg(F.sum(F.size("images")).alias("images"))
+    whole = C.joined_parts(named, "conv_id", "turn", "html")
+    return whole.join(counts, "conv_id").select("conv_id", F.md5("html").alias("html_md5"), "images")
 
 
 @query("""WITH q AS (SELECT doc_id, text, lower(split_part(text, ' ', 3)) AS term FROM documents), a AS (SELECT *, strpos(lower(text), term) AS p FROM q WHERE term <> '')

@@ -108,3 +108,20 @@ def test_aux_is_capped_after_the_entry_that_exceeds(spark):
     rows = spark.createDataFrame([("i", "BWP", "uses CA and twoWords; bandwidth part"), ("j", None, "plain")], "id string, title string, text string")
     got = {r["id"]: r["aux"] for r in enrich.clause_aux(rows, glossary).collect()}
     assert got == {"i": "two Words · Carrier Aggregation", "j": ""}
+
+
+def test_images_are_numbered_over_parts(spark):
+    from clausewell.operators import clauses as C
+
+    image = lambda mime: f"<IMG alt='y' src=\"data:{mime};base64,QQ==\">"
+    rows = [("s", 2, f"c{image('image/emf')}"), ("s", 1, f"a{image('image/png')}{image('x/y')}b"), ("s", 3, None), ("s", 4, f"{image('image/gif')}"), ("t", 1, "none <img src='u.png'>")]
+    parts = spark.createDataFrame(rows, "spec string, part int, html string")
+    named = C.numbered_images(parts, "spec", "part", "html")
+    tag = lambda n: f'<img src="media:{n}" data-media-filename="{n}" alt="{n}">'
+    got = {(r["spec"], r["part"]): (r["html"], [tuple(i) for i in r["images"] or []]) for r in named.collect()}
+    assert got["s", 1] == ("a" + tag("s-image-1.png") + '<img src="" data-media-filename="">b', [("s-image-1.png", "image/png", "QQ==")])
+    assert got["s", 2] == ("c" + tag("s-image-3.emf"), [("s-image-3.emf", "image/emf", "QQ==")])
+    assert got["s", 4][1] == [("s-image-4.gif", "image/gif", "QQ==")] and got["t", 1] == ("none <img src='u.png'>", []) and got["s", 3][1] == []
+    said = spark.createDataFrame([("s", i, f"p{i}", [f"w{i}", f"v{i}"] if i else None) for i in range(5)], "spec string, part int, html string, said array<string>")
+    whole = C.joined_parts(said, "spec", "part", "html", "said").first()
+    assert (whole["html"], whole["warnings"]) == ("p0\np1\np2\np3\np4", ["w1", "v1", "w2", "v2", "w3"])
