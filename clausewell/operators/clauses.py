@@ -163,3 +163,25 @@ def joined_parts(parts: DataFrame, doc: str, part: str, html: str, warnings: str
     ordered = F.array_sort(F.collect_list(F.struct(F.col(part).alias("part"), F.coalesce(F.col(html), F.lit("")).alias("html"), said.alias("said"))))
     whole = parts.groupBy(doc).agg(ordered.alias("_parts"))
     return whole.select(doc, F.array_join(F.transform("_parts", lambda p: p["html"]), "\n").alias(html), F.slice(F.flatten(F.transform("_parts", lambda p: p["said"])), 1, most).alias("warnings"))
+
+
+def orphans(files: DataFrame, used: DataFrame, name: str) -> DataFrame:
+    """Files that nothing refers to: none of ``used`` has their name."""
+    return files.join(used.select(name).where(F.col(name).isNotNull()), name, "left_anti")
+
+
+def media_counts(pages: DataFrame, files: DataFrame, key: str, file: str, size: Column) -> DataFrame:
+    """(key, figures, missing, bytes): of each page the files that there are, whether it
+    lacks any (1 or 0), and their size; ``files`` holds key and file."""
+    joined = pages.select(key).join(files.select(key, F.col(file).alias("_file"), size.alias("_size")), key, "left")
+    missing = F.sum(F.when(F.col("_file").isNull(), 1).otherwise(0))
+    return joined.groupBy(key).agg(F.count("_file").alias("figures"), missing.alias("missing"), F.coalesce(F.sum("_size"), F.lit(0)).alias("bytes"))
+
+
+#: A text of fewer characters is suspiciously short.
+SHORT_TEXT = 30
+
+
+def quality_flags(clauses: DataFrame, key: str, title: Column, text: Column) -> DataFrame:
+    """(key, short_text, no_title): what a build warns of; null reads as empty."""
+    return clauses.select(key, (F.length(F.coalesce(text, F.lit(""))) < SHORT_TEXT).alias("short_text"), (F.trim(F.coalesce(title, F.lit(""))) == "").alias("no_title"))

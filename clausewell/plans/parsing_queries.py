@@ -246,7 +246,7 @@ def first_wins_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def orphan_media(spark: SparkSession, folder: str) -> DataFrame:
     """Rows that nothing refers to."""
     used = table(spark, folder, "lineitem").where("l_returnflag = 'R' and l_quantity > 49 and l_linenumber = 1").select(F.col("l_suppkey").alias("s_suppkey"))
-    return table(spark, folder, "supplier").select("s_suppkey", "s_name").join(used, "s_suppkey", "left_anti")
+    return C.orphans(table(spark, folder, "supplier").select("s_suppkey", "s_name"), used, "s_suppkey")
 
 
 @query("""SELECT c_custkey AS page_no, count(o_orderkey) AS figures, CAST(sum(CASE WHEN o_orderkey IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing, CAST(coalesce(sum(length(o_orderpriority)), 0) AS BIGINT) AS bytes
@@ -254,8 +254,8 @@ def orphan_media(spark: SparkSession, folder: str) -> DataFrame:
 def media_join(spark: SparkSession, folder: str) -> DataFrame:
     """Figures with their files, missing ones counted."""
     orders = table(spark, folder, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderpriority")
-    joined = table(spark, folder, "customer").select("c_custkey").join(orders, "c_custkey", "left")
-    return joined.groupBy(F.col("c_custkey").alias("page_no")).agg(F.count("o_orderkey").alias("figures"), F.sum(F.when(F.col("o_orderkey").isNull(), 1).otherwise(0)).alias("missing"), F.coalesce(F.sum(F.length("o_orderpriority")), F.lit(0)).alias("bytes"))
+    counted = C.media_counts(table(spark, folder, "customer"), orders, "c_custkey", "o_orderkey", F.length("o_orderpriority"))
+    return counted.withColumnRenamed("c_custkey", "page_no")
 
 
 def sql_half(x: str) -> str:
@@ -282,8 +282,7 @@ def sha_manifest(spark: SparkSession, folder: str) -> DataFrame:
   UNION ALL SELECT 'languages', string_agg(DISTINCT lang, ',' ORDER BY lang) FROM documents UNION ALL SELECT 'schemaVersion', '3'""")
 def meta_kv(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    counted = docs.agg(F.count("*").cast("string").alias("totalClauses"), F.count_distinct("source").cast("string").alias("specCount"), F.array_join(F.array_sort(F.collect_set("lang")), ",").alias("languages"), F.lit("3").alias("schemaVersion"))
-    return counted.unpivot([], ["totalClauses", "specCount", "languages", "schemaVersion"], "key", "value")
+    return sinks.corpus_facts(docs, "source", "lang", 3)
 
 
 _FILE = "regexp_replace(p_brand, '[^0-9]+', '', 'g') || '-h' || substr('0123456789abcdefghijklmnopqrstuvwxyz', CAST(p_size % 36 + 1 AS INT), 1) || (p_partkey % 10) || CASE WHEN p_partkey % 7 = 0 THEN '.txt' ELSE '.zip' END"
@@ -337,10 +336,10 @@ def json_config_explode(spark: SparkSession, folder: str) -> DataFrame:
     return rows.where("key = 'k'").groupBy("event_type", (F.col("value") % 10).alias("k")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT doc_id, length(text) < 30 AS short_text, title = '' AS no_title FROM (SELECT doc_id, coalesce(text, '') AS text, split_part(coalesce(text, ''), chr(10), 1) AS title FROM documents)")
+@query("SELECT doc_id, length(text) < 30 AS short_text, trim(title) = '' AS no_title FROM (SELECT doc_id, coalesce(text, '') AS text, split_part(coalesce(text, ''), chr(10), 1) AS title FROM documents)")
 def quality_flags(spark: SparkSession, folder: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    return table(spark, folder, "documents").select("doc_id", (F.length(text) < 30).alias("short_text"), (F.split_part(text, F.lit("\n"), F.lit(1)) == "").alias("no_title"))
+    return C.quality_flags(table(spark, folder, "documents"), "doc_id", F.split_part(text, F.lit("\n"), F.lit(1)), text)
 
 
 @query("SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")

@@ -8,6 +8,7 @@ from clausewell.functions import markup, words
 from clausewell.operators import citations, enrich, fusion, vectors
 from clausewell.operators.postings import CLAUSE_WEIGHTS, Index, or_plan, stemmed_terms, top_k
 from clausewell.operators.segments import or_terms
+from clausewell.operators.snippets import best_windows
 from clausewell.plans import planner
 from clausewell.plans.corpus import CLAUSES, clauses, questions, sql_aux
 from clausewell.plans.parsing_queries import _CHUNKS, _glossary, sql_half, sql_tokens
@@ -145,6 +146,19 @@ def bm25_stemmed(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(index.search(plan), 10, ["qid"], "id").select("qid", "rank", "id", F.round("score", 6).alias("score"))
 
 
+@query(rf"""WITH {_BM25}, u AS (SELECT qid, id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM (SELECT qid, id, string_split_regex(text, '[ \t\n\r]+') AS ws FROM best JOIN clauses USING (id) WHERE rank <= 3)),
+m AS (SELECT DISTINCT t.qid, t.id, pos, unit FROM (SELECT qid, id, pos, unnest({sql_tokens('word')}) AS tok FROM u) t JOIN asked a ON a.qid = t.qid AND a.unit = tok),
+g AS (SELECT a.qid, a.id, a.pos AS start, count(DISTINCT b.unit) AS found FROM (SELECT DISTINCT qid, id, pos FROM m) a JOIN m b ON a.qid = b.qid AND a.id = b.id AND b.pos BETWEEN a.pos AND a.pos + 19 GROUP BY ALL),
+s AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY qid, id ORDER BY found DESC, start) = 1),
+h AS (SELECT DISTINCT qid, id, pos FROM m)
+SELECT s.qid, s.id, start, found, string_agg(CASE WHEN h.pos IS NULL THEN word ELSE '[' || word || ']' END, ' ' ORDER BY u.pos) AS snippet
+FROM s JOIN u ON s.qid = u.qid AND s.id = u.id AND u.pos BETWEEN start AND start + 19 LEFT JOIN h ON h.qid = u.qid AND h.id = u.id AND h.pos = u.pos GROUP BY ALL""")
+def best_snippets(spark: SparkSession, folder: str) -> DataFrame:
+    """Snippets of the first three clauses of each question."""
+    best = materialize(_best(spark, folder, 3), "best")
+    return best_windows(best, or_terms(questions(spark, folder), "qid", "text"), clauses(spark, folder))
+
+
 _PAIRS = f"pairs AS (SELECT DISTINCT qid, tk[i] AS a, tk[i + 1] AS b FROM (SELECT qid, tk, unnest(range(1, len(tk))) AS i FROM (SELECT qid, {sql_tokens('text')} AS tk FROM questions)))"
 
 

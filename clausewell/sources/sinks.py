@@ -36,6 +36,20 @@ def facts(spark: SparkSession, values: dict[str, object]) -> DataFrame:
     return spark.createDataFrame([(k, None if v is None else str(v)) for k, v in values.items()], "key string, value string")
 
 
+def corpus_facts(clauses: DataFrame, spec: str, lang: str, schema_version: int) -> DataFrame:
+    """(key, value): how many clauses, documents and which languages a build holds."""
+    counted = clauses.agg(F.count("*").cast("string").alias("totalClauses"), F.count_distinct(spec).cast("string").alias("specCount"), F.array_join(F.array_sort(F.collect_set(lang)), ",").alias("languages"), F.lit(str(schema_version)).alias("schemaVersion"))
+    return counted.unpivot([], ["totalClauses", "specCount", "languages", "schemaVersion"], "key", "value")
+
+
+def manifest_of(spark: SparkSession, path: str, facts: DataFrame, aliases: dict[str, str] | None = None) -> dict:
+    """The manifest of an artifact file with facts (key, value) lifted from it, under their
+    own names or those that ``aliases`` gives them."""
+    file = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("n"), F.sha2("content", 256).alias("sha")).first()
+    lifted = {(aliases or {}).get(r["key"], r["key"]): r["value"] for r in facts.orderBy("key").collect()}  # a few facts
+    return manifest(file["path"].rsplit("/", 1)[-1], file["sha"], file["n"], lifted)
+
+
 def manifest(name: str, sha256: str, size: int, facts: dict[str, object]) -> dict:
     """What a consumer needs to fetch and trust an artifact."""
     return {"artifact": name, "sha256": sha256, "bytes": size, **facts}

@@ -211,3 +211,13 @@ def test_several_axes_in_one_pass(spark):
     got = sorted(map(tuple, E.benchmark(df, {"rel": 1, "spec": 3}, ["yes"]).collect()))
     assert got == [("all", "<all>", 5, 0.6), ("rel", "<none>", 2, 0.5), ("rel", "r", 3, pytest.approx(2 / 3)), ("spec", "s0", 3, 1.0)]
     assert E.benchmark(df.where("false"), {"rel": 1}, ["yes"]).count() == 0
+
+
+def test_snippets_hold_most_of_the_terms(spark):
+    from clausewell.operators.snippets import best_windows
+
+    text = "beam " + "x " * 30 + "Beam, failure\tand  beam recovery. " + "y " * 30 + "failure"
+    docs = spark.createDataFrame([("a", text), ("b", None), ("c", ""), ("d", "none")], "id string, text string")
+    hits = spark.createDataFrame([(1, i) for i in "abcd"] + [(1, "a"), (2, "a")], "qid bigint, id string")
+    terms = spark.createDataFrame([(1, "beam"), (1, "failure"), (1, "recovery"), (2, "missing")], "qid bigint, term string")
+    assert [tuple(r) for r in best_windows(hits, terms, docs, width=6).collect()] == [(1, "a", 31, 3, "[Beam,] [failure] and [beam] [recovery.] y")]

@@ -1,4 +1,5 @@
 import gzip
+import hashlib
 import io
 import json
 import zipfile
@@ -69,3 +70,10 @@ def test_ingest_takes_new_files_once(spark, tmp_path):
     arrive()
     run()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 10
+
+
+def test_a_manifest_lifts_facts_from_its_artifact(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(b"abc")
+    facts = sinks.corpus_facts(spark.createDataFrame([("s", "en"), ("t", None)], "spec string, lang string"), "spec", "lang", 3)
+    got = sinks.manifest_of(spark, str(tmp_path / "a.bin"), facts, {"totalClauses": "clauses"})
+    assert got == {"artifact": "a.bin", "sha256": hashlib.sha256(b"abc").hexdigest(), "bytes": 3, "clauses": "2", "specCount": "2", "languages": "en", "schemaVersion": "3"}
