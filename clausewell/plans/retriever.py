@@ -3,8 +3,8 @@ nearest vectors, weighted fusion with priors, citation pulls."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import MISSING, dataclass, field, fields
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -30,6 +30,22 @@ class RetrieverConfig:
     priors: list[fusion.Prior] = field(default_factory=lambda: list(fusion.PRIORS))
     column_weights: dict[str, float] = field(default_factory=lambda: dict(CLAUSE_WEIGHTS))
 
+    @classmethod
+    def from_settings(cls, env: Mapping[str, str], flags: Sequence[str] = (), prefix: str = "RETRIEVER_") -> RetrieverConfig:
+        """The numbers of a configuration out of environment variables (``RETRIEVER_RRF_K``)
+        and flags (``--rrf-k=60``), which come first; empty ones are left at their defaults.
+        A flag that names no number of the configuration is an error."""
+        kinds = {f.name: type(f.default) if f.default is not None else int for f in fields(cls) if f.default is not MISSING}
+        given = {name: env[key] for name in kinds if env.get(key := prefix + name.upper(), "") != ""}
+        for flag in flags:
+            key, _, value = flag.removeprefix("--").partition("=")
+            name = key.replace("-", "_")
+            if not flag.startswith("--") or name not in kinds:
+                raise ValueError(f"unknown setting {flag}")
+            if value != "":
+                given[name] = value
+        return cls(**{name: kinds[name](value) for name, value in given.items()})
+
 
 def two_tier_plan(questions: DataFrame) -> DataFrame:
     """All of a query's distinct tokens (at most 40), then any of them: the ladder

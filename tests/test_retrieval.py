@@ -221,3 +221,15 @@ def test_snippets_hold_most_of_the_terms(spark):
     hits = spark.createDataFrame([(1, i) for i in "abcd"] + [(1, "a"), (2, "a")], "qid bigint, id string")
     terms = spark.createDataFrame([(1, "beam"), (1, "failure"), (1, "recovery"), (2, "missing")], "qid bigint, term string")
     assert [tuple(r) for r in best_windows(hits, terms, docs, width=6).collect()] == [(1, "a", 31, 3, "[Beam,] [failure] and [beam] [recovery.] y")]
+
+
+def test_settings_come_from_environment_and_flags():
+    env = {"RETRIEVER_RRF_K": "7", "RETRIEVER_VEC_Z": "", "RETRIEVER_SPEC_CAP": "2", "OTHER": "x"}
+    got = RetrieverConfig.from_settings(env, ["--rrf-k=9", "--floor-weight=0.2", "--candidates="])
+    assert got == RetrieverConfig(rrf_k=9, floor_weight=0.2, spec_cap=2)
+    assert RetrieverConfig.from_settings({}) == RetrieverConfig()
+    for wrong in (["--none=1"], ["rrf-k=1"], ["--priors=1"]):
+        with pytest.raises(ValueError):
+            RetrieverConfig.from_settings({}, wrong)
+    with pytest.raises(ValueError):
+        RetrieverConfig.from_settings({"RETRIEVER_RRF_K": "many"})
