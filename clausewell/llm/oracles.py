@@ -26,26 +26,42 @@ def _path(url: str) -> str:
     return f"regexp_extract({_rest(url)}, '^[^/?#]*([^?#]*)', 1)"
 
 
+def _no_dots(path: str) -> str:
+    step = "CASE WHEN x = '.' THEN a WHEN x = '..' THEN regexp_replace(a, '/[^/]*$', '') ELSE a || '/' || x END"
+    short = f"list_reduce(string_split({path}, '/'), lambda a, x: {step})"
+    return f"(CASE WHEN {path} = '' THEN '/' WHEN contains({path}, '/.') THEN {short} || (CASE WHEN regexp_matches({path}, '/\\.\\.?$') THEN '/' ELSE '' END) ELSE {path} END)"
+
+
 def _key(url: str) -> str:
     scheme = _lower(f"regexp_extract({url}, '^(.*?)://', 1)")
     query = f"regexp_extract({_rest(url)}, '^[^?#]*(\\?[^#]*)', 1)"
-    return f"(CASE WHEN {_host(url)} <> '' THEN {scheme} || '://' || {_host(url)} || {_path(url)} || {query} END)"
+    host = f"CASE {scheme} WHEN 'http' THEN regexp_replace({_host(url)}, ':(80)?$', '') WHEN 'https' THEN regexp_replace({_host(url)}, ':(443)?$', '') ELSE {_host(url)} END"
+    return f"(CASE WHEN {_host(url)} <> '' THEN {scheme} || '://' || ({host}) || {_no_dots(_path(url))} || {query} END)"
+
+
+def _seen_from(link: str, url: str) -> str:
+    """A link as an absolute url."""
+    scheme = f"regexp_extract({url}, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)"
+    folder = f"regexp_extract({_path(url)}, '^(.*/)', 1)"
+    root = f"{scheme} || '://' || {_host(url)}"
+    return f"CASE WHEN regexp_matches({link}, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN {link} WHEN regexp_matches({link}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL WHEN starts_with({link}, '//') THEN {scheme} || ':' || {link} WHEN starts_with({link}, '/') THEN {root} || {link} WHEN starts_with({link}, '?') THEN {root} || {_path(url)} || {link} ELSE {root} || (CASE WHEN {folder} = '' THEN '/' ELSE {folder} END) || {link} END"
 
 
 def url_filter(rules: list[tuple[str, str, str]]) -> str:
     values = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in rules)
     fits = "(host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)"
     best = lambda rows, key: f"SELECT {key}, v, h || p AS rule FROM {rows} JOIN rules ON {fits} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY length(h || p) DESC, v) = 1"
-    scheme = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)"
-    folder = f"regexp_extract({_path('url')}, '^(.*/)', 1)"
-    root = f"{scheme} || '://' || {_host('url')}"
-    href = "replace(regexp_extract(regexp_extract(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*[\"'']?canonical\\b[^>]*>', 0), '(?i)\\bhref\\s*=\\s*[\"'']?([^\"''\\s>]+)', 1), '&amp;', '&')"
-    refresh = "replace(regexp_extract(regexp_extract(html, '(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*[\"'']?refresh\\b[^>]*>', 0), '(?i)\\burl\\s*=\\s*[\"'']?([^\"''\\s>]+)', 1), '&amp;', '&')"
-    target = f"CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link WHEN starts_with(link, '//') THEN {scheme} || ':' || link WHEN starts_with(link, '/') THEN {root} || link ELSE {root} || (CASE WHEN {folder} = '' THEN '/' ELSE {folder} END) || link END"
+    attribute = lambda tag, name: f"replace(regexp_extract(regexp_extract(html, '{tag}', 0), '{name}', 1), '&amp;', '&')"
+    href = "(?i)[\\s\"'']href\\s*=\\s*[\"'']?\\s*([^\"''\\s>]+)"
+    base = attribute("(?is)<base\\b[^>]*[\\s\"'']href\\s*=[^>]*>", href)
+    canonical = attribute("(?is)<link\\b[^>]*[\\s\"'']rel\\s*=\\s*(\"([^\">]*\\s)?canonical[\\s\"]|''([^''>]*\\s)?canonical[\\s'']|canonical[\\s>/])[^>]*>?", href)
+    refresh = attribute("(?is)<meta\\b[^>]*[\\s\"'']http-equiv\\s*=\\s*[\"'']?refresh\\b[^>]*>", "(?i)[\\s\"'']content\\s*=\\s*[\"'']?\\s*0+(\\.[0-9]*)?[\\s;,]\\s*url\\s*=\\s*[\"'']?\\s*([^\"''\\s>]+)").replace("', 1), '&amp;'", "', 2), '&amp;'")
     return f"""WITH RECURSIVE rules(v, h, p) AS (VALUES {values}),
 rows_ AS (SELECT row_number() OVER () AS rid, page_id, coalesce({_host('url')}, '') AS host, coalesce({_path('url')}, '') AS path, {_key('url')} AS node FROM pages),
-found AS (SELECT url, unnest([{href}, {refresh}]) AS link FROM pages),
-targets AS (SELECT {_key('url')} AS src, {target} AS to_url FROM found WHERE link <> ''),
+seen AS (SELECT url, regexp_replace(html, '(?is)<!--.*?(-->|\\z)|<script\\b.*?(</script|\\z)', '', 'g') AS html FROM pages),
+found AS (SELECT url, {base} AS base, unnest([{canonical}, {refresh}]) AS link FROM seen),
+based AS (SELECT url, coalesce(CASE WHEN base <> '' THEN {_seen_from('base', 'url')} END, url) AS base, link FROM found WHERE link <> ''),
+targets AS (SELECT {_key('url')} AS src, {_seen_from('link', 'base')} AS to_url FROM based),
 links AS (SELECT src, {_key('to_url')} AS dst FROM targets),
 edges AS (SELECT src, dst FROM links WHERE src <> dst UNION SELECT dst, src FROM links WHERE src <> dst),
 reach(a, b) AS (SELECT DISTINCT src, src FROM edges UNION SELECT a, dst FROM reach JOIN edges ON b = src),

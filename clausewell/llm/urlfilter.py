@@ -6,11 +6,13 @@ edges are closed into components, and a blocked member blocks every alias that h
 no rule of its own and whose page is not allowed by a rule.  So an explicit allow
 always wins for the page it names.
 
-A page is known by its url without the fragment, scheme and host in lower case; two
-urls are aliases only where an edge says so.  Edges come from ``<link rel=canonical>``,
-``<meta http-equiv=refresh>`` and, if given, a table of redirects.  Their ends are
-judged by the rules whether or not they are pages, so a block spreads over urls that
-were never fetched.
+A page is known by its url as browsers ask for it: no fragment, scheme and host in lower
+case, no default port, no dot segments, a path of at least ``/``; two urls are aliases
+only where an edge says so.  Edges come from the first ``<link rel=canonical>``, the first
+``<meta http-equiv=refresh>`` if its delay is under a second and, if given, a table of
+redirects.  Comments and scripts hold no links; links are seen from ``<base href>``.  Ends
+of edges are judged by the rules whether or not they are pages, so a block spreads over
+urls that were never fetched.
 
 Edge cases: a null url or one without ``://`` has empty host and path, no rule, and
 is allowed; repeated rows each get a row; rules that tie in length: allow wins.
@@ -48,11 +50,25 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(after_scheme(url), r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def without_dots(path: Column) -> Column:
+    """A path with its ``.`` and ``..`` segments taken out.
+
+    Only what lies between two ``..`` is handled step by step, so the cost is that of the
+    path once for each ``..``.
+    """
+    parts = F.split(F.regexp_replace(path, r"(?<=/)\.(?:/|\z)", ""), r"(?<=/)\.\.(?:/|\z)", -1)
+    parent = lambda p: F.when(p == "/", p).otherwise(F.left(p, F.length(p) - F.length(F.substring_index(p, "/", -2))))
+    short = F.aggregate(F.slice(parts, 2, F.size(parts)), F.element_at(parts, 1), lambda done, part: F.concat(parent(done), part))
+    return F.when(path.contains("/."), short).otherwise(path)
+
+
 def page_key(url: Column) -> Column:
     """The url as redirects see it; null if it has no host."""
     scheme = ascii_lower(F.regexp_extract(url, r"^(.*?)://", 1))
+    port = F.when(scheme == "http", F.regexp_replace(host_of(url), r":(?:80)?\z", "")).when(scheme == "https", F.regexp_replace(host_of(url), r":(?:443)?\z", ""))
+    path = F.when(path_of(url) == "", F.lit("/")).otherwise(without_dots(path_of(url)))
     query = F.regexp_extract(after_scheme(url), r"^[^?#]*(\?[^#]*)", 1)
-    return F.when(host_of(url) != "", F.concat(scheme, F.lit("://"), host_of(url), path_of(url), query))
+    return F.when(host_of(url) != "", F.concat(scheme, F.lit("://"), F.coalesce(port, host_of(url)), path, query))
 
 
 def bound(value: Column, f: Callable[[Column], Column]) -> Column:
@@ -61,30 +77,38 @@ def bound(value: Column, f: Callable[[Column], Column]) -> Column:
 
 
 def resolve(link: Column, url: Column) -> Column:
-    """A link as an absolute url, seen from ``url``."""
+    """A link as an absolute url, seen from ``url``; null if it names no place on the web
+    (``mailto:`` and the like)."""
     scheme = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1)
     root = F.concat(scheme, F.lit("://"), host_of(url))
     folder = F.regexp_extract(path_of(url), r"^(.*/)", 1)
     return (
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
         .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
         .when(link.startswith("/"), F.concat(root, link))
+        .when(link.startswith("?"), F.concat(root, path_of(url), link))
         .otherwise(F.concat(root, F.when(folder == "", F.lit("/")).otherwise(folder), link))
     )
 
 
-def _href(tag: Column) -> Column:
-    return F.regexp_replace(F.regexp_extract(tag, r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""", 1), "&amp;", "&")
+#: What a browser doesn't read as markup, and the tags that make edges.
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script|\z)"
+CANONICAL = r"""(?is)<link\b[^>]*[\s"']rel\s*=\s*(?:"(?:[^">]*\s)?canonical[\s"]|'(?:[^'>]*\s)?canonical[\s']|canonical[\s>/])[^>]*>?"""
+REFRESH = r"""(?is)<meta\b[^>]*[\s"']http-equiv\s*=\s*["']?refresh\b[^>]*>"""
+BASE = r"""(?is)<base\b[^>]*[\s"']href\s*=[^>]*>"""
+HREF = r"""(?i)[\s"']href\s*=\s*["']?\s*([^"'\s>]+)"""
+AT_ONCE = r"""(?i)[\s"']content\s*=\s*["']?\s*0+(?:\.[0-9]*)?[\s;,]\s*url\s*=\s*["']?\s*([^"'\s>]+)"""
 
 
 def alias_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(src, dst) page keys joined by a canonical link or an immediate refresh."""
-    html = F.col(html_col)
-    canonical = _href(F.regexp_extract(html, r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>""", 0))
-    refresh = F.regexp_extract(F.regexp_extract(html, r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>""", 0), r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""", 1)
-    link = F.explode(F.filter(F.array(canonical, F.regexp_replace(refresh, "&amp;", "&")), lambda x: x != ""))
-    found = pages.select(F.col(url_col).alias("url"), link.alias("link"))
-    ends = found.select(page_key(F.col("url")).alias("src"), bound(resolve(F.col("link"), F.col("url")), page_key).alias("dst"))
+    attribute = lambda tag, name: F.regexp_replace(F.regexp_extract(F.regexp_extract("html", tag, 0), name, 1), "&amp;", "&")
+    linked = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")).where(F.col("html").rlike("(?i)canonical|refresh"))
+    seen = linked.select("url", F.regexp_replace("html", HIDDEN, "").alias("html"))
+    tags = seen.select("url", attribute(BASE, HREF).alias("base"), F.filter(F.array(attribute(CANONICAL, HREF), attribute(REFRESH, AT_ONCE)), lambda x: x != "").alias("links"))
+    found = tags.select("url", F.when(F.col("base") == "", F.col("url")).otherwise(F.coalesce(resolve(F.col("base"), F.col("url")), "url")).alias("base"), F.explode("links").alias("link"))
+    ends = found.select(page_key(F.col("url")).alias("src"), bound(resolve(F.col("link"), F.col("base")), page_key).alias("dst"))
     return ends.where("src is not null and dst is not null and src <> dst")
 
 
