@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from clausewell.functions import markup, words
 from clausewell.operators import chunking, clauses as C, enrich, vectors
@@ -424,3 +425,26 @@ def snippets(spark: SparkSession, folder: str) -> DataFrame:
     """The surroundings of a term's first occurrence."""
     term = F.lower(F.split_part("text", F.lit(" "), F.lit(3)))
     return table(spark, folder, "documents").where(term != "").select("doc_id", markup.snippet(F.col("text"), term).alias("snippet"))
+
+
+@query("SELECT doc_id, octet_length(encode(text)) AS n_bytes, sha256(text) AS sha256 FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL")
+def archive_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts as entries of ZIP archives, and back, entry by entry."""
+    docs = spread(table(spark, folder, "documents")).where("doc_id is not null and text is not null")
+    named = docs.select(F.concat(F.col("doc_id").cast("string"), F.lit(".docx")).alias("name"), "text")
+    archives = materialize(sinks.write_zips(named, fresh_path(spark, "zips"), "name", "text"), "zip-archives")
+    found = tables.archive_entries(archives)
+    return found.select(F.substring_index("entry", ".", 1).cast("bigint").alias("doc_id"), F.octet_length("content").cast("bigint").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+@query("""SELECT count(*) AS lines, count(*) AS numbers, count(*) AS last_numbers, count(*) FILTER (event_id % 7 = 0) AS malformed FROM events""")
+def numbered_json_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as JSON lines, every seventh id's cut short: all lines by number, and those
+    that don't parse."""
+    path = fresh_path(spark, "json-lines")
+    rows = table(spark, folder, "events").select("event_id", F.to_json(F.struct("event_id", "event_type")).alias("value"))
+    rows.select(F.when(F.col("event_id") % 7 == 0, F.expr("left(value, length(value) - 1)")).otherwise(F.col("value")).alias("value")).write.text(path)
+    files = tables.numbered_lines(spark, path).groupBy("path").agg(F.count("*").alias("n"), F.count_distinct("line").alias("own"), F.max("line").alias("last"))
+    bad = tables.malformed_lines(spark, path, StructType().add("event_id", "long").add("event_type", "string"))
+    counted = files.join(bad.groupBy("path").agg(F.count("*").alias("bad")), "path", "left")
+    return counted.agg(F.sum("n").alias("lines"), F.sum("own").alias("numbers"), F.sum("last").alias("last_numbers"), F.coalesce(F.sum("bad"), F.lit(0)).alias("malformed"))

@@ -3,8 +3,14 @@
 from __future__ import annotations
 
 import json
+import uuid
+import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.fs as pafs
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 
@@ -26,6 +32,28 @@ def write_report(rows: DataFrame, path: str, most: int = 10_000) -> None:
     Path(path).write_text(json.dumps([r.asDict(recursive=True) for r in found], indent=2, default=str))
 
 
+def write_zips(rows: DataFrame, folder: str, name: str, content: str) -> DataFrame:
+    """(path, entries): the ZIP archives, one a task, that hold rows as entries, under fresh
+    names in a folder that all executors share; rows that share a name are all kept."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = pafs.FileSystem.from_uri(folder)
+        system.create_dir(root, recursive=True)
+        path, archive, n = f"{uuid.uuid4().hex}.zip", None, 0
+        for batch in batches:
+            for at in range(len(batch)):
+                archive = archive or zipfile.ZipFile(system.open_output_stream(f"{root}/{path}"), "w", zipfile.ZIP_DEFLATED)
+                archive.writestr(batch.column(0)[at].as_py(), batch.column(1)[at].as_py() or b"")
+                n += 1
+        if archive:
+            stream = archive.fp
+            archive.close()
+            getattr(stream, "close", lambda: None)()
+            yield pa.RecordBatch.from_pydict({"path": [f"{folder}/{path}"], "entries": [n]})
+
+    return rows.select(name, F.col(content).cast("binary")).mapInArrow(run, "path string, entries bigint")
+
+
 def checksums(files: DataFrame, name: Column, content: Column) -> DataFrame:
     """(line): ``<sha-256>  <name>`` of each file."""
     return files.select(F.concat(F.sha2(content, 256), F.lit("  "), name).alias("line"))

@@ -25,6 +25,40 @@ def test_json_sources(spark, tmp_path):
     assert tables.optional_json_lines(spark, str(tmp_path / "l.jsonl"), LINES).count() == 2
 
 
+def test_malformed_lines_are_named(spark, tmp_path):
+    lines = [json.dumps({"id": f"{i}", "n": i}) for i in range(5000)]
+    lines[9] = ""
+    for i in (10, 2500, 4999):
+        lines[i] = '{"id": "x", "n": '
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.jsonl").write_text("\n".join(lines) + "\n")
+    (tmp_path / "d" / "b.jsonl").write_text('{"id": "b"}\n[1\n')
+    (tmp_path / "d" / "c.jsonl").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = tables.numbered_lines(spark, str(tmp_path / "d"))
+        assert got.rdd.getNumPartitions() > 1
+        rows = {(r["path"].rsplit("/", 1)[1], r["line"]): r["value"] for r in got.collect()}
+        assert rows == {**{("a.jsonl", i + 1): x for i, x in enumerate(lines)}, ("b.jsonl", 1): '{"id": "b"}', ("b.jsonl", 2): "[1"}
+        bad = tables.malformed_lines(spark, str(tmp_path / "d"), LINES).collect()
+        assert sorted((r["path"].rsplit("/", 1)[1], r["line"]) for r in bad) == [("a.jsonl", 11), ("a.jsonl", 2501), ("a.jsonl", 5000), ("b.jsonl", 2)]
+        with pytest.raises(ValueError, match=r"malformed line 11 of .*a\.jsonl"):
+            tables.json_lines(spark, str(tmp_path / "d"), LINES, strict=True)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_an_archive_is_read_by_many_tasks(spark, tmp_path):
+    rows = spark.createDataFrame([(f"{i}.doc", "x" * i) for i in range(40)] + [("3.txt", "t"), ("z_cover.doc", "c"), ("null.doc", None)], "name string, body string").coalesce(1)
+    made = sinks.write_zips(rows, f"file://{tmp_path}/zips", "name", "body").collect()
+    assert [r["entries"] for r in made] == [43]
+    (tmp_path / "zips" / "bad.zip").write_bytes(b"PK no archive")
+    found = tables.archive_entries(tables.media(spark, f"{tmp_path}/zips"), task_bytes=100)
+    assert found.select(F.spark_partition_id()).distinct().count() > 4
+    assert sorted((r["entry"], len(r["content"])) for r in found.collect()) == sorted([(f"{i}.doc", i) for i in range(40)] + [("null.doc", 0)])
+    assert tables.archive_entries(tables.media(spark, f"{tmp_path}/zips").where("false")).count() == 0
+
+
 def test_listings_and_latest(spark):
     html = '<a href="/x/38101-h70.zip">a</a><A HREF="38101-hA0.ZIP">b</A><a href="38101-g90.zip">c</a><a href="x.txt">d</a>'
     files = spark.createDataFrame([("38101", html)], "stem string, html string").select("stem", F.explode(tables.listed_archives(F.col("html"))).alias("name"))
