@@ -2,7 +2,7 @@
 
 Documents are tokenised whole, closed by an end token and cut into pieces of at
 most ``capacity`` tokens: all but the first piece are full.  Pieces are dealt over
-tasks by hash and arrive by falling length.  A task keeps a fixed number of open
+tasks evenly, whatever their ids, and arrive by falling length.  A task keeps a fixed number of open
 bins, one bit of a bitset for each amount of free space that some open bin has; a
 piece goes into the bin that it fills best, found by a shift and the lowest set
 bit.  When too many bins are open, the fullest closes first.
@@ -15,7 +15,7 @@ own string) are encoded whole.  ``Encoder`` reads from the tokenizer's file whet
 is such a BPE; any other tokenizer encodes all texts whole.
 
 Edge cases: null reads as empty; an empty text is the end token alone; repeated
-rows are packed each; an empty table gives no rows.
+rows and rows without an id are packed each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -259,7 +259,8 @@ class Packer:
 def pack(cut: DataFrame, capacity: int = CAPACITY, open_bins: int = 65_536, pieces_per_task: int = 200_000) -> DataFrame:
     """Add sequence_id and offset to pieces; ``cut`` is read more than once."""
     tasks = max(1, -(-cut.count() // pieces_per_task))
-    dealt = cut.repartition(tasks, "doc_id", "piece").sortWithinPartitions(F.desc("length"), "doc_id", "piece", "ids_crc32")
+    # In turns: of an id, or none, that a third of all pieces have, each task gets its share.
+    dealt = cut.repartition(tasks).sortWithinPartitions(F.desc("length"), "doc_id", "piece", "ids_crc32")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,8 @@ The model is fitted on a bounded sample (about ``sample`` rows each of P and U,
 hash of id and text).
 
 Edge cases: null reads as empty; empty texts are scored from their (zero)
-features; without positives or unlabelled rows every score is 0.5.
+features; without positives or unlabelled rows every score is 0.5; an id that is labelled both
+ways is a positive; labels of no document and null ones are left out.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ size is checked.
 
 Fitted on a bounded sample: at most about ``sample`` labelled rows, by hash of the
 id.  Edge cases: null reads as empty; a text without words gets the bias alone;
-without labels every score is 0.5.
+without labels every score is 0.5; an id that is labelled both ways is toxic; labels of no
+document and null ones are left out.
 """
 
 from __future__ import annotations

@@ -89,3 +89,18 @@ def test_bounded_space_closes_the_fullest():
     packer = packing.Packer(10, 2)
     assert [packer.put(n) for n in (6, 7, 8)] == [(0, 0), (1, 0), (2, 0)]  # the bin of 7 closed
     assert packer.put(4) == (0, 6) and packer.put(2) == (2, 8) and packer.put(3) == (3, 0)
+
+
+def test_pieces_of_one_id_are_dealt_over_tasks(spark):
+    same = [(i, 0, 0, 700, 5) for i in [None] * 900 + [7] * 600] + [(i, 0, 0, 300, i) for i in range(1500)]
+    cut = spark.createDataFrame(same, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+    rows = packing.pack(cut, pieces_per_task=500).collect()
+    assert sorted(map(str, (tuple(r)[:5] for r in rows))) == sorted(map(str, same))
+    tasks = defaultdict(int)
+    for r in rows:
+        tasks[r["sequence_id"] >> 40] += 1
+    assert len(tasks) == 6 and max(tasks.values()) <= 600
+    fill = defaultdict(int)
+    for r in rows:
+        fill[r["sequence_id"]] += r["length"]
+    assert max(fill.values()) <= 1024 and len(fill) <= 1.1 * sum(fill.values()) / 1000
