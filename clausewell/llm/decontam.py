@@ -107,6 +107,27 @@ class HammingIndex:
         return number[near], position[near], distance[near]
 
 
+class ItemsOfShingle:
+    """For each shingle the items, by their places in a list, that hold it."""
+
+    def __init__(self, shingles: list[np.ndarray]):
+        item = np.repeat(np.arange(len(shingles)), [len(x) for x in shingles])
+        pair = np.unique(np.rec.fromarrays([np.concatenate(shingles), item]))
+        self.keys, first = np.unique(pair.f0, return_index=True)
+        self.first, self.item = np.append(first, len(pair)), np.ascontiguousarray(pair.f1)
+
+    def places(self, s: np.ndarray, hits: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(item, ascending places among ``hits`` whose shingle the item holds)."""
+        at = np.minimum(np.searchsorted(self.keys, s[hits]), len(self.keys) - 1)
+        same = self.keys[at] == s[hits]
+        place, at = hits[same], at[same]
+        n = self.first[at + 1] - self.first[at]
+        item = self.item[np.repeat(self.first[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        place = np.repeat(place, n)[np.argsort(item, kind="stable")]
+        known, first = np.unique(np.sort(item), return_index=True)
+        yield from zip(known.tolist(), np.split(place, first[1:]), strict=True)
+
+
 class Items:
     """A bounded block of benchmark items, ready to be compared."""
 
@@ -132,13 +153,13 @@ class Items:
             s = shingle_hashes(h, k)
             for x in s.tolist():
                 own["sizes_of"][x].add(len(h))
-            own["by_size"][len(h)].append((i, fingerprint(bit_rows(s).sum(axis=0)[None], len(s))[0]))
+            own["by_size"][len(h)].append((i, fingerprint(bit_rows(s).sum(axis=0)[None], len(s))[0], s))
         for own in self.by_k.values():
             own["known"] = np.array(sorted(own["sizes_of"]), dtype=np.uint64)
             own["maybe"] = np.zeros(1 << 22, dtype=bool)
             own["maybe"][own["known"] & np.uint64((1 << 22) - 1)] = True
             own["sizes"] = [frozenset(own["sizes_of"][x]) for x in own["known"].tolist()]
-            own["by_size"] = {n: ([i for i, _ in rows], HammingIndex(np.array([f for _, f in rows], dtype=np.uint64))) for n, rows in own["by_size"].items()}
+            own["by_size"] = {n: ([i for i, _, _ in rows], HammingIndex(np.array([f for _, f, _ in rows], dtype=np.uint64)), ItemsOfShingle([x for _, _, x in rows])) for n, rows in own["by_size"].items()}
             del own["sizes_of"]
 
     def shared(self, n: int, m: int) -> int:
@@ -174,18 +195,22 @@ class Items:
             window = min(size, total)
             n, m = window - k + 1, size - k + 1
             starts = np.unique(np.clip(np.concatenate([hits - d for d in range(n)]) if n < 4 * len(hits) else (hits[:, None] - np.arange(n)).ravel(), 0, total - window))
-            ids, index = own["by_size"][size]
+            ids, index, holders = own["by_size"][size]
+            # What an item can share with a window is at most the window's shingles it holds.
+            need = self.shared(n, m)
+            held = {p: q for p, q in holders.places(s, hits) if len(q) >= need} if m < SURE else {}
             for low in range(0, len(starts), WINDOWS_AT_ONCE):
                 part = starts[low : low + WINDOWS_AT_ONCE]
                 number, position, distance = index.within(_window_prints(s, part, n))
                 pairs = list(zip(number.tolist(), position.tolist(), distance.tolist(), strict=True))
+                most: dict[int, np.ndarray] = {p: np.searchsorted(q, part + n) - np.searchsorted(q, part) for p, q in held.items()}
                 if m < SURE:
-                    count = np.searchsorted(hits, part + n) - np.searchsorted(hits, part)
-                    known = set(zip(number.tolist(), position.tolist(), strict=True))
-                    pairs += [(w, p, -1) for w in np.flatnonzero(count >= self.shared(n, m)).tolist() for p in range(len(ids)) if (w, p) not in known]
+                    pairs = [x for x in pairs if x[1] in most and most[x[1]][x[0]] >= need]
+                    known = {(w, p) for w, p, _ in pairs}
+                    pairs += [(w, p, -1) for p, c in most.items() for w in np.flatnonzero(c >= need).tolist() if (w, p) not in known]
                 for w, p, d in sorted(pairs, key=lambda x: (x[1], x[2] < 0, x[2])):
                     i, start = ids[p], int(part[w])
-                    if i in best and best[i][0] == 1.0:
+                    if i in best and (best[i][0] == 1.0 or p in most and (c := int(most[p][w])) / (n + m - c) <= best[i][0]):
                         continue
                     got = [words.bytes[a:b].tobytes() for a, b in zip(words.starts[first + start : first + start + window], words.ends[first + start : first + start + window], strict=True)]
                     x = weighted_similarity(got, self.words[i], k)

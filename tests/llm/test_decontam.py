@@ -102,3 +102,41 @@ def test_the_query(spark, tmp_path):
     spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     rows = queries.op7_decontamination(spark, str(tmp_path)).collect()
     assert {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in rows} == brute(texts, items)
+
+
+def test_items_of_one_template_cost_little():
+    """Items that share most of their wording: the same rows as by comparing every window."""
+    import time
+
+    import numpy as np
+
+    from clausewell.llm import decontam
+
+    def block(n, seed):
+        r = random.Random(seed)
+        base = [f"b{j}" for j in range(16)]
+        return [" ".join([*base[:3], f"v{i % 97}", *base[4:15], f"u{i}"]) for i in range(n)], r
+
+    texts, r = block(60, 1)
+    docs = [" ".join(f"z{r.randrange(500)}" for _ in range(40)) + f" {texts[i]} " + " ".join(r.choice(texts).split()[:r.randrange(4, 17)]) for i in range(0, 60, 7)]
+    items = decontam.Items(list(range(len(texts))), texts, decontam.THRESHOLD)
+    raw = np.frombuffer("".join(docs).encode(), np.uint8)
+    got = {(row, i): x for row, i, x, *_ in items.matches(raw, np.cumsum([0, *map(len, docs)]))}
+    want = {}
+    for row, d in enumerate(docs):
+        words = [w.encode() for w in d.split()]
+        for i, t in enumerate(texts):
+            own = [w.encode() for w in t.split()]
+            best = max(decontam.weighted_similarity(words[j : j + 16], own) for j in range(max(1, len(words) - 15)))
+            if best >= decontam.THRESHOLD:
+                want[row, i] = best
+    assert got == want and len(want) >= len(docs)
+
+    texts, _ = block(3000, 2)
+    items = decontam.Items(list(range(len(texts))), texts, decontam.THRESHOLD)
+    docs = [" ".join(texts[i : i + 20]) for i in (0, 500, 900)]
+    raw = np.frombuffer("".join(docs).encode(), np.uint8)
+    begun = time.process_time()
+    found = {(row, i) for row, i, *_ in items.matches(raw, np.cumsum([0, *map(len, docs)]))}
+    assert {(k, i) for k, at in enumerate((0, 500, 900)) for i in range(at, at + 20)} <= found
+    assert time.process_time() - begun < 60
