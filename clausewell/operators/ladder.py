@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 CANDIDATES, OVER_FETCH = 50, 4
 TIER_CAP = max(15, CANDIDATES // 2)
@@ -24,21 +23,20 @@ def walk(fetched: DataFrame, id_col: str) -> DataFrame:
     """(qid, id, is_floor, rank): tiers in turn give what is new, at most TIER_CAP each
     but for the floor, until there are CANDIDATES.
 
-    The caps count new rows, so the walk is sequential; a query's list holds at most
-    a few tiers of fetched rows and is walked in one Arrow group.
+    The caps count new rows, so the walk is sequential: it folds a query's list, which
+    holds at most a few tiers of fetched rows, in one expression.
     """
     kind = fetched.schema[id_col].dataType.simpleString()
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["tier", "rk", id_col])
-        taken: dict = {}
-        counts: dict[int, int] = {}
-        for tier, is_floor, one in zip(pdf["tier"], pdf["is_floor"], pdf[id_col], strict=True):
-            if one in taken or len(taken) >= CANDIDATES or (not is_floor and counts.get(tier, 0) >= TIER_CAP):
-                continue
-            taken[one] = is_floor
-            counts[tier] = counts.get(tier, 0) + 1
-        return pd.DataFrame({"qid": [pdf["qid"].iloc[0]] * len(taken), id_col: list(taken), "is_floor": list(taken.values()), "rank": range(1, len(taken) + 1)})
-
-    rows = fetched.select("qid", "tier", "is_floor", id_col, "rk")
-    return rows.groupBy("qid").applyInPandas(run, f"qid bigint, {id_col} {kind}, is_floor boolean, rank bigint")
+    line = F.array_sort(F.collect_list(F.struct("tier", "rk", F.col(id_col).alias("one"), "is_floor")))
+    start = F.struct(F.array().cast(f"array<struct<one:{kind},is_floor:boolean>>").alias("taken"), F.lit(-1).alias("tier"), F.lit(0).alias("n"))
+
+    def step(acc: Column, x: Column) -> Column:
+        n = F.when(x["tier"] == acc["tier"], acc["n"]).otherwise(0)
+        known = F.exists(acc["taken"], lambda t: t["one"].eqNullSafe(x["one"]))
+        left = known | (F.size(acc["taken"]) >= CANDIDATES) | (~x["is_floor"] & (n >= TIER_CAP))
+        taken = F.when(left, acc["taken"]).otherwise(F.array_append(acc["taken"], F.struct(x["one"].alias("one"), x["is_floor"].alias("is_floor"))))
+        return F.struct(taken.alias("taken"), x["tier"].cast("int").alias("tier"), F.when(left, n).otherwise(n + 1).alias("n"))
+
+    lists = fetched.groupBy("qid").agg(F.aggregate(line, start, step, lambda acc: acc["taken"]).alias("taken"))
+    rows = lists.select("qid", F.posexplode("taken").alias("at", "t"))
+    return rows.select("qid", F.col("t.one").alias(id_col), "t.is_floor", (F.col("at") + 1).cast("bigint").alias("rank"))

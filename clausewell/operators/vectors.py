@@ -47,18 +47,27 @@ def max_pooled(near: DataFrame, owner: str, k: int) -> DataFrame:
     return best.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") <= k)
 
 
+#: Numbers of a vector that one row of a rollup holds.
+BLOCK = 64
+
+
 def mean_vectors(rows: DataFrame, by: str, vec: str = "vec") -> DataFrame:
     """(by, vec, n): mean of a group's vectors scaled to length one (a zero mean stays).
 
-    Means are taken by position in a partial aggregation, so a large group costs no
-    task more than its own rows.
+    Means are taken by position in a partial aggregation, BLOCK positions a row, so a
+    large group costs no task more than its own rows.  Vectors that are null or empty
+    don't count; positions that some vectors lack are means of the others.
     """
-    parts = rows.where(F.col(by).isNotNull()).select(by, F.posexplode(vec).alias("pos", "x"))
-    means = parts.groupBy(by, "pos").agg(F.avg(F.col("x").cast("double")).alias("x"), F.count("*").alias("n"))
-    whole = means.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("s"), F.max("n").alias("n"))
-    mean = F.transform("s", lambda s: s["x"])
+    sized = rows.where(F.col(by).isNotNull() & (F.size(vec) > 0)).select(by, F.col(vec).alias("_vec"))
+    parts = sized.select(by, "_vec", F.explode(F.sequence(F.lit(0), F.expr(f"(size(_vec) - 1) div {BLOCK}").cast("int"))).alias("_block"))
+    at = lambda i: F.get("_vec", F.col("_block") * BLOCK + i)
+    means = parts.groupBy(by, "_block").agg(*[F.avg(at(i).cast("double")).alias(f"_{i}") for i in range(BLOCK)], F.max(F.size("_vec")).alias("_size"), F.count("*").alias("n"))
+    block = F.slice(F.array(*[f"_{i}" for i in range(BLOCK)]), 1, F.least(F.lit(BLOCK), F.col("_size") - F.col("_block") * BLOCK))
+    whole = means.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("_block", block.alias("xs")))).alias("s"), F.max("n").alias("n"))
+    mean = F.flatten(F.transform("s", lambda s: s["xs"]))
     norm = F.sqrt(F.aggregate(mean, F.lit(0.0), lambda a, x: a + x * x))
-    return whole.select(by, F.transform(mean, lambda x: x / F.when(norm > 0, norm).otherwise(1.0)).alias("vec"), "n")
+    scaled = whole.select(by, mean.alias("_mean"), norm.alias("_norm"), "n")
+    return scaled.select(by, F.transform("_mean", lambda x: x / F.when(F.col("_norm") > 0, F.col("_norm")).otherwise(1.0)).alias("vec"), "n")
 
 
 def to_half(vec: Column) -> Column:
