@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clausewell.functions import markup
+from clausewell.sources.shared import exists
 
 #: References to clauses of the same document; those of another one are left out.
 REFERENCE = r"(?i)(?<!TS\s)(?<!TS\s\d\d\.\d\d\d,\s)(?<![A-Za-z0-9_])clauses?\s+(\d+(?:\.\d+)+[A-Z]?)"
@@ -35,8 +36,7 @@ def stored_in_degree(clauses: DataFrame, path: str, id_col: str = "id", text: st
     spark = clauses.sparkSession
     row = clauses.agg(F.count("*"), F.sum(F.xxhash64(id_col, text).cast("decimal(20,0)"))).first()
     folder = f"{path}/{row[0]}-{row[1] or 0}"
-    place = spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
-    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+    if not exists(spark, f"{folder}/_SUCCESS"):
         in_degree(edges(clauses, id_col, text)).write.mode("overwrite").parquet(folder)
     return spark.read.schema("ref string, in_degree bigint, hub_idf double").parquet(folder)
 

@@ -9,7 +9,7 @@ from clausewell.operators import evaluation as E
 from clausewell.plans.corpus import CLAUSES, clauses, questions
 from clausewell.plans.parsing_queries import sql_tokens
 from clausewell.plans.registry import query
-from clausewell.plans.retrieval_queries import _BM25, _DENSE, _best, _dense
+from clausewell.plans.retrieval_queries import _BM25, _DENSE, _best, _dense, _vectors
 from clausewell.sources.benchmarks import option_questions
 from clausewell.sources.shared import materialize
 from clausewell.sources.tables import table
@@ -54,6 +54,14 @@ def eval_ranks(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("qid", "expected", "rank", "dense_rank", E.flip(F.col("dense_rank"), F.col("rank")).alias("flip"))
 
 
+@query(f"WITH {_BM25}, {_DENSE}, {_HOLDS}, {_RANKS} SELECT qid, expected, CASE WHEN qid IN (SELECT qid FROM qvecs WHERE qvec IS NOT NULL) THEN dense_rank ELSE 0 END AS rank FROM expected JOIN dranks USING (qid)")
+def hybrid_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranks of the dense arm; a question without a vector counts as rank 0."""
+    asked = _vectors(spark, folder)[1]
+    dense = E.ranks(materialize(_expected(spark, folder), "expected"), _dense(spark, folder))
+    return E.hybrid_ranks(dense, asked).select("qid", "expected", "rank")
+
+
 @query(f"WITH {_BM25}, {_DENSE}, {_HOLDS}, {_RANKS} SELECT coalesce(stratum, '<unlabeled>') AS stratum, {_METRICS} FROM ranks GROUP BY 1 UNION ALL SELECT '<all>', {_METRICS} FROM ranks")
 def eval_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return _round(E.metrics_by(materialize(_ranked(spark, folder), "ranked"), "stratum"))

@@ -448,3 +448,22 @@ def numbered_json_lines(spark: SparkSession, folder: str) -> DataFrame:
     bad = tables.malformed_lines(spark, path, StructType().add("event_id", "long").add("event_type", "string"))
     counted = files.join(bad.groupBy("path").agg(F.count("*").alias("bad")), "path", "left")
     return counted.agg(F.sum("n").alias("lines"), F.sum("own").alias("numbers"), F.sum("last").alias("last_numbers"), F.coalesce(F.sum("bad"), F.lit(0)).alias("malformed"))
+
+
+@query("SELECT doc_id, source, lang, n_chars, md5(text) AS text_md5 FROM documents")
+def json_lines_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as compressed JSON lines, and back."""
+    docs, path = spread(table(spark, folder, "documents")), fresh_path(spark, "documents-json")
+    sinks.write_json_lines(docs, path, compressed=True)
+    back = tables.optional_json_lines(spark, path, docs.schema)
+    return back.select("doc_id", "source", "lang", "n_chars", F.md5("text").alias("text_md5"))
+
+
+@query("SELECT coalesce(source, 'none') AS source, CAST(sum(octet_length(encode(coalesce(text, ''))) + 1) AS BIGINT) AS n_bytes FROM documents GROUP BY 1")
+def media_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of a folder for each source, of 500 texts at most, by the folder they lie in."""
+    path = fresh_path(spark, "media")
+    texts = spread(table(spark, folder, "documents")).select(F.coalesce("source", F.lit("none")).alias("source"), F.coalesce("text", F.lit("")).alias("text"))
+    texts.write.partitionBy("source").option("maxRecordsPerFile", 500).text(path)
+    found = tables.media(spark, path).where(F.octet_length("content") == F.col("bytes"))
+    return found.groupBy(F.regexp_extract("path", "/source=([^/]+)/", 1).alias("source")).agg(F.sum("bytes").alias("n_bytes"))

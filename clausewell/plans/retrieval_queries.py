@@ -375,13 +375,25 @@ def citation_pull(spark: SparkSession, folder: str) -> DataFrame:
     return citations.pull(materialize(_best(spark, folder), "best"), rows, tokens, citations.in_degree(citations.edges(rows)))
 
 
-@query(f"WITH {_CHUNKS}, {_CHUNKED}, {_ASKED}, {_WORDS}, {sql_index('clauses', 'id', CLAUSE_WEIGHTS)}, {sql_scores('id')}, {sql_ladder('id', '', 50)}, {sql_index('chunked', 'chunk_id', {'chunk': 1.0}, '_c')}, {sql_scores('chunk_id', '_c')}, {sql_ladder('chunk_id', '_c', 200, 'id')}, {_DENSE}, {_Z}, {_fuse(['lad', 'lad_c'])}, {_pull('fused')} SELECT qid, id, rank FROM pulled WHERE rank <= 50")
+_FULL = f"WITH {_CHUNKS}, {_CHUNKED}, {_ASKED}, {_WORDS}, {sql_index('clauses', 'id', CLAUSE_WEIGHTS)}, {sql_scores('id')}, {sql_ladder('id', '', 50)}, {sql_index('chunked', 'chunk_id', {'chunk': 1.0}, '_c')}, {sql_scores('chunk_id', '_c')}, {sql_ladder('chunk_id', '_c', 200, 'id')}, {_DENSE}, {_Z}, {_fuse(['lad', 'lad_c'])}, {_pull('fused')} SELECT qid, id, rank FROM pulled WHERE rank <= 50"
+
+
+@query(_FULL)
 def retrieve_full(spark: SparkSession, folder: str) -> DataFrame:
     """Hybrid retrieval of all questions, end to end."""
     vecs, asked = _vectors(spark, folder)
     return Retriever(clauses(spark, folder), _chunked(spark, folder), vecs).retrieve(asked)
 
 
+@query(_FULL)
+def retrieve_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by a retriever that is saved to a folder, then opened from there."""
+    vecs, asked = _vectors(spark, folder)
+    place = fresh_path(spark, "retriever")
+    Retriever(clauses(spark, folder), _chunked(spark, folder), vecs).save(place)
+    return Retriever.open(spark, place).retrieve(asked)
+
+
 def _planned(spark: SparkSession, folder: str) -> DataFrame:
     known = [(r["acronym"], r["expansion"], None) for r in _glossary(spark, folder).orderBy("no").collect()]  # 25 nations at most
     return planner.plan(questions(spark, folder), planner.Glossary.of(known))

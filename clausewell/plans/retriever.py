@@ -6,13 +6,15 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import MISSING, dataclass, field, fields
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clausewell.functions import markup, words
 from clausewell.operators import citations, fusion, ladder, vectors
 from clausewell.operators.neighbours import PivotIndex
 from clausewell.operators.postings import CLAUSE_WEIGHTS, Index, Searcher
-from clausewell.sources.shared import materialize
+from clausewell.operators.segments import StoredIndex
+from clausewell.sources import sinks
+from clausewell.sources.shared import exists, materialize
 
 
 @dataclass(frozen=True)
@@ -73,10 +75,11 @@ class Retriever:
     those stored with the vectors, ``embedder`` the model and size of query vectors.
 
     What is built once and searched often is handed in: ``index`` and ``chunk_index`` (stored
-    ones), ``near`` (vectors in cells) and ``degrees`` (``citations.stored_in_degree``)."""
+    ones), ``near`` (vectors in cells) and ``degrees`` (``citations.stored_in_degree``);
+    ``save`` and ``open`` do so for a whole folder."""
 
     def __init__(self, clauses: DataFrame, chunks: DataFrame | None = None, vecs: DataFrame | None = None, config: RetrieverConfig | None = None, facts: dict | None = None, embedder: tuple[str, int] | None = None, *, index: Searcher | None = None, chunk_index: Searcher | None = None, near: PivotIndex | None = None, degrees: DataFrame | None = None):
-        self.clauses, self.chunks, self.config = clauses, chunks, config or RetrieverConfig()
+        self.clauses, self.chunks, self.config, self.facts = clauses, chunks, config or RetrieverConfig(), facts
         # Vectors of another model or size would rank at random: lexical search alone then.
         self.vecs = vecs if embedder is None or vectors.compatible(facts or {}, *embedder) else None
         known = {c: w for c, w in self.config.column_weights.items() if c in clauses.columns}
@@ -85,6 +88,33 @@ class Retriever:
         self.near = near or (PivotIndex(self.vecs) if self.vecs is not None else None)
         self.degrees = degrees if degrees is not None else citations.in_degree(citations.edges(clauses))
 
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str, config: RetrieverConfig | None = None, embedder: tuple[str, int] | None = None) -> Retriever:
+        """A retriever over what ``save`` wrote.  Chunks, vectors and indexes are looked for;
+        what isn't there is searched without, or built from the clauses."""
+        read = lambda name: spark.read.parquet(f"{folder}/{name}") if exists(spark, f"{folder}/{name}/_SUCCESS") else None
+        index = lambda name: StoredIndex(spark, f"{folder}/{name}") if exists(spark, f"{folder}/{name}") else None
+        clauses, facts = read("clauses"), read("facts")
+        if clauses is None:
+            raise FileNotFoundError(f"no clauses under {folder}")
+        known = {r["key"]: r["value"] for r in facts.collect()} if facts is not None else None  # a few facts
+        degrees = citations.stored_in_degree(clauses, f"{folder}/degrees")
+        return cls(clauses, read("chunks"), read("vectors"), config, known, embedder, index=index("index"), chunk_index=index("chunk_index"), degrees=degrees)
+
+    def save(self, folder: str) -> None:
+        """Write clauses, chunks, vectors, both indexes, in-degrees and facts under a folder
+        where there is nothing yet."""
+        spark = self.clauses.sparkSession
+        if exists(spark, folder):
+            raise FileExistsError(folder)
+        for name, rows in (("clauses", self.clauses), ("chunks", self.chunks), ("vectors", self.vecs), ("facts", sinks.facts(spark, self.facts) if self.facts else None)):
+            if rows is not None:
+                rows.write.parquet(f"{folder}/{name}")
+        for name, index in (("index", self.index), ("chunk_index", self.chunk_index)):
+            if isinstance(index, Index):
+                index.store(f"{folder}/{name}")
+        citations.stored_in_degree(spark.read.parquet(f"{folder}/clauses"), f"{folder}/degrees")
+
     def fused(self, questions: DataFrame, plan: DataFrame) -> DataFrame:
         """(qid, id, score, rank) before citations are pulled."""
         c = self.config

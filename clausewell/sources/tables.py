@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructType
 
-from .shared import materialize
+from .shared import exists, materialize
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -71,8 +71,7 @@ def malformed_lines(spark: SparkSession, path: str, schema: StructType) -> DataF
 
 def optional_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """As json_lines; a path that isn't there reads as no rows."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return json_lines(spark, path, schema)
 

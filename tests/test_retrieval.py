@@ -199,6 +199,26 @@ def test_a_retriever_over_stored_parts_finds_the_same(spark, tmp_path):
     assert found(stored) == found(plain) != []
 
 
+def test_a_saved_retriever_opens_with_what_is_there(spark, tmp_path):
+    rows = [(f"s#{i % 3 + 1}.{i}", f"beam failure recovery {'timing ' * (i % 4)} see clause 1.{i % 5}") for i in range(40)]
+    clauses = spark.createDataFrame(rows, "id string, text string")
+    chunks = clauses.select(F.concat("id", F.lit("::c0")).alias("chunk_id"), "id", F.col("text").alias("chunk"))
+    vecs = spark.createDataFrame([(i, [float(n % 7), 1.0]) for n, (i, _) in enumerate(rows)], "id string, vec array<double>")
+    asked = spark.createDataFrame([(7, "beam timing", [2.0, 1.0]), (8, "recovery", None)], "qid bigint, text string, vec array<double>")
+    found = lambda r: sorted(map(tuple, r.retrieve(asked).collect()))
+    for n, plain in enumerate([Retriever(clauses, chunks, vecs, facts={"embeddingModel": "m", "embeddingDim": 2}), Retriever(clauses)]):
+        place = f"file://{tmp_path}/{n}"
+        plain.save(place)
+        assert found(Retriever.open(spark, place)) == found(plain) != []
+    # Another embedder than the one the vectors are from: lexical search alone.
+    assert Retriever.open(spark, f"file://{tmp_path}/0", embedder=("m", 2)).near is not None
+    assert Retriever.open(spark, f"file://{tmp_path}/0", embedder=("other", 2)).near is None
+    with pytest.raises(FileExistsError):
+        plain.save(f"file://{tmp_path}/0")
+    with pytest.raises(FileNotFoundError):
+        Retriever.open(spark, f"file://{tmp_path}/none")
+
+
 def test_gates_can_be_skipped(spark):
     base, hybrid = F.lit(0.5), F.lit(0.4)
     row = spark.range(1).select(E.lift_gate(base, hybrid)[1].alias("a"), E.lift_gate(base, hybrid, skip=True)[1].alias("b")).first()
