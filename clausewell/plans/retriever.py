@@ -62,7 +62,7 @@ def lexical(index: Searcher, plan: DataFrame, id_col: str, fetch: int, owner: st
     """(qid, id, is_floor, rank) of a ladder over an index; chunk hits are pooled by
     their owner."""
     floors = plan.select("qid", "tier", "is_floor").distinct()
-    hits = index.search(plan.select("qid", "tier", "group_no", "terms")).join(floors, ["qid", "tier"])
+    hits = index.best(plan.select("qid", "tier", "group_no", "terms"), fetch).join(floors, ["qid", "tier"])
     found = ladder.fetch(hits, id_col, fetch)
     if owner is None or owners is None:
         return ladder.walk(found, id_col)

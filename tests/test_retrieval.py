@@ -253,3 +253,22 @@ def test_settings_come_from_environment_and_flags():
             RetrieverConfig.from_settings({}, wrong)
     with pytest.raises(ValueError):
         RetrieverConfig.from_settings({"RETRIEVER_RRF_K": "many"})
+
+
+def test_the_best_are_found_beside_the_documents(spark, monkeypatch):
+    from clausewell.operators import scoring
+    from clausewell.operators.postings import or_plan
+    from clausewell.plans.retriever import two_tier_plan
+
+    words = "alpha beta gamma delta common".split()
+    docs = spark.createDataFrame([(f"d{i:03d}", words[i % 4], " ".join(["common"] * (i % 3) + [words[(i * k) % 5] for k in range(i % 6)])) for i in range(300)], "id string, title string, text string").repartition(3)
+    asked = spark.createDataFrame([(1, "common alpha"), (2, "beta gamma delta"), (3, "nowhere common"), (4, "")], "qid bigint, text string")
+    phrases = spark.createDataFrame([(1, 0, 0, ["common", "common"]), (1, 0, 0, ["alpha", "beta", "gamma"]), (1, 0, 1, ["beta"]), (2, 3, 7, ["delta"])], "qid bigint, tier int, group_no int, terms array<string>")
+    index = Index(docs, "id", {"title": 2.0, "text": 1.0})
+    rows = lambda df: sorted((r["qid"], r["tier"], r["rank"], r["id"], round(r["score"], 9)) for r in df.collect())
+    monkeypatch.setattr(scoring, "CELLS", 40)
+    for plan in (or_plan(asked, "qid", "text"), two_tier_plan(asked).select("qid", "tier", "group_no", "terms"), phrases, phrases.where("false")):
+        found = index.best(plan, 7)
+        assert rows(found) == rows(top_k(index.search(plan), 7, ["qid", "tier"], "id"))
+    best = index.best(or_plan(asked, "qid", "text"), 7)
+    assert "Join" not in best._jdf.queryExecution().toString()
