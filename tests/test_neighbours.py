@@ -51,3 +51,10 @@ def test_small_and_empty_tables(spark):
     assert [(r["name"], r["rank"]) for r in vectors.nearest(asked, few, 5, "name").orderBy("rank").collect()] == [("a", 1), ("b", 2)]
     assert vectors.nearest(asked, few.where("false"), 5, "name").collect() == []
     assert vectors.nearest(asked.where("false"), few, 5, "name").collect() == []
+
+
+def test_a_query_goes_to_a_bin_in_one_row(spark):
+    vecs = spark.createDataFrame([(i, [float(i % 7), float(i % 11), float(i % 13)]) for i in range(900)], "id bigint, vec array<double>")
+    index = neighbours.PivotIndex(vecs, pivots=30)
+    asked = spark.createDataFrame([(i, [i / 3, 1.0, 2.0], float("inf")) for i in range(20)], "qid bigint, vec array<double>, reach double")
+    assert index._cells(asked, 5).count() == 20
