@@ -27,6 +27,9 @@ STEMS = (5, 6, 7, 8)
 _SALT = [np.uint64(0x9E3779B97F4A7C15 * (k + 1) % (1 << 64)) for k in range(16)]
 #: The broadcast model never holds more weights than this.
 MOST_WEIGHTS = 1_000_000
+#: Ranges of hashes that are counted one at a time.
+RANGES = 16
+_STARTS = np.array([i << 60 for i in range(1, RANGES)], np.uint64)
 
 
 def gram_hashes(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -76,24 +79,28 @@ def train(texts: pa.Array, labels: np.ndarray, rounds: int = 6, rarest: int = 3)
         new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
         return row[new] + first, h[new]
 
-    # A table of counts by hash prefix finds the rare ones without keeping all.
-    seen = np.zeros(1 << 24, dtype=np.uint16)
-    top = np.uint64(40)
+    # Hashes are counted range by range, so that only one range is sorted at a time; what is
+    # rare goes before texts are kept as numbers.
+    ranges: list[list[np.ndarray]] = [[] for _ in range(RANGES)]
     for part in slices(texts):
-        _, h = present(*part)
-        at, n = np.unique(h >> top, return_counts=True)
-        seen[at] = np.minimum(seen[at] + n, 60_000)
-    rows, hashes = [], []
+        h = np.sort(present(*part)[1])
+        for own, some in zip(ranges, np.split(h, np.searchsorted(h, _STARTS)), strict=True):
+            own.append(some)
+    frequent = []
+    for i in range(RANGES):
+        h, n = np.unique(np.concatenate(ranges[i]) if ranges[i] else np.zeros(0, np.uint64), return_counts=True)
+        ranges[i] = []
+        frequent.append(h[n >= rarest])
+    known = np.concatenate(frequent)
+    rows, places = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
     for part in slices(texts):
         row, h = present(*part)
-        kept = seen[h >> top] >= rarest
-        rows.append(row[kept])
-        hashes.append(h[kept])
-    row = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-    known, index, df = np.unique(h, return_inverse=True, return_counts=True)
-    fine = df[index] >= rarest
-    row, index = row[fine], index[fine]
+        place = np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))
+        fine = known[place] == h if len(known) else np.zeros(len(h), bool)
+        rows.append(row[fine].astype(np.int32))
+        places.append(place[fine].astype(np.int32))
+    row, index = np.concatenate(rows), np.concatenate(places)
+    del rows, places
     model = Ftrl(len(known) + 1)
     at = np.searchsorted(row, np.arange(len(labels) + 1))
     bias = np.array([len(known)])

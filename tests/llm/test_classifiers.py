@@ -159,3 +159,15 @@ def test_toxic_words_are_learnt_and_weights_are_sparse(spark):
     assert rows[0] == rows[1] == pytest.approx(1 / (1 + np.exp(-model["bias"])))
     assert {r["score"] for r in toxicity.score(docs, toxicity.fit(docs, labels.where("false"))).collect()} == {0.5}
     assert toxicity.score(docs.where("false"), model).count() == 0
+
+
+def test_training_holds_little_more_than_the_hashes():
+    import tracemalloc
+
+    r = np.random.default_rng(5)
+    texts = pa.array([" ".join(f"w{x}" for x in r.integers(0, 10**9, 400)) for _ in range(500)])
+    tracemalloc.start()
+    toxicity.train(texts, np.arange(500) % 2, rounds=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 * 2**20  # mostly one slice of texts
