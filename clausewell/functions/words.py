@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 # The words that queries and documents drop.
@@ -146,3 +150,16 @@ def stems(word: Column) -> Column:
         return words.map(lambda w: None if w is None else stem(fold(w)))
 
     return F.pandas_udf(run, "string")(word)
+
+
+def stemmed_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, words) batches with the folded Porter stems of the words, each distinct word of a
+    batch stemmed once; rows without words go."""
+    known = lru_cache(1 << 17)(lambda w: stem(fold(w)))
+    for batch in batches:
+        sizes = pc.fill_null(pc.list_value_length(batch.column(1)), 0)
+        flat = batch.column(1).flatten().dictionary_encode()
+        own = pa.array([known(w) for w in flat.dictionary.to_pylist()], pa.string()).take(flat.indices)
+        ends = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(sizes).cast(pa.int32())])
+        out = pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, own)], names=["key", "terms"])
+        yield out.filter(pc.greater(sizes, 0))

@@ -272,3 +272,12 @@ def test_the_best_are_found_beside_the_documents(spark, monkeypatch):
         assert rows(found) == rows(top_k(index.search(plan), 7, ["qid", "tier"], "id"))
     best = index.best(or_plan(asked, "qid", "text"), 7)
     assert "Join" not in best._jdf.queryExecution().toString()
+
+
+def test_stems_need_no_shuffle(spark):
+    from clausewell.operators.postings import stemmed_terms
+
+    docs = spark.createDataFrame([(1, "Running cafés, RUNNING"), (2, " - "), (3, None), (4, "ponies")], "id bigint, text string")
+    found = stemmed_terms(docs, "id", "text")
+    assert sorted(map(tuple, found.collect())) == [(1, ["run", "cafe", "run"]), (4, ["poni"])]
+    assert "Exchange" not in found._jdf.queryExecution().toString()
