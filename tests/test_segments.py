@@ -137,3 +137,14 @@ def test_a_stream_keeps_the_index_in_step(spark, tmp_path):
     before = index.state
     assert index.add(spark.createDataFrame(corpus(8, 5), SCHEMA), batch=before.batch).state == before  # a batch that is tried again
     assert re.fullmatch(r"s\d+", max(before.segments))
+
+
+def test_postings_are_made_of_a_document_alone():
+    import pyarrow as pa
+
+    from clausewell.operators import scoring
+
+    batch = pa.RecordBatch.from_pydict({"id": ["a", "b", "c"], "dl": [4, 0, 1], "title": [["x"], None, []], "text": [["y", "x", "y"], [], ["y"]]}, pa.schema([("id", pa.string()), ("dl", pa.int64()), ("title", pa.list_(pa.string())), ("text", pa.list_(pa.string()))]))
+    found = [r for b in scoring.posting([3.0, 1.0], 40)(iter([batch])) for r in b.to_pylist()]
+    column = 1 << 40
+    assert sorted((r["term"], r["id"], r["dl"], r["tf"], r["places"]) for r in found) == [("x", "a", 4, 4.0, [0, column + 1]), ("y", "a", 4, 2.0, [column, column + 2]), ("y", "c", 1, 1.0, [column])]
