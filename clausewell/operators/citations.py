@@ -7,10 +7,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from clausewell.functions import markup
 from clausewell.sources.shared import exists
 
-#: References to clauses of the same document; those of another one are left out.
-REFERENCE = r"(?i)(?<!TS\s)(?<!TS\s\d\d\.\d\d\d,\s)(?<![A-Za-z0-9_])clauses?\s+(\d+(?:\.\d+)+[A-Z]?)"
+#: References to clauses of the same document; those of another one are left out.  A look at
+#: the first letter spares most places the looks behind.
+REFERENCE = r"(?i)(?=[cC])(?<!TS\s)(?<!TS\s\d\d\.\d\d\d,\s)(?<![A-Za-z0-9_])clauses?\s+(\d+(?:\.\d+)+[A-Z]?)"
 PULL_FROM, MOST_PULLED, INSERT_AT, RESULTS = 5, 2, 5, 50
 HUB, CHAPTER_BONUS, CITER_PENALTY = 5.0, 1.5, 0.05
+#: Up to so many first results go to where clauses are read; the texts of more meet them in a shuffle.
+SENT = 200_000
 
 
 def references(text: Column) -> Column:
@@ -58,7 +61,8 @@ def pull(results: DataFrame, clauses: DataFrame, query_tokens: DataFrame, degree
     base = results.select("qid", id_col, "rank")
     if most <= 0:
         return base
-    heads = base.where(F.col("rank") <= PULL_FROM).join(clauses.select(id_col, text), id_col)
+    firsts = base.where(F.col("rank") <= PULL_FROM)
+    heads = clauses.select(id_col, text).join(F.broadcast(firsts) if firsts.limit(SENT + 1).count() <= SENT else firsts, id_col)
     segments = heads.select("qid", F.col(id_col).alias("citer"), (F.col("rank") - 1).alias("citer_idx"), F.explode(F.split(text, r"(?<=[.;])\s+|\n+")).alias("segment"))
     cited = segments.select("qid", "citer", "citer_idx", "segment", F.explode(references(F.col("segment"))).alias("no"))
     cited = cited.withColumn("ref", F.concat(markup.spec_of(F.col("citer")), F.lit("#"), "no"))

@@ -95,16 +95,17 @@ def posting(weights: list[float], column_bit: int):  # noqa: ANN201
 
 
 def holding(units: Units, weights: list[float]):  # noqa: ANN201
-    """A function over (id, *fields) batches: (id, dl, units, tfs), what each document holds."""
+    """A function over (id, *fields, *carried) batches: (id, dl, units, tfs, *carried), what each
+    document holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fields, n = batch.columns[1:], len(batch)
+            fields, carried, n = batch.columns[1 : 1 + len(weights)], batch.schema.names[1 + len(weights) :], len(batch)
             row, unit, tf = units.occurrences(fields, weights, n)
             dl = sum(pc.fill_null(pc.list_value_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in fields)
             ends = pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32())
             lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (unit.astype(np.int32), tf)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(dl), *lists], names=["id", "dl", "units", "tfs"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(dl), *lists, *batch.columns[1 + len(weights) :]], names=["id", "dl", "units", "tfs", *carried])
 
     return run
 
@@ -166,14 +167,14 @@ def first_of(rows: pa.Table, k: int) -> pa.Table:
 
 
 def scoring(idf: np.ndarray, avgdl: float, asked: Asked, tiers: pa.RecordBatch, k: int, k1: float, b: float):  # noqa: ANN201
-    """A function over (id, dl, units, tfs) batches: (*tiers' columns, id, score), a task's first
-    k of every tier."""
+    """A function over (id, dl, units, tfs, *carried) batches: (*tiers' columns, id, score,
+    *carried), a task's first k of every tier."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(tiers)
         step = max(1, CELLS // max(n, int(asked.need.sum())))
         least, pending, held = np.full(n, -np.inf), [], 0
-        kind = None
+        names = None
 
         def settle() -> None:
             nonlocal pending, held
@@ -184,7 +185,7 @@ def scoring(idf: np.ndarray, avgdl: float, asked: Asked, tiers: pa.RecordBatch,
             pending, held = [best], len(best)
 
         for batch in batches:
-            kind = batch.schema.field(0).type
+            names = batch.schema.names[4:]
             for start in range(0, len(batch), step):
                 part = batch.slice(start, step)
                 row = np.repeat(np.arange(len(part)), pc.list_value_length(part.column(2)).to_numpy(zero_copy_only=False))
@@ -194,15 +195,15 @@ def scoring(idf: np.ndarray, avgdl: float, asked: Asked, tiers: pa.RecordBatch,
                 rounded = np.round(score, 9)
                 floor = least if len(part) <= k else np.maximum(least, np.partition(rounded, len(part) - k, axis=0)[len(part) - k])
                 doc, tier = np.nonzero((rounded >= floor) & (score > -np.inf))
-                pending.append(pa.table({"tier": tier, "rounded": rounded[doc, tier], "score": score[doc, tier], "id": part.column(0).take(pa.array(doc))}))
+                pending.append(pa.table({"tier": tier, "rounded": rounded[doc, tier], "score": score[doc, tier], "id": part.column(0).take(pa.array(doc)), **{c: part.column(4 + i).take(pa.array(doc)) for i, c in enumerate(names)}}))
                 held += len(doc)
                 if held > 2 * k * n + 100_000:
                     settle()
-        if kind is not None:
+        if names is not None:
             settle()
             best = pending[0].combine_chunks()
             own = tiers.take(best["tier"].combine_chunks())
-            for out in pa.Table.from_arrays([*own.columns, best["id"], best["score"]], names=[*tiers.schema.names, "id", "score"]).to_batches(10_000):
+            for out in pa.Table.from_arrays([*own.columns, best["id"], best["score"], *[best[c] for c in names]], names=[*tiers.schema.names, "id", "score", *names]).to_batches(10_000):
                 yield out
 
     return run

@@ -203,7 +203,7 @@ def ladder_candidates(spark: SparkSession, folder: str) -> DataFrame:
 
 def _chunked(spark: SparkSession, folder: str) -> DataFrame:
     rows = enrich.chunk_documents(clauses(spark, folder))
-    return materialize(rows.select(F.concat("id", F.lit("::c"), F.col("n").cast("string")).alias("chunk_id"), "id", "chunk"), "chunks")
+    return rows.select(F.concat("id", F.lit("::c"), F.col("n").cast("string")).alias("chunk_id"), "id", "chunk")
 
 
 _CHUNKED = f"""chunked AS (SELECT id || '::c' || n AS chunk_id, id, chunk || CASE WHEN aux <> '' THEN chr(10) || aux ELSE '' END AS chunk
@@ -218,9 +218,8 @@ own AS (SELECT qid, id, min(rk) AS rk FROM top JOIN chunked USING (chunk_id) GRO
 SELECT qid, id, row_number() OVER (PARTITION BY qid ORDER BY rk) AS rank FROM own QUALIFY rank <= 50""")
 def chunk_bm25_maxpool(spark: SparkSession, folder: str) -> DataFrame:
     """Clauses by their best chunk, out of the best 200 chunks of a query."""
-    chunks = _chunked(spark, folder)
-    hits = Index(chunks, "chunk_id", {"chunk": 1.0}).best(or_plan(questions(spark, folder), "qid", "text"), 200)
-    best = hits.join(chunks.select("chunk_id", "id"), "chunk_id")
+    index = Index(_chunked(spark, folder), "chunk_id", {"chunk": 1.0}, carry=("id",))
+    best = index.best(or_plan(questions(spark, folder), "qid", "text"), 200)
     own = best.groupBy("qid", "id").agg(F.min("rank").alias("rk"))
     return top_k(own.withColumn("score", -F.col("rk")), 50, ["qid"], "id").select("qid", "id", "rank")
 
@@ -389,7 +388,7 @@ def retrieve_stored(spark: SparkSession, folder: str) -> DataFrame:
     """The same by a retriever that is saved to a folder, then opened from there."""
     vecs, asked = _vectors(spark, folder)
     place = fresh_path(spark, "retriever")
-    Retriever(clauses(spark, folder), _chunked(spark, folder), vecs).save(place)
+    Retriever(clauses(spark, folder), materialize(_chunked(spark, folder), "chunks"), vecs).save(place)
     return Retriever.open(spark, place).retrieve(asked)
 
 

@@ -60,13 +60,14 @@ def two_tier_plan(questions: DataFrame) -> DataFrame:
 
 def lexical(index: Searcher, plan: DataFrame, id_col: str, fetch: int, owner: str | None = None, owners: DataFrame | None = None) -> DataFrame:
     """(qid, id, is_floor, rank) of a ladder over an index; chunk hits are pooled by
-    their owner."""
+    their owner, which comes with them or out of ``owners``."""
     floors = plan.select("qid", "tier", "is_floor").distinct()
     hits = index.best(plan.select("qid", "tier", "group_no", "terms"), fetch).join(floors, ["qid", "tier"])
     found = ladder.fetch(hits, id_col, fetch)
-    if owner is None or owners is None:
+    if owner is None or (owner not in found.columns and owners is None):
         return ladder.walk(found, id_col)
-    return ladder.walk(ladder.pooled(found.join(owners, id_col), owner), owner)
+    owned = found if owner in found.columns else found.join(owners, id_col)
+    return ladder.walk(ladder.pooled(owned, owner), owner)
 
 
 class Retriever:
@@ -84,7 +85,7 @@ class Retriever:
         self.vecs = vecs if embedder is None or vectors.compatible(facts or {}, *embedder) else None
         known = {c: w for c, w in self.config.column_weights.items() if c in clauses.columns}
         self.index = index or Index(clauses, "id", known)
-        self.chunk_index = chunk_index or (Index(chunks, "chunk_id", {"chunk": 1.0}) if chunks is not None else None)
+        self.chunk_index = chunk_index or (Index(chunks, "chunk_id", {"chunk": 1.0}, carry=("id",)) if chunks is not None else None)
         self.near = near or (PivotIndex(self.vecs) if self.vecs is not None else None)
         self.degrees = degrees if degrees is not None else citations.in_degree(citations.edges(clauses))
 

@@ -281,3 +281,19 @@ def test_stems_need_no_shuffle(spark):
     found = stemmed_terms(docs, "id", "text")
     assert sorted(map(tuple, found.collect())) == [(1, ["run", "cafe", "run"]), (4, ["poni"])]
     assert "Exchange" not in found._jdf.queryExecution().toString()
+
+
+def test_owners_come_with_hits_and_chunks_are_not_written(spark, tmp_path):
+    from pathlib import Path
+
+    from clausewell.plans import retrieval_queries as R
+    from clausewell.sources.shared import shared_dir
+
+    chunks = spark.createDataFrame([("a::c0", "a", "beam one"), ("a::c1", "a", "beam two"), ("b::c0", "b", "other")], "chunk_id string, id string, chunk string")
+    index = Index(chunks, "chunk_id", {"chunk": 1.0}, carry=("id",))
+    plan = or_plan(spark.createDataFrame([(1, "beam other")], "qid bigint, text string"), "qid", "text")
+    rows = index.best(plan, 2).orderBy("rank").collect()
+    assert [(r["chunk_id"], r["id"]) for r in rows] == [("b::c0", "b"), ("a::c0", "a")]
+    before = set(Path(shared_dir(spark).removeprefix("file://")).rglob("chunks-*"))
+    R.retrieve_full(spark, "/root/testdata/sf0.001").collect()
+    assert set(Path(shared_dir(spark).removeprefix("file://")).rglob("chunks-*")) == before
