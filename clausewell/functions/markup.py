@@ -87,9 +87,13 @@ def identifiers(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(f"({IDENTIFIER})"), F.lit(1)))
 
 
+#: Where an identifier's words end.
+WORD_ENDS = r"-|(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Za-z])(?=[0-9])"
+
+
 def identifier_words(identifier: Column) -> Column:
     """An identifier's words of two characters or more."""
-    return F.filter(F.split(identifier, r"-|(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Za-z])(?=[0-9])"), lambda w: F.length(w) >= 2)
+    return F.filter(F.split(identifier, WORD_ENDS), lambda w: F.length(w) >= 2)
 
 
 def _lookup(key: Column, table: dict[str, str], default: str) -> Column:

@@ -6,6 +6,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -35,6 +36,62 @@ def tokens(text: Column) -> Column:
     return F.filter(F.regexp_extract_all(F.lower(text), F.lit(r"[a-z0-9_\-]{2,}"), F.lit(0)), lambda t: ~t.isin(STOPWORDS))
 
 
+#: Bytes of tokens in lower case, others as 0.
+_LOWER = np.zeros(256, np.uint8)
+for _c in b"abcdefghijklmnopqrstuvwxyz0123456789_-":
+    _LOWER[_c] = _LOWER[ord(chr(_c).upper())] = _c
+#: The two letters outside ASCII that have one of a-z in their lower case.
+_FOREIGN = {"\u212a": "k", "\u0130": "i\u0307"}
+
+
+def joined_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts behind each other and where each begins, with the end of
+    the last; a null text is empty."""
+    large = pc.fill_null(texts, "").cast(pa.large_string())
+    ends = np.frombuffer(large.buffers()[1], np.int64)[large.offset : large.offset + len(large) + 1] if len(large) else np.zeros(1, np.int64)
+    held = large.buffers()[2]
+    return np.frombuffer(held, np.uint8)[ends[0] : ends[-1]] if held is not None and ends[-1] > ends[0] else np.zeros(0, np.uint8), ends - ends[0]
+
+
+def runs(inside: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of the longest runs of true bytes that lie in one text each."""
+    edge = np.zeros(len(inside) + 1, bool)
+    edge[begins] = True
+    before, after = np.zeros(len(inside), bool), np.zeros(len(inside), bool)
+    before[1:], after[:-1] = inside[:-1], inside[1:]
+    before &= ~edge[:-1]
+    after &= ~edge[1:]
+    return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+
+
+def token_lists(texts: pa.Array) -> pa.ListArray:
+    """``tokens`` of each text, cut out of the bytes of all of them at once."""
+    for letter, lower in _FOREIGN.items():
+        if pc.any(pc.match_substring(texts, letter)).as_py():
+            texts = pc.replace_substring(texts, letter, lower)
+    data, begins = joined_bytes(texts)
+    low = _LOWER[data]
+    start, end = runs(low > 0, begins)
+    flat = pa.py_buffer(low[low > 0])
+    found = pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(end - start)])), flat]).cast(pa.string())
+    kept = (end - start >= 2) & ~pc.is_in(found, value_set=pa.array(STOPWORDS)).to_numpy(zero_copy_only=False)
+    ends = np.searchsorted(start[kept], begins)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found.filter(pa.array(kept)))
+
+
+def is_text(column: pa.Array) -> bool:
+    return pa.types.is_string(column.type) or pa.types.is_large_string(column.type)
+
+
+def slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of consecutive rows with about ``most`` bytes of text at most."""
+    size = sum((pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns if is_text(c)), np.zeros(len(batch), np.int64))
+    part = np.cumsum(size) // most
+    cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(batch)]
+    for start, end in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(start, end - start)
+
+
 # Stop words of the relational gate's own tokeniser.
 GATE_STOPWORDS = "the and for that this with from when have been are was were will into but not you your our their its".split()
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from functools import lru_cache
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clausewell.functions import markup
+from clausewell.functions import markup, words
 from clausewell.operators import chunking
 
 AUX_MAX_CHARS = 4000
@@ -12,10 +17,45 @@ CHUNK_AUX_ENTRIES = 61
 JOINT = " · "
 
 
+_IN_RUN = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-"))
+_LOW, _UP = (np.isin(np.arange(256), list(x)) for x in (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+_ALNUM = _IN_RUN & ~np.isin(np.arange(256), list(b"_-"))
+
+
+def entry_lists(texts: pa.Array) -> pa.ListArray:
+    """``split_entries`` of each text.  An identifier lies in a run of letters, digits, _ and -
+    and has a hyphen between two of them or a capital behind a small letter: only runs that
+    have one are looked at."""
+    pattern, cuts = re.compile(markup.IDENTIFIER), re.compile(markup.WORD_ENDS)
+
+    @lru_cache(1 << 16)
+    def known(run: bytes) -> list[tuple[str, str | None]]:
+        split = [(x, [w for w in cuts.split(x) if len(w) >= 2]) for x in pattern.findall(run.decode())]
+        return [(x, " ".join(w) if len(w) >= 2 else None) for x, w in split]
+
+    data, begins = words.joined_bytes(texts)
+    start, end = words.runs(_IN_RUN[data], begins)
+    hint = np.zeros(len(data), bool)
+    hint[1:-1] = (data[1:-1] == ord("-")) & _ALNUM[data[:-2]] & _ALNUM[data[2:]]
+    hint[:-1] |= _LOW[data[:-1]] & _UP[data[1:]]
+    run = np.unique(np.searchsorted(start, np.flatnonzero(hint), side="right") - 1)
+    ends, whole = np.searchsorted(start[run], begins).tolist(), data.tobytes()
+    found = [whole[a:b] for a, b in zip(start[run].tolist(), end[run].tolist(), strict=True)]
+    lists = []
+    for a, b in zip(ends, ends[1:], strict=False):
+        distinct = dict(x for r in found[a:b] for x in known(r)) if a < b else {}
+        lists.append([e for e in distinct.values() if e is not None])
+    return pa.array(lists, pa.list_(pa.string()))
+
+
 def split_entries(text: Column) -> Column:
     """Word splits of the identifiers that have two words or more."""
-    words = F.transform(markup.identifiers(text), markup.identifier_words)
-    return F.transform(F.filter(words, lambda w: F.size(w) >= 2), lambda w: F.array_join(w, " "))
+
+    def run(texts: pa.Array) -> pa.Array:
+        parts = words.slices(pa.record_batch({"t": texts}))
+        return pa.chunked_array([entry_lists(b.column(0)) for b in parts], pa.list_(pa.string())).combine_chunks()
+
+    return F.when(text.isNotNull(), F.arrow_udf(run, "array<string>")(text))
 
 
 def capped(entries: Column, limit: int = AUX_MAX_CHARS) -> Column:

@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from clausewell.functions import words
+
 #: Rows of a plan, and rows that a task may hand on, that are dealt with here.
 MOST_ROWS, MOST_KEPT = 200_000, 2_000_000
 #: Numbers of a table of documents by groups.
@@ -96,11 +98,12 @@ def posting(weights: list[float], column_bit: int):  # noqa: ANN201
 
 def holding(units: Units, weights: list[float]):  # noqa: ANN201
     """A function over (id, *fields, *carried) batches: (id, dl, units, tfs, *carried), what each
-    document holds."""
+    document holds.  Fields are lists of terms, or texts that are cut into tokens here."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fields, carried, n = batch.columns[1 : 1 + len(weights)], batch.schema.names[1 + len(weights) :], len(batch)
+        for batch in (part for whole in batches for part in words.slices(whole)):
+            fields = [words.token_lists(c) if words.is_text(c) else c for c in batch.columns[1 : 1 + len(weights)]]
+            carried, n = batch.schema.names[1 + len(weights) :], len(batch)
             row, unit, tf = units.occurrences(fields, weights, n)
             dl = sum(pc.fill_null(pc.list_value_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in fields)
             ends = pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32())

@@ -125,3 +125,31 @@ def test_images_are_numbered_over_parts(spark):
     said = spark.createDataFrame([("s", i, f"p{i}", [f"w{i}", f"v{i}"] if i else None) for i in range(5)], "spec string, part int, html string, said array<string>")
     whole = C.joined_parts(said, "spec", "part", "html", "said").first()
     assert (whole["html"], whole["warnings"]) == ("p0\np1\np2\np3\np4", ["w1", "v1", "w2", "v2", "w3"])
+
+
+def test_tokens_cut_from_bytes_are_those_of_the_expression(spark):
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    texts = ["", None, "The a-b_c X1 of İstanbul 20K ", "straße-ÄB cd", "ab", "-", "x", "İ", "ends withAB", "CD starts", "日本 ab日cd", *("".join(rng.choices("abTHEof -_.\nÄ日K0Iİé9", k=rng.randrange(40))) for _ in range(400))]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", words.tokens(F.coalesce("t", F.lit(""))).alias("k")).orderBy("i").collect()
+    for part in (pa.array(texts), pa.array(["zz", *texts]).slice(1)):
+        assert words.token_lists(part).to_pylist() == [r["k"] for r in rows]
+    cut = list(words.slices(pa.record_batch({"i": list(range(len(texts))), "t": texts}), 100))
+    assert len(cut) > 5 and [x for b in cut for x in b.column(1).to_pylist()] == texts
+
+
+def test_entries_cut_from_bytes_are_those_of_the_expression(spark):
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    texts = ["", "searchSpace and csi-RS-Report2x, csi-RS-Report2x _a-b a-b_ x-- -y-z aB1Cd éa-bé pdcch-Config", *("".join(rng.choices(["ab", "cd", "Bc", "X", "X1", "a2", "-", "-", "_", " ", ".", "é", "\n"], k=rng.randrange(30))) for _ in range(600))]
+    pairs = F.transform(markup.identifiers(F.col("t")), markup.identifier_words)
+    plain = F.transform(F.filter(pairs, lambda w: F.size(w) >= 2), lambda w: F.array_join(w, " "))
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", plain.alias("k"), enrich.split_entries(F.col("t")).alias("u")).orderBy("i").collect()
+    assert sum(len(r["k"]) for r in rows) > 100 and [r["u"] for r in rows] == [r["k"] for r in rows]
+    assert enrich.entry_lists(pa.array(["zz-yy", *texts]).slice(1)).to_pylist() == [r["k"] for r in rows]
