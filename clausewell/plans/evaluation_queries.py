@@ -21,19 +21,8 @@ _METRICS = "count(*) AS n, " + ", ".join(f"round(avg(CASE WHEN rank BETWEEN 1 AN
 
 
 def _expected(spark: SparkSession, folder: str) -> DataFrame:
-    """(qid, expected, stratum): clauses that hold a question's text.
-
-    Candidates share the question's first three tokens in a row, found by equality;
-    containment is then tested on those only.
-    """
-    first = lambda t: F.array_join(F.slice(words.tokens(t), 1, 3), " ")
-    asked = questions(spark, folder).withColumn("head", first(F.col("text"))).withColumnRenamed("text", "asked")
-    toks = clauses(spark, folder).select("id", "lang", "text", words.tokens(F.col("text")).alias("tk"))
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("tk") - 2, F.lit(1))), lambda i: F.array_join(F.slice("tk", i, 3), " ")))
-    heads = asked.select("head").distinct()
-    near = toks.select("id", F.explode(grams).alias("head")).join(heads, "head", "left_semi")
-    pairs = near.join(asked, "head").join(toks.select("id", "lang", "text"), "id").where(F.contains("text", "asked"))
-    return pairs.groupBy("qid").agg(F.min("id").alias("expected"), F.min_by("lang", "id").alias("stratum"))
+    """(qid, expected, stratum): clauses that hold a question's text."""
+    return E.holders(questions(spark, folder), clauses(spark, folder), "lang")
 
 
 def _ranked(spark: SparkSession, folder: str) -> DataFrame:

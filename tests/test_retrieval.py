@@ -297,3 +297,16 @@ def test_owners_come_with_hits_and_chunks_are_not_written(spark, tmp_path):
     before = set(Path(shared_dir(spark).removeprefix("file://")).rglob("chunks-*"))
     R.retrieve_full(spark, "/root/testdata/sf0.001").collect()
     assert set(Path(shared_dir(spark).removeprefix("file://")).rglob("chunks-*")) == before
+
+
+def test_holders_are_those_of_testing_every_pair(spark):
+    import random
+
+    rng = random.Random(7)
+    parts = ["ab", "cd", "ef", "the", "a", "x", " ", " ", "-", ".", "Q", "é", "İ"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(60))) for _ in range(300)]
+    asked = ["", "ab", "ab cd", " ef ", "b cd ab e", "the", ". ", *(t[i : i + rng.randrange(1, 25)] for t in texts[::4] for i in [rng.randrange(1 + len(t))])]
+    clauses = spark.createDataFrame([(f"s#{i}", t, t[:1]) for i, t in enumerate(texts)], "id string, text string, lang string").repartition(5)
+    questions = spark.createDataFrame(list(enumerate(asked)), "qid bigint, text string")
+    want = {q: min((f"s#{i}", t[:1]) for i, t in enumerate(texts) if a in t) for q, a in enumerate(asked) if any(a in t for t in texts)}
+    assert {r["qid"]: (r["expected"], r["stratum"]) for r in E.holders(questions, clauses, "lang").collect()} == want and len(want) > 70
