@@ -12,7 +12,7 @@ from clausewell.functions import markup, words
 from clausewell.operators import citations, fusion, ladder, vectors
 from clausewell.operators.neighbours import PivotIndex
 from clausewell.operators.postings import CLAUSE_WEIGHTS, Index, Searcher
-from clausewell.operators.segments import StoredIndex
+from clausewell.operators.segments import WRITTEN, StoredIndex
 from clausewell.sources import sinks
 from clausewell.sources.shared import exists, materialize
 
@@ -104,16 +104,17 @@ class Retriever:
 
     def save(self, folder: str) -> None:
         """Write clauses, chunks, vectors, both indexes, in-degrees and facts under a folder
-        where there is nothing yet."""
+        where there is nothing yet; indexes are made of what is written."""
         spark = self.clauses.sparkSession
         if exists(spark, folder):
             raise FileExistsError(folder)
         for name, rows in (("clauses", self.clauses), ("chunks", self.chunks), ("vectors", self.vecs), ("facts", sinks.facts(spark, self.facts) if self.facts else None)):
             if rows is not None:
-                rows.write.parquet(f"{folder}/{name}")
-        for name, index in (("index", self.index), ("chunk_index", self.chunk_index)):
+                rows.write.options(**WRITTEN).parquet(f"{folder}/{name}")
+        for name, index, table, rows in (("index", self.index, "clauses", self.clauses), ("chunk_index", self.chunk_index, "chunks", self.chunks)):
             if isinstance(index, Index):
-                index.store(f"{folder}/{name}")
+                kept = spark.read.schema(rows.schema).parquet(f"{folder}/{table}") if index.source is rows else index.source
+                Index(kept, index.key, index.weights, index.tokenizer).store(f"{folder}/{name}")
         citations.stored_in_degree(spark.read.parquet(f"{folder}/clauses"), f"{folder}/degrees")
 
     def fused(self, questions: DataFrame, plan: DataFrame) -> DataFrame:
