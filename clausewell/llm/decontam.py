@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import release_memory
+from .common import materialize, release_memory
 from .textbits import NON_WORD, Words, mix, slices
 
 SHINGLE = 5
@@ -166,13 +166,14 @@ class Items:
         """Shingles that a window of n must share with an item of m to pass."""
         return max(1, int(np.ceil((n + m) * self.threshold / (1 + self.threshold) - 1e-9)))
 
-    def matches(self, raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, float, int, int, int]]:
-        """(row, item, similarity, start, size, distance): the best window of each item."""
+    def matches(self, raw: np.ndarray, offsets: np.ndarray, any_item: bool = False) -> Iterator[tuple[int, int, float, int, int, int]]:
+        """(row, item, similarity, start, size, distance): the best window of each item, or of
+        each row the first that passes for any item."""
         words = Words(raw, offsets, NON_WORD)
         if not len(words.starts):
             return
         (h,) = words.hashes()
-        low = np.uint64((1 << 22) - 1)
+        low, done = np.uint64((1 << 22) - 1), set()
         for k, own in self.by_k.items():
             s = shingle_hashes(h, k)
             at = np.flatnonzero(own["maybe"][s & low])
@@ -183,12 +184,17 @@ class Items:
             inside = at + k <= words.row_at[row + 1]
             at, where, row = at[inside], where[inside], row[inside]
             for r in np.unique(row).tolist():
+                if r in done:
+                    continue
                 mine = slice(*np.searchsorted(row, [r, r + 1]).tolist())
                 first, last = words.row_at[r : r + 2].tolist()
                 sizes = set().union(*(own["sizes"][w] for w in set(where[mine].tolist())))
-                yield from self._row(r, k, own, sizes, at[mine] - first, s[first : last - k + 1], words, first, last)
+                for found in self._row(r, k, own, sizes, at[mine] - first, s[first : last - k + 1], words, first, last, any_item):
+                    yield found
+                    if any_item:
+                        done.add(r)
 
-    def _row(self, r: int, k: int, own: dict, sizes: set[int], hits: np.ndarray, s: np.ndarray, words: Words, first: int, last: int) -> Iterator[tuple]:
+    def _row(self, r: int, k: int, own: dict, sizes: set[int], hits: np.ndarray, s: np.ndarray, words: Words, first: int, last: int, any_item: bool) -> Iterator[tuple]:
         total = last - first
         best: dict[int, tuple] = {}
         for size in sorted(sizes):
@@ -216,6 +222,9 @@ class Items:
                     x = weighted_similarity(got, self.words[i], k)
                     if x >= self.threshold and x > best.get(i, (0,))[0]:
                         best[i] = (x, start, window, d if d >= 0 else int(np.bitwise_count(index.fps[p] ^ _window_prints(s, part[w : w + 1], n)[0])))
+                        if any_item:
+                            yield r, i, *best[i]
+                            return
         for i, (x, start, window, distance) in sorted(best.items()):
             yield r, i, x, start, window, distance
 
@@ -279,3 +288,37 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         return rows.mapInArrow(run, schema)
 
     return reduce(DataFrame.union, [one_pass(p) for p in range(passes)]).select("doc_id", "item_id", "similarity", "start_word", "n_words", "hamming")
+
+
+def without_copies(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_text_col: str = "text", threshold: float = THRESHOLD, items_per_pass: int = 20_000) -> DataFrame:
+    """The rows of ``docs`` that hold a copy of no benchmark item, judged where they are read.
+
+    Items of one text are one item, and a row is left at the first item that it holds.  More
+    than ``items_per_pass`` texts of items take a pass each over what the one before kept.
+    """
+    spark = docs.sparkSession
+    items = benchmark.select(F.col(item_text_col).alias("text")).where("text is not null").distinct()
+    passes = max(1, -(-items.count() // items_per_pass))
+    at = docs.columns.index(text_col)
+
+    def kept(rows: DataFrame, p: int) -> DataFrame:
+        block = items if passes == 1 else items.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == p)
+        texts = [r["text"] for r in block.orderBy("text").collect()]  # about items_per_pass rows
+        shared = spark.sparkContext.broadcast((uuid.uuid4().hex, list(range(len(texts))), texts))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            release_memory()
+            known = _items(*shared.value, threshold)
+            for batch in batches:
+                clean = np.ones(len(batch), dtype=bool)
+                for first, raw, offsets in slices(batch.column(at)):
+                    clean[[first + r for r, *_ in known.matches(raw, offsets, any_item=True)]] = False
+                yield batch.filter(pa.array(clean))
+
+        return rows.mapInArrow(run, docs.schema)
+
+    out = kept(docs, 0)
+    for p in range(1, passes):
+        before = materialize(out, "decontaminated")
+        out = kept(before, p)
+    return out

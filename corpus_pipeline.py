@@ -28,11 +28,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a copy of a benchmark item go, known by their texts: a row
-    needs no id, and one that shares its id with another is judged by itself."""
-    found = decontam.contaminated(docs.select(F.md5("text").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    gone = materialize(found.select(F.col("doc_id").alias("__cw_gone")).distinct(), "contaminated")
-    return docs.join(gone, F.md5("text") == F.col("__cw_gone"), "left_anti").select(*docs.columns)
+    """Documents that hold a copy of a benchmark item go; each row is judged by its text."""
+    return decontam.without_copies(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
