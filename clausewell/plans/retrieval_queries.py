@@ -404,7 +404,8 @@ def planner_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def retrieve_planned(spark: SparkSession, folder: str) -> DataFrame:
-    """Retrieval along the full ladder, capped by document in the head."""
+    """Retrieval along the full ladder; without a cap by document, which is off unless a
+    configuration asks for it (``spec_cap`` is its query)."""
     plan = materialize(_planned(spark, folder), "plan")
     vecs, asked = _vectors(spark, folder)
     return Retriever(clauses(spark, folder), _chunked(spark, folder), vecs).retrieve(asked, plan)
